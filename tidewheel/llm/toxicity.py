@@ -64,9 +64,9 @@ def fit(labels: np.ndarray, features: list[np.ndarray]) -> tuple[np.ndarray, flo
     size, n, toxic = 1 << BITS, len(labels), labels > 0
     if n == 0 or toxic.all() or not toxic.any():
         return np.zeros(size, np.float32), (40.0 if n and toxic.all() else -40.0)
-    of = np.repeat(toxic, [len(f) for f in features])
-    flat = np.concatenate(features)
-    pos, neg = np.bincount(flat[of], minlength=size), np.bincount(flat[~of], minlength=size)
+    pos, neg = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for f, is_toxic in zip(features, toxic, strict=True):
+        (pos if is_toxic else neg)[f] += 1
     n1 = int(toxic.sum())
     ratio = (np.log((pos + 1) / (n1 + 2)) - np.log((neg + 1) / (n - n1 + 2))).astype(np.float32)
     df, share = pos + neg, n1 / n
@@ -101,8 +101,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         got, features = [], []
         for batch in batches:
             got += batch.column("label").to_pylist()
-            features += [np.frombuffer(f, np.int32) for f in batch.column("features").to_pylist()]
-        order = sorted(range(len(got)), key=lambda i: (got[i], features[i].tobytes()))
+            features += [np.frombuffer(f.as_buffer(), np.int32) for f in batch.column("features")]  # no copies
+        order = sorted(range(len(got)), key=lambda i: (got[i], len(features[i]), features[i][:64].tobytes()))
         weight, bias = fit(np.array([got[i] for i in order], np.float64), [features[i] for i in order])
         yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([bias])], ["weight", "bias"])
 
