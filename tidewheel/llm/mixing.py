@@ -85,14 +85,35 @@ def hash_thresholds(hashed: DataFrame, budgets: DataFrame) -> DataFrame:
     return bounds.select("source", F.col("low").alias("threshold"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """doc_id, source, size, h, source_size, target, copies for every document; ``copies`` is how often the mix takes it."""
+def sizes(docs: DataFrame) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = written(docs.select("doc_id", "source", size.alias("size"), mix_hash(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
+    return written(docs.select("doc_id", "source", size.alias("size"), mix_hash(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
+
+
+def mix_plan(sized: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    """s1 (source), source_size, target, base (times that every document is taken), threshold (hash below which once more)."""
     targets = written(source_targets(sized, weights, share, most), "mix-targets")
     base = F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = targets.withColumn("base", base.cast("long")).withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
     thresholds = hash_thresholds(sized.filter("size > 0"), plan).withColumnRenamed("source", "s1")
-    plan = plan.join(thresholds, plan.source.eqNullSafe(F.col("s1"))).select(F.col("source").alias("s1"), "source_size", "target", "base", "threshold")
+    return plan.join(thresholds, plan.source.eqNullSafe(F.col("s1"))).select("s1", "source_size", "target", "base", "threshold")
+
+
+def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows (source, h and more) with source_size, target and ``copies``, how often the mix takes the row."""
     copies = F.col("base") + (F.col("h") < F.col("threshold")).cast("long")
-    return sized.join(plan, sized.source.eqNullSafe(F.col("s1"))).select("doc_id", "source", "size", "h", "source_size", "target", copies.alias("copies"))
+    return rows.join(plan, rows.source.eqNullSafe(F.col("s1"))).withColumn("copies", copies).drop("s1", "base", "threshold")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """doc_id, source, size, h, source_size, target, copies for every document."""
+    sized = sizes(docs)
+    return with_copies(sized, mix_plan(sized, weights, share, most))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """docs with every row as often as the mix takes it."""
+    plan = mix_plan(sizes(docs), weights, share, most)
+    hashed = docs.select(F.struct(*docs.columns).alias("row"), "source", mix_hash(F.col("doc_id"), F.col("text")).alias("h"))
+    taken = with_copies(hashed, plan).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm import language_id, mixing, near_dup, quality_lm, sharding, toxicity
+from tidewheel.llm import chat, decontamination, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, topk, toxicity
 from tidewheel.llm.common import remainder_of, table
 
 
@@ -19,6 +19,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(remainder_of(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", toxicity.predicted(F.col("score")).alias("predicted"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(remainder_of(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -32,6 +37,19 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    seq = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    events = rows.unionByName(own).select("conv_id", seq.alias("seq"), seq.alias("turn"), F.lit("message").alias("kind"), "role", "text")
+    return chat.digest(chat.render(chat.fold(events)))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=2, num=80, den=100).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -45,6 +63,59 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "pmod(vec_id, 50) = 0", 5)
+
+
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, coalesce(source, chr(1)) AS site, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents),
+t AS (SELECT *, trim(line) AS plain FROM l),
+bad AS (SELECT plain FROM t WHERE plain <> '' GROUP BY plain HAVING count(DISTINCT site) >= 5),
+f AS (SELECT t.doc_id, t.pos, t.line, t.plain, b.plain IS NOT NULL AS gone FROM t LEFT JOIN bad b ON t.plain = b.plain)
+SELECT d.doc_id, CAST(count(*) FILTER (f.plain <> '') AS BIGINT) AS n_lines, CAST(count(*) FILTER (f.gone) AS BIGINT) AS n_removed,
+       md5(coalesce(string_agg(f.line, chr(10) ORDER BY f.pos) FILTER (NOT f.gone), '')) AS text_md5
+FROM documents d JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+OP5_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, 'null') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (
+  SELECT *, 12 + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + 1 + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 11 AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+OP6_SQL = r"""
+WITH t AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
+  UNION ALL SELECT 'b', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') FROM benchmark),
+s AS (
+  SELECT kind, id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM t),
+d AS (SELECT id AS doc_id, unnest(g) AS x FROM s WHERE kind = 'd'),
+b AS (SELECT id AS item_id, CAST(len(g) AS BIGINT) AS n_item, unnest(g) AS x FROM s WHERE kind = 'b')
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item::DOUBLE AS containment
+FROM d JOIN b ON d.x = b.x GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
+"""
+
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP9_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -99,8 +170,8 @@ FROM documents d JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.node = d.d
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_language_id, op4_sharding, op7_near_duplicates, op8_quality, op9_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL}
