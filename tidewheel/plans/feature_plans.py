@@ -8,7 +8,7 @@ from tidewheel.functions.timekeys import period_days
 from tidewheel.operators import aggregation as A
 from tidewheel.operators import features as X
 from tidewheel.operators import scaffold as P
-from tidewheel.plans.aggregation_plans import APP_WEEKLY_SQL, CALLS_SQL, COMMERCIAL_SQL, LOAN_STEPS_SQL, WEEKEND, _commercial, app_use, calls, internet, loan_steps
+from tidewheel.plans.aggregation_plans import APP_WEEKLY_SQL, CALLS_SQL, COMMERCIAL_SQL, LOAN_STEPS_SQL, WEEKEND, _commercial, app_use, calls, internet, loan_steps, texts
 from tidewheel.plans.registry import query
 from tidewheel.plans.time_plans import WEEKLY_SQL, fixed, over, weekly
 from tidewheel.sources.derived import ctes, products, revenue, usage
@@ -73,8 +73,6 @@ tw AS (SELECT msisdn, weekstart, """ + ", ".join(f"coalesce(sum(trx) FILTER (s =
     + [f"(sum(sms_{m}) OVER {over(n)})::DOUBLE / nullif(sum(sms_{m}) OVER {over(n)} + sum(voice_{m}) OVER {over(n)}, 0) AS fea_text_share_{m}_{p}" for m in ("inc", "out", "all") for p, n in (("01m", 28), ("03m", 91))]
     + [f"{since('sms_all > 0')} AS fea_text_weeks_since_last"] + [f"{idle('sms_all', s, e)} AS fea_text_idle_weeks_{e // 7}_to_{s // 7}" for s, e in X.BANDS]) + " FROM s")
 def f3_texts(spark, d):
-    from tidewheel.plans.aggregation_plans import texts
-
     return X.texts(scaffolded(spark, d, A.text_weekly(texts(spark, d))))
 
 
