@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or more)."""
     found = near_dup.near_duplicates(docs)
-    gone = written(found.filter(~F.col("kept")).select(F.col("doc_id").alias("copy")).distinct(), "copies")
-    return docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("copy"), "left_anti")
+    gone = written(found.filter(~F.col("kept")).select(F.col("doc_id").alias("__copy")).distinct(), "copies")
+    return docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("__copy"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,7 +53,7 @@ def fold(events: DataFrame) -> DataFrame:
     later = Window.partitionBy("conv_id").orderBy(*(F.col(c).desc() for c in order)).rowsBetween(Window.unboundedPreceding, -1)
     cut = F.min(F.when(F.col("kind") == "regenerate", F.col("turn"))).over(later)
     alive = e.withColumn("cut", cut).filter("cut is null or turn <= cut")
-    upto = Window.partitionBy("conv_id", "turn").orderBy(*order)
+    upto = Window.partitionBy("conv_id", "turn").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     resets = F.sum((F.col("kind") != "delta").cast("long")).over(upto)
     last = F.max("reset").over(Window.partitionBy("conv_id", "turn"))
     live = alive.withColumn("reset", resets).withColumn("last", last).filter("reset = last")

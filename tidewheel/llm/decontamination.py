@@ -91,5 +91,5 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = N
 
 def clean(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """docs without those that contain a test item."""
-    leaks = written(contaminated(docs, items, n, num, den).select(F.col("doc_id").alias("leak")).distinct(), "leaks")
-    return docs.join(broadcast_if_small(leaks), F.col("doc_id") == F.col("leak"), "left_anti")
+    leaks = written(contaminated(docs, items, n, num, den).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
+    return docs.join(broadcast_if_small(leaks), F.col("doc_id") == F.col("__leak"), "left_anti")

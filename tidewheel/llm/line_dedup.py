@@ -40,13 +40,13 @@ def boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
 def remove_boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """All columns of docs, text without boilerplate lines, with ``n_lines`` (not blank) and ``n_removed``; columns of these names are replaced."""
     found = boilerplate(docs, sites, margin).select("h1", "h2")
-    rows = docs.drop("n_lines", "n_removed").withColumn("row_key", F.struct("doc_id", F.xxhash64("text", "source")))
-    place = rows.select("row_key", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("row_key", "pos", F.trim("line").alias("line")).filter("line <> ''")
-    gone = place.select("row_key", "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")).join(found, ["h1", "h2"], "left_semi")
-    per = gone.groupBy(F.col("row_key").alias("key")).agg(F.array_sort(F.collect_set("pos")).alias("gone"))
-    joined = rows.join(per, F.col("row_key").eqNullSafe(F.col("key")), "left")
+    rows = docs.drop("n_lines", "n_removed").withColumn("__row", F.struct("doc_id", F.xxhash64("text", "source")))
+    place = rows.select("__row", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("__row", "pos", F.trim("line").alias("line")).filter("line <> ''")
+    gone = place.select("__row", "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")).join(found, ["h1", "h2"], "left_semi")
+    per = gone.groupBy(F.col("__row").alias("__key")).agg(F.array_sort(F.collect_set("pos")).alias("__gone"))
+    joined = rows.join(per, F.col("__row").eqNullSafe(F.col("__key")), "left")
     parts = F.split("text", "\n")
-    left = F.filter(parts, lambda x, i: ~F.array_contains("gone", i))
+    left = F.filter(parts, lambda x, i: ~F.array_contains("__gone", i))
     full = F.coalesce(F.size(F.filter(parts, lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
-    out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("long")).withColumn("n_removed", F.coalesce(F.when(F.size("gone") > 0, F.size("gone")), F.lit(0)).cast("long"))
-    return out.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).drop("row_key", "key", "gone")
+    out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("long")).withColumn("n_removed", F.coalesce(F.when(F.size("__gone") > 0, F.size("__gone")), F.lit(0)).cast("long"))
+    return out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).drop("__row", "__key", "__gone")

@@ -116,11 +116,11 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, map_path: str |
     sizes = slot_sizes(docs, slots)
     store_map(spark, path, 1, first_map(slots, shards), sizes)
     placed = rebalance(read_map(spark, path, 1), {s: b for s, b, _ in sizes}, shards)
-    stored = store_map(spark, path, 2, placed, sizes).select("vslot", F.col("shard").alias("to_shard"), "start")
+    stored = store_map(spark, path, 2, placed, sizes).select(F.col("vslot").alias("__vslot"), F.col("shard").alias("__shard"), F.col("start").alias("__start"))
     own = ("virtual_slot", "shard", "slot", "size", "text_crc32")
     rows = docs.drop(*own).withColumns({"virtual_slot": virtual_slot(slots), "size": record_size(), "text_crc32": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))})
     place = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    placed_rows = rows.withColumn("at", F.row_number().over(place) - 1)
+    placed_rows = rows.withColumn("__at", F.row_number().over(place) - 1)
     # The map has one row per slot, at most `slots`, whatever the data: a broadcast of proven size.
-    joined = placed_rows.join(F.broadcast(stored), F.col("virtual_slot") == F.col("vslot"))
-    return joined.withColumn("shard", F.col("to_shard")).withColumn("slot", (F.col("start") + F.col("at")).cast("long")).drop("vslot", "to_shard", "start", "at")
+    joined = placed_rows.join(F.broadcast(stored), F.col("virtual_slot") == F.col("__vslot"))
+    return joined.withColumn("shard", F.col("__shard")).withColumn("slot", (F.col("__start") + F.col("__at")).cast("long")).drop("__vslot", "__shard", "__start", "__at")

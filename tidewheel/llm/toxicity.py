@@ -106,7 +106,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         weight, bias = fit(np.array([got[i] for i in order], np.float64), [features[i] for i in order])
         yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([bias])], ["weight", "bias"])
 
-    row = training_rows(docs, labels, sample).repartition(1).mapInArrow(one, "weight binary, bias double").collect()[0]
+    rows = training_rows(docs, labels, sample).repartition(1).mapInArrow(one, "weight binary, bias double").collect()
+    if not rows:
+        return fit(np.zeros(0), [])
+    row = rows[0]
     return np.frombuffer(bytes(row.weight), np.float32), row.bias
 
 
