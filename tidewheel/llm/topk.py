@@ -92,7 +92,7 @@ def dual_search(data: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_id
         worst = np.partition(all_s, -k, 1)[:, -k]
         for r in range(len(all_s)):
             at = np.flatnonzero(all_s[r] >= worst[r])
-            best = at[np.lexsort((all_i[r, at], -all_s[r, at]))[:k]] if len(at) else at
+            best = at[np.lexsort((all_i[r, at], ~all_s[r, at]))[:k]] if len(at) else at
             score[a.low + r], found[a.low + r] = all_s[r, best], all_i[r, best]
 
     def walk(a: Node, b: Node) -> None:
