@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidewheel.llm.common import written
 
 WORD = r"[^\x20\x09-\x0D]+"
-HASH_BITS, LEVEL_BITS = 60, 15
+HASH_BITS, LEVEL_BITS = 60, 12  # 4096 buckets a level, so a source is that many rows at most
 
 
 def mix_hash(doc_id: Column, text: Column) -> Column:
