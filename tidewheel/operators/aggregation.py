@@ -127,7 +127,7 @@ def internet_weekly(usage: DataFrame) -> DataFrame:
         sum_where(weekend, "volume").alias("volume_weekend"),
         sum_where(~weekend, "volume").alias("volume_weekday"),
         F.count_if(F.col("volume") > 10_000).alias("days_above_threshold"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("cities")))).alias("n_cities"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("cities")))).cast("long").alias("n_cities"),
         (7 - F.count("*")).alias("days_without_usage"),
     )
 

@@ -39,7 +39,7 @@ BANDS = ((28, 0), (56, 28), (84, 56))
 
 def voice(weekly: DataFrame) -> DataFrame:
     """F1. weekly: A1 on the scaffold."""
-    into, out, both = (F.size(F.coalesce(F.col(c), F.array().cast("array<string>"))) for c in ("inc_call_nums", "out_call_nums", "inc_out_call_nums"))
+    into, out, both = (F.size(F.coalesce(F.col(c), F.array().cast("array<string>"))).cast("long") for c in ("inc_call_nums", "out_call_nums", "inc_out_call_nums"))
     df = weekly.withColumns({"n_in": into, "n_out": out, "n_all": both, "dur": F.coalesce("inc_call_dur", F.lit(0)) + F.coalesce("out_call_dur", F.lit(0))})
     fs = FeatureSet()
     for name, column in (("inc_dur", "inc_call_dur"), ("out_dur", "out_call_dur"), ("night_dur", "tot_dur_12_5_am"), ("inc_count", "n_in"), ("out_count", "n_out"), ("all_count", "n_all")):

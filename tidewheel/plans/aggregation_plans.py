@@ -195,7 +195,7 @@ def a13_revenue_weekly(spark, d):
 
 
 @query(ctes("usage") + """, day AS (SELECT msisdn, event_date, sum(CASE WHEN kind = 'purchase' THEN amount ELSE 0 END) AS v FROM usage GROUP BY ALL)
-SELECT msisdn, event_date, event_date - max(CASE WHEN v > 0 THEN event_date END) OVER (PARTITION BY msisdn ORDER BY event_date) AS days_since_last_rev FROM day""")
+SELECT msisdn, event_date, CAST(event_date - max(CASE WHEN v > 0 THEN event_date END) OVER (PARTITION BY msisdn ORDER BY event_date) AS INTEGER) AS days_since_last_rev FROM day""")
 def a14_days_since_last_revenue(spark, d):
     u = usage(spark, d).withColumn("amount", F.when(F.col("kind") == "purchase", F.col("amount")).otherwise(F.lit(0)))
     return A.days_since_last(u)
@@ -229,7 +229,7 @@ def a18_payu_weekly(spark, d):
 @query(ctes("revenue") + """, t AS (SELECT *, substr(channel, 1, 1) AS c, strftime(event_date, '%Y-%m') AS m FROM revenue),
 p AS (SELECT msisdn, c, m, min(event_date) AS paid FROM t WHERE status = 'O' GROUP BY ALL),
 l AS (SELECT t.msisdn, t.weekstart, p.paid - t.event_date AS late FROM t LEFT JOIN p ON t.msisdn = p.msisdn AND t.c = p.c AND t.m = p.m WHERE status = 'F')
-SELECT msisdn, weekstart, count(*) AS loans, max(late) AS max_dpd, """ + ", ".join(f"count(*) FILTER (late > {k}) AS dpd_{k}" for k in (2, 10, 15, 20, 25)) + " FROM l GROUP BY ALL")
+SELECT msisdn, weekstart, count(*) AS loans, CAST(max(late) AS INTEGER) AS max_dpd, """ + ", ".join(f"count(*) FILTER (late > {k}) AS dpd_{k}" for k in (2, 10, 15, 20, 25)) + " FROM l GROUP BY ALL")
 def a19_loan_dpd_weekly(spark, d):
     r = revenue(spark, d).withColumn("campaign", F.col("channel"))
     return A.loan_dpd_weekly(r.filter("status = 'F'"), r.filter("status = 'O'").select("msisdn", "event_date", "campaign"))

@@ -78,7 +78,7 @@ def f3_texts(spark, d):
 
 @query(COMMERCIAL_SQL + f""", cw AS (SELECT msisdn, weekstart, category, list(DISTINCT name) AS names, count(*) AS n FROM com WHERE category IS NOT NULL GROUP BY ALL),
 r AS (SELECT msisdn, weekstart, category, sum(n) OVER {over(7, keys='msisdn, category')} AS c1, sum(n) OVER {over(28, keys='msisdn, category')} AS c4, len(list_distinct(names)) AS s1, len(list_distinct(flatten(list(names) OVER {over(28, keys='msisdn, category')}))) AS s4 FROM cw)
-SELECT {K}, """ + ", ".join(f"CAST(max({v}) FILTER (category = '{c}') AS BIGINT) AS fea_comm_text_{c}_{n}" for c in ("bank", "shop") for n, v in (("count_1w", "c1"), ("senders_1w", "s1"), ("count_1m", "c4"), ("senders_1m", "s4"))) + " FROM r GROUP BY ALL")
+SELECT {K}, """ + ", ".join(f"CAST(max({v}) FILTER (category = '{c}') AS {'INTEGER' if v[0] == 's' else 'BIGINT'}) AS fea_comm_text_{c}_{n}" for c in ("bank", "shop") for n, v in (("count_1w", "c1"), ("senders_1w", "s1"), ("count_1m", "c4"), ("senders_1m", "s4"))) + " FROM r GROUP BY ALL")
 def f4_commercial_texts(spark, d):
     return X.commercial_texts(_commercial(spark, d), ["bank", "shop"])
 
@@ -131,7 +131,7 @@ def f9_revenue(spark, d):
     return X.revenue(services(spark, d), ["f", "o", "p"])
 
 
-@query(SERVICES_SQL + f" SELECT {K}, " + ", ".join([f"{a}(rev_f) OVER {over(n)} AS fea_spend_f_{a}_{p}" for a in ("min", "max", "avg") for p, n in (("01m", 28), ("03m", 91))]) + f", {big(f'sum(rev_f) OVER {fixed(56, 28)}')} AS fea_spend_f_past_5w_8w, (sum(rev_f) OVER {over(28)})::DOUBLE / nullif(sum(rev_f) OVER {fixed(56, 28)}, 0) AS fea_spend_f_trend, {big(f'max(rev_f) OVER {over(91)} - min(rev_f) OVER {over(91)}')} AS fea_spend_f_range_03m FROM rw")
+@query(SERVICES_SQL + f" SELECT {K}, " + ", ".join([(f"avg(rev_f) OVER {over(n)}" if a == "avg" else big(f"{a}(rev_f) OVER {over(n)}")) + f" AS fea_spend_f_{a}_{p}" for a in ("min", "max", "avg") for p, n in (("01m", 28), ("03m", 91))]) + f", {big(f'sum(rev_f) OVER {fixed(56, 28)}')} AS fea_spend_f_past_5w_8w, (sum(rev_f) OVER {over(28)})::DOUBLE / nullif(sum(rev_f) OVER {fixed(56, 28)}, 0) AS fea_spend_f_trend, {big(f'max(rev_f) OVER {over(91)} - min(rev_f) OVER {over(91)}')} AS fea_spend_f_range_03m FROM rw")
 def f10_monthly_spend(spark, d):
     return X.monthly_spend(services(spark, d), ["f"])
 
@@ -173,7 +173,7 @@ _FK = "msisdn, feature"
 
 @query(APP_WEEKLY_SQL + f""", r AS (SELECT msisdn, weekstart, feature, sum(volume) OVER {over(7, keys=_FK)} AS volume_01w, sum(volume) OVER {over(28, keys=_FK)} AS volume_01m, len(list_distinct(flatten(list(apps) OVER {over(7, keys=_FK)}))) AS apps_01w, len(list_distinct(flatten(list(apps) OVER {over(28, keys=_FK)}))) AS apps_01m,
   {_clamp(f"weekstart - min(first_date) OVER (PARTITION BY {_FK} ORDER BY weekstart)")} AS days_since_first, {_clamp(f"weekstart - max(last_date) OVER (PARTITION BY {_FK} ORDER BY weekstart)")} AS days_since_last FROM app_weekly)
-SELECT {K}, """ + ", ".join(f"CAST(max({n}) FILTER (feature = '{f}') AS BIGINT) AS fea_app_{f}_{n}" for f in ("f0", "f1") for n in ("volume_01w", "volume_01m", "apps_01w", "apps_01m", "days_since_first", "days_since_last")) + " FROM r GROUP BY ALL")
+SELECT {K}, """ + ", ".join(f"CAST(max({n}) FILTER (feature = '{f}') AS {'BIGINT' if n[0] == 'v' else 'INTEGER'}) AS fea_app_{f}_{n}" for f in ("f0", "f1") for n in ("volume_01w", "volume_01m", "apps_01w", "apps_01m", "days_since_first", "days_since_last")) + " FROM r GROUP BY ALL")
 def f18_app_usage(spark, d):
     return X.app_usage(A.app_usage_weekly(*app_use(spark, d)), ["f0", "f1"], ("1w", "1m"))
 

@@ -41,7 +41,7 @@ def d2_psi(spark, d):
 
 
 RFM_SQL = ctes("revenue", "profiles") + """, a AS (SELECT msisdn, max(channel) AS channel, coalesce(sum(amount) FILTER (status = 'F'), 0) AS s1, coalesce(sum(amount) FILTER (status = 'O'), 0) AS s2, coalesce(sum(amount) FILTER (status = 'P'), 0) AS s3, sum(amount) AS recharge, count(*) FILTER (status = 'F') AS trx FROM revenue GROUP BY 1),
-rfm AS (SELECT a.msisdn, segment AS device, CASE WHEN segment IN ('BUILDING', 'MACHINERY') THEN 'smart' ELSE 'unknown' END AS device_class, CASE channel WHEN '5-LOW' THEN 3 WHEN '4-NOT SPECIFIED' THEN 2 ELSE 1 END AS channel_group, greatest(s1, s2, s3) AS max_spend, recharge / (CASE trx WHEN 0 THEN 1 ELSE trx END)::DOUBLE AS recharge_per_trx FROM a JOIN profiles USING (msisdn))"""
+rfm AS (SELECT a.msisdn, segment AS device, CASE WHEN segment IN ('BUILDING', 'MACHINERY') THEN 'smart' ELSE 'unknown' END AS device_class, CASE channel WHEN '5-LOW' THEN 3 WHEN '4-NOT SPECIFIED' THEN 2 ELSE 1 END AS channel_group, CAST(greatest(s1, s2, s3) AS BIGINT) AS max_spend, recharge / (CASE trx WHEN 0 THEN 1 ELSE trx END)::DOUBLE AS recharge_per_trx FROM a JOIN profiles USING (msisdn))"""
 
 
 def rfm(spark, d):
