@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.common import sent_with_tasks
+
 ORDERS, BITS = (3, 4, 5, 6), 20
 SAMPLE, EPOCHS, RATE, RIDGE, TOXIC_WEIGHT = 8_000, 15, 0.1, 1e-4, 4.0
-LEAST_DOCS, LEAST_Z = 3, 5.0
+LEAST_DOCS, LEAST_Z = 3, 4.0
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -138,3 +140,6 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | N
 
 def predicted(score: Column) -> Column:
     return (score >= 0.5).cast("int")
+
+
+sent_with_tasks(__name__)
