@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +44,8 @@ def long_id(column: str = "doc_id") -> Column:
 def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """Mark a side of a few short columns for broadcast if a count shows at most so many rows; else leave it to a shuffle join."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def sent_with_tasks(module: str) -> None:
+    """Send a module's functions along with the tasks that use them, so executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import broadcast_if_small, written
+from tidewheel.llm.common import broadcast_if_small, sent_with_tasks, written
 
 SAMPLE_CHARS, SAMPLE_DOCS, SYMBOLS, STRETCH = 40_000, 60, 48, 1024
 
@@ -179,3 +179,6 @@ def identify(docs: DataFrame, samples: dict[str, str], keep: list[str]) -> DataF
 
     schema = docs.select(*cols).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     return docs.select(*cols, *(["text"] if "text" not in cols else [])).mapInArrow(run, schema)
+
+
+sent_with_tasks(__name__)
