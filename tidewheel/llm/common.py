@@ -15,12 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_dir: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir; where unset (tests), a new temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own_dir:
+            _own_dir.append("file://" + tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        found = _own_dir[0]
     return found.rstrip("/")
 
 
