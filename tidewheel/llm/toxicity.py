@@ -13,6 +13,7 @@ count as toxic if any is; labels with a null id or value are left out. An empty
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,15 @@ def buckets(text: str | None) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Ascending ids as compressed gaps, about a third of their size."""
+    return zlib.compress(np.diff(ids, prepend=0).astype(np.int32).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.int32))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """label and packed features of the sampled labelled documents."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
@@ -51,14 +61,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = [np.unique(buckets(t.as_py())).tobytes() for t in batch.column("text")]
+            features = [packed(np.unique(buckets(t.as_py()))) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), pa.array(features, pa.binary())], ["label", "features"])
 
     return rows.mapInArrow(pack, "label int, features binary")
 
 
-def fit(labels: np.ndarray, features: list[np.ndarray]) -> tuple[np.ndarray, float]:
-    """Weight of each bucket and the intercept.
+def fit(labels: np.ndarray, features: list[bytes]) -> tuple[np.ndarray, float]:
+    """Weight of each bucket and the intercept. features: packed ids, unpacked one at a time.
 
     n-grams of fewer than LEAST_DOCS documents, or whose document frequencies differ by less than LEAST_Z standard
     errors, get no weight. The rest are fitted by AdaGrad steps on the logistic loss; toxic rows weigh TOXIC_WEIGHT.
@@ -68,13 +78,13 @@ def fit(labels: np.ndarray, features: list[np.ndarray]) -> tuple[np.ndarray, flo
         return np.zeros(size, np.float32), (40.0 if n and toxic.all() else -40.0)
     pos, neg = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for f, is_toxic in zip(features, toxic, strict=True):
-        (pos if is_toxic else neg)[f] += 1
+        (pos if is_toxic else neg)[unpacked(f)] += 1
     n1 = int(toxic.sum())
     ratio = (np.log((pos + 1) / (n1 + 2)) - np.log((neg + 1) / (n - n1 + 2))).astype(np.float32)
     df, share = pos + neg, n1 / n
     z = (pos - df * share) / np.sqrt(np.maximum(df * share * (1 - share) * (1 - df / n), 1e-3))
     ratio[(df < LEAST_DOCS) | (np.abs(z) < LEAST_Z)] = 0
-    used_by = [f[ratio[f] != 0] for f in features]
+    used_by = [f[ratio[f] != 0] for f in map(unpacked, features)]
     scale = float(np.mean([np.sqrt(max(1.0, float((ratio[f] ** 2).sum()))) for f in used_by]))
     weight, square = np.zeros(size, np.float32), np.full(size, 1e-6, np.float32)
     bias, bias_square = float(np.log(TOXIC_WEIGHT * n1 / (n - n1))), 1e-6
@@ -103,8 +113,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         got, features = [], []
         for batch in batches:
             got += batch.column("label").to_pylist()
-            features += [np.frombuffer(f.as_buffer(), np.int32) for f in batch.column("features")]  # no copies
-        order = sorted(range(len(got)), key=lambda i: (got[i], len(features[i]), features[i][:64].tobytes()))
+            features += batch.column("features").to_pylist()
+        order = sorted(range(len(got)), key=lambda i: (got[i], features[i]))
         weight, bias = fit(np.array([got[i] for i in order], np.float64), [features[i] for i in order])
         yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([bias])], ["weight", "bias"])
 
