@@ -277,6 +277,23 @@ def test_near_duplicates(spark, words):
     assert all(r.kept == (i == want[i]) for i, r in got.items())
 
 
+def test_near_duplicates_of_a_large_region(spark, monkeypatch):
+    """All classes are one region, far larger than REGION, and the neighbours alone do not find its links."""
+    for name, value in {"TREES": 1, "MIN_DEPTH": 0, "NEIGHBOURS": 1, "REGION": 16, "BLOCK": 8}.items():
+        monkeypatch.setattr(near_dup, name, value, raising=False)
+    rows, r = [], random.Random(11)
+    for g in range(3):
+        base = [f"{w}{k}" for k, w in enumerate(prose(g, 120).split()[:120])]
+        for k in range(50):
+            w = list(base)
+            for at in r.sample(range(len(w)), r.randrange(3, 12)):
+                w[at] = f"own{g}x{k}x{at}"
+            rows.append((g * 100 + k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(docs, 2).collect()}
+    assert got == brute_components(rows, 2)
+
+
 def test_near_duplicates_odd(spark, odd, none):
     rows = near_dup.near_duplicates(odd, 2).collect()
     assert len(rows) == odd.count()
