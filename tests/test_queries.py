@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 from tidewheel import plans
+from tidewheel.plans import segment_plans
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -48,3 +49,8 @@ def test_same_rows_as_sql(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.SQL)))
 def test_has_rows(spark, name):
     assert not plans.QUERIES[name](spark, SF).isEmpty()
+
+
+def test_clusters_of_all_segments(spark):
+    profile = plans.QUERIES["d11_d12_clusters"](spark, SF)
+    assert sum(r.n for r in profile.collect()) == segment_plans.wide(spark, SF).count()

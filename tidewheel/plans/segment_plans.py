@@ -112,7 +112,8 @@ def d10_pca(spark, d):
 @query()
 def d11_d12_clusters(spark, d):
     w = wide(spark, d)
-    clustered = D.kmeans_by_segment(w, COLUMNS, ["BUILDING", "MACHINERY"], 3)
+    segments = [r.segment for r in w.select("segment").distinct().orderBy("segment").collect()]  # a handful of names
+    clustered = D.kmeans_by_segment(w, COLUMNS, segments, 3)
     return D.cluster_profile(clustered, COLUMNS)
 
 
