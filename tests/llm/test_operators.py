@@ -277,23 +277,43 @@ def test_near_duplicates(spark, words):
     assert all(r.kept == (i == want[i]) for i, r in got.items())
 
 
-def test_near_duplicates_of_a_large_region(spark, monkeypatch):
-    """All classes are one region, far larger than REGION, and the neighbours alone do not find its links."""
-    for name, value in {"TREES": 1, "MIN_DEPTH": 0, "NEIGHBOURS": 1, "REGION": 16, "BLOCK": 8}.items():
-        monkeypatch.setattr(near_dup, name, value, raising=False)
+def edited_copies(groups, copies, words, edits):
     rows, r = [], random.Random(11)
-    for g in range(3):
-        base = [f"{w}{k}" for k, w in enumerate(prose(g, 120).split()[:120])]
-        for k in range(50):
+    for g in range(groups):
+        base = [f"{w}{k}" for k, w in enumerate(prose(g, words).split())]
+        for k in range(copies):
             w = list(base)
-            for at in r.sample(range(len(w)), r.randrange(3, 12)):
+            for at in r.sample(range(len(w)), r.randrange(*edits)):
                 w[at] = f"own{g}x{k}x{at}"
-            rows.append((g * 100 + k, " ".join(w)))
+            rows.append((g * 10_000 + k, " ".join(w)))
+    return rows
+
+
+def test_near_duplicates_of_a_large_region(spark, monkeypatch):
+    """All classes are one region and the neighbours alone do not find its links; blocks and stars are small."""
+    for name, value in {"TREES": 1, "MIN_DEPTH": 0, "NEIGHBOURS": 1, "STAR": 4, "LEFT": (4, 8), "RIGHT": (8, 16), "SLICE": 64}.items():
+        monkeypatch.setattr(near_dup, name, value)
+    rows = edited_copies(3, 50, 120, (3, 12))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(docs, 2).collect()}
     assert got == brute_components(rows, 2)
 
 
+def test_near_duplicates_of_a_large_group(spark):
+    """Some thousand copies of one text, most near the threshold of each other."""
+    rows = edited_copies(1, 1500, 60, (1, 9))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(docs, 2).collect()}
+    assert got == brute_components(rows, 2) and len(set(got.values())) > 1
+
+
+def test_shared_counts():
+    r = np.random.default_rng(2)
+    sets = [np.unique(r.integers(0, 9000, n).astype(np.uint64)) for n in (1, 50, 3000, 9000, 20_000)]
+    got = near_dup.shared_counts(sets[:3], sets)
+    assert got.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets[:3]]
+
+
 def test_near_duplicates_odd(spark, odd, none):
     rows = near_dup.near_duplicates(odd, 2).collect()
     assert len(rows) == odd.count()

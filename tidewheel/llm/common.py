@@ -45,9 +45,20 @@ def long_id(column: str = "doc_id") -> Column:
     return F.col(column).cast("long")
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """Mark a side of a few short columns for broadcast if a count shows at most so many rows; else leave it to a shuffle join."""
-    return F.broadcast(df) if df.count() <= rows else df
+BROADCAST_BYTES = 8 << 20
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark df for broadcast if its measured size is at most ``most`` bytes; else leave it to a shuffle join.
+
+    A number counts 8 bytes, text and binary by their length. df should be cheap to read (a written table).
+    """
+    size = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
 
 
 def sent_with_tasks(module: str) -> None:

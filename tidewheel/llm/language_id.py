@@ -35,7 +35,7 @@ def sample_text(labelled: DataFrame, chars: int = SAMPLE_CHARS, docs: int = SAMP
     """
     rows = labelled.filter("lang is not null and length(trim(text)) > 0").select("lang", "text").filter(F.length("text") <= chars)
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "known")
-    counts = broadcast_if_small(written(counts, "language-counts"), 100_000)  # a row per language; texts stay where they are
+    counts = broadcast_if_small(written(counts, "language-counts"))  # a row per language; texts stay where they are
     share = F.least(F.lit(1.0), F.lit(float(docs)) / F.col("n"))
     # Shorter documents first, so that a sample draws on some twenty of them at least where there are so many.
     drawn = rows.withColumn("u", F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0).join(counts, F.col("lang") == F.col("known"))
