@@ -1,15 +1,19 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton is built of a bounded sample of its labelled text. A document is parsed against
-each automaton into phrases, each the longest match with the sample (or one character that the sample lacks). The
-language that needs the fewest phrases per character wins; ties go to the first language by code point.
+each automaton into phrases, each the longest match with the sample (or one character that the sample lacks). Phrases
+are normalised by the logarithm of the sample's length, as a phrase costs that many bits to point at: the language of
+the smallest phrases * log2(sample length) wins, so a small sample is at no disadvantage; ties go to the first language
+by code point.
 
-The parse is a finite transducer: a transition table from (state, character) to the next state and whether a phrase
-ended. Many stretches of text step through it together. A text is parsed in stretches of ``STRETCH`` characters, which
-adds at most one phrase per stretch for every language alike; whole texts are parsed.
+The parse is a finite transducer: a transition table from (state, symbol) to the next state and whether a phrase ended.
+Each language has symbols of its own, from its sample: its most frequent letters, its other letters in a few buckets,
+one for letters it lacks and one for what is no letter. So any script is learned, and a letter foreign to a language is
+a phrase there. Many stretches of text step through the table together. A text is parsed in stretches of ``STRETCH``
+characters, which adds at most one phrase per stretch for every language alike; whole texts are parsed.
 
 Nulls and short texts: a null text, or one with no letter, is ``und`` with score 0. A sample without any labelled text
-makes every prediction ``und``. An empty table gives no rows.
+makes every prediction ``und``. Every language with a text that has a letter is learned. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,48 +23,69 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import broadcast_if_small, sent_with_tasks, written
 
-SAMPLE_CHARS, SAMPLE_DOCS, SYMBOLS, STRETCH = 40_000, 60, 48, 1024
+SAMPLE_CHARS, SAMPLE_DOCS, STRETCH = 40_000, 60, 1024
+#: Symbols of a language: 0 for what is no letter, then its frequent letters, buckets of its others, and foreign letters.
+SYMBOLS, BUCKETS = 56, 8
+FOREIGN = SYMBOLS - 1
 
 
 def sample_text(labelled: DataFrame, chars: int = SAMPLE_CHARS, docs: int = SAMPLE_DOCS) -> dict[str, str]:
-    """Per language about ``docs`` documents, chosen by a hash threshold from the language's count, to ``chars`` characters.
+    """Per language ``docs`` distinct texts, those of the smallest hashes, to ``chars`` characters.
 
-    Only rows with text, lang and up to ``chars`` characters are drawn from. What comes to the driver is the bounded
-    sample.
+    Copies of a text count once, whether a language has few or many of them. Texts are cut for the sample only: each
+    gives an eighth of it, and more if the others do not fill it. What comes to the driver is at most docs * chars
+    characters a language.
     """
-    rows = labelled.filter("lang is not null and length(trim(text)) > 0").select("lang", "text").filter(F.length("text") <= chars)
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "known")
+    rows = labelled.filter("lang is not null and text rlike '[\\\\p{L}]'").select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).withColumnRenamed("lang", "known")
     counts = broadcast_if_small(written(counts, "language-counts"))  # a row per language; texts stay where they are
-    share = F.least(F.lit(1.0), F.lit(float(docs)) / F.col("n"))
-    # Shorter documents first, so that a sample draws on some twenty of them at least where there are so many.
-    drawn = rows.withColumn("u", F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0).join(counts, F.col("lang") == F.col("known"))
-    got: dict[str, str] = {}
-    for lang, text in drawn.filter(F.col("u") < share).orderBy("lang", F.length("text") > chars // 20, "u", "text").select("lang", "text").toLocalIterator():
-        if len(got.get(lang, "")) < chars:
-            got[lang] = (got.get(lang, "") + "\n" + text.lower())[:chars]
+    # Some four times as many as are wanted pass the threshold: it may thin, but not lose, a language.
+    share = F.lit(4.0 * docs) / F.col("n")
+    near = rows.select("lang", "h").join(counts, F.col("lang") == F.col("known")).filter(F.pmod("h", F.lit(1_000_003)) / 1_000_003.0 < share).select("lang", "h").distinct()
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1_000_003)), "h")
+    few = near.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= docs).select(F.col("lang").alias("known"), F.col("h").alias("chosen"), "at")
+    few = broadcast_if_small(written(few, "language-sample"))
+    drawn = rows.join(few, (F.col("lang") == F.col("known")) & (F.col("h") == F.col("chosen")))
+    texts = drawn.groupBy("lang", "at").agg(F.min(F.substring("text", 1, chars)).alias("text"))
+    found: dict[str, list[str]] = {}
+    for lang, text in texts.orderBy("lang", F.length("text") > chars // 20, "at").select("lang", "text").toLocalIterator():
+        found.setdefault(lang, []).append(text.lower())
+    got = {}
+    for lang, parts in found.items():
+        own = "\n".join(t[: chars // 8] for t in parts)[:chars]
+        got[lang] = "\n".join([own, *(t[chars // 8 :] for t in parts)])[:chars] if len(own) < chars else own
     return dict(sorted(got.items()))
 
 
-def symbol_table(samples: dict[str, str]) -> np.ndarray:
-    """Code point -> symbol: 0 for what is no letter, the most frequent letters of the samples, one symbol for all others."""
-    counts: Counter[str] = Counter()
-    for text in samples.values():
-        counts.update(c for c in text if c.isalpha())
-    table = np.array([SYMBOLS - 1 if chr(p).isalpha() else 0 for p in range(0x3000)], np.int32)
-    for k, c in enumerate(sorted((c for c in counts if ord(c) < len(table)), key=lambda c: (-counts[c], c))[: SYMBOLS - 2]):
-        table[ord(c)] = k + 1
+def letter_numbers(samples: dict[str, str]) -> np.ndarray:
+    """Code point -> 0 for what is no letter, 1 for letters of no sample, from 2 on the samples' letters."""
+    known = sorted({c for text in samples.values() for c in text if c.isalpha()})
+    table = np.array([chr(p).isalpha() for p in range(0x110000)], np.uint16)
+    for k, c in enumerate(known):
+        table[ord(c)] = k + 2
     return table
 
 
-def symbols(text: str, table: np.ndarray) -> np.ndarray:
-    """The text's symbols; a run of characters that are no letters counts as one."""
+def own_symbols(text: str, table: np.ndarray) -> np.ndarray:
+    """Number of a letter -> symbol of the language that the text is a sample of."""
+    counts = Counter(c for c in text if c.isalpha())
+    out = np.full(int(table.max()) + 1, FOREIGN, np.int32)
+    out[0] = 0
+    frequent = SYMBOLS - 2 - BUCKETS
+    for k, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c))):
+        out[table[ord(c)]] = k + 1 if k < frequent else frequent + 1 + ord(c) % BUCKETS
+    return out
+
+
+def numbers(text: str, table: np.ndarray) -> np.ndarray:
+    """The numbers of a text's letters; a run of characters that are no letters counts as one."""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    out = table[np.minimum(points, len(table) - 1)]
+    out = table[points]
     return out[(out != 0) | np.concatenate([[True], out[:-1] != 0])] if len(out) else out
 
 
@@ -94,29 +119,33 @@ def automaton(seq: list[int]) -> tuple[list[dict[int, int]], int]:
     return nxt, len(nxt)
 
 
-def transducers(samples: dict[str, str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All automata in one table of 2 * next + (a phrase ended), and the root state of each language.
+def transducers(samples: dict[str, str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All automata in one table of 4 * next + phrases ended; of each language the root, the symbols and the bits of a phrase.
 
     Where a state lacks a symbol the phrase ends and the symbol starts the next one at the root; a symbol that the root
-    lacks is a phrase by itself.
+    lacks is a phrase by itself, so it may end two.
     """
-    parts, roots, base = [], [], 0
+    parts, roots, own, bits, base = [], [], [], [], 0
     for text in samples.values():
-        nxt, n = automaton(symbols(text, table).tolist())
+        own.append(own_symbols(text, table))
+        seq = own[-1][numbers(text, table)]
+        nxt, n = automaton(seq.tolist())
         root = np.full(SYMBOLS, base, np.int64)
         for c, s in nxt[0].items():
             root[c] = base + s
-        step = np.tile(root * 2 + 1, (n, 1))
+        step = np.tile(root * 4 + 1 + (root == base), (n, 1))
+        step[0] = root * 4 + (root == base)
         for s, out in enumerate(nxt):
             for c, t in out.items():
-                step[s, c] = (base + t) * 2
+                step[s, c] = (base + t) * 4
         parts.append(step.astype(np.int32))
         roots.append(base)
+        bits.append(np.log2(len(seq) + 1))
         base += n
-    return np.concatenate(parts).ravel(), np.array(roots, np.int32)
+    return np.concatenate(parts).ravel(), np.array(roots, np.int32), np.array(own), np.array(bits)
 
 
-def phrases(codes: list[np.ndarray], step: np.ndarray, roots: np.ndarray) -> np.ndarray:
+def phrases(codes: list[np.ndarray], step: np.ndarray, roots: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Phrases of each text (rows) in each language (columns); stretches advance together, longest first."""
     owner, pieces = [], []
     for i, c in enumerate(codes):
@@ -138,10 +167,10 @@ def phrases(codes: list[np.ndarray], step: np.ndarray, roots: np.ndarray) -> np.
         count = np.zeros((len(roots), len(part)), np.int32)
         for t in range(lens[0]):
             n = live[t]
-            v = step[state[:, :n] * SYMBOLS + grid[t, :n]]
-            count[:, :n] += v & 1
-            state[:, :n] = v >> 1
-        count += 1  # the phrase that the stretch's end cuts
+            v = step[state[:, :n] * SYMBOLS + own[:, grid[t, :n]]]
+            count[:, :n] += v & 3
+            state[:, :n] = v >> 2
+        count += state != roots[:, None]  # the phrase that the stretch's end cuts
         np.add.at(out, [owner[k] for k in part], count.T)
     return out
 
@@ -152,7 +181,7 @@ def has_letter(text: str) -> bool:
 
 def identify(docs: DataFrame, samples: dict[str, str], keep: list[str]) -> DataFrame:
     """The kept columns of docs with ``lang_pred`` and ``score`` (how far the runner-up is behind, 0 to 1)."""
-    table = symbol_table(samples)
+    table = letter_numbers(samples)
     model = (table, *transducers(samples, table), list(samples)) if samples else None
     # SAMPLE_CHARS bounds the states of a language; the table grows with languages only.
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -167,9 +196,9 @@ def identify(docs: DataFrame, samples: dict[str, str], keep: list[str]) -> DataF
                 known = [bool(model) and has_letter(t) for t in texts]
                 names, score = ["und"] * len(texts), [0.0] * len(texts)
                 if any(known):
-                    table, step, roots, langs = model
+                    table, step, roots, own, bits, langs = model
                     rows = [i for i, k in enumerate(known) if k]
-                    got = phrases([symbols(texts[i], table) for i in rows], step, roots)
+                    got = phrases([numbers(texts[i], table) for i in rows], step, roots, own) * bits
                     for i, counts in zip(rows, got, strict=True):
                         first = int(counts.argmin())
                         rest = np.delete(counts, first)
