@@ -10,9 +10,13 @@ The sketches' hashes are also folded into a bit map of fixed size. Documents tes
 anything is exploded or shuffled; the few that pass are joined with the sketches. Each candidate pair is then verified
 on the shingles themselves.
 
-Words are runs of letters and digits, lower-cased. A text of fewer words than a shingle takes is one shingle as a whole.
-Nulls: a null text, or one without words, contains nothing and is contained nowhere; a null id takes no part.
-Repeated rows give one pair. Empty tables give no pairs.
+Words are runs of letters and digits, lower-cased. An item of fewer words than a shingle takes is one shingle of its own
+length, and documents are shingled at the lengths of such items too: it is found wherever its words stand in a row, so an
+item of a single common word is found in all documents that hold the word.
+Nulls: a null text, or one without words, contains nothing and is contained nowhere; a null item_id takes no part.
+Documents are told apart by doc_id and text, so ``clean`` judges rows of a null or repeated doc_id each by its own text;
+``contaminated`` names documents, so rows of a null doc_id are not in it. Repeated rows give one pair. Empty tables give
+no pairs.
 """
 
 from __future__ import annotations
@@ -30,28 +34,43 @@ def words_of(text: str = "text") -> Column:
     return F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
 
 
-def shingles(words: str, n: int) -> Column:
-    """Distinct shingles of a column of words, as text."""
-    w = F.col(words)
-    many = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, F.array_distinct(many)).when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+def runs(column: str, k: int, of) -> Column:
+    """What ``of`` makes of each run of k elements; none where there are fewer."""
+    x = F.col(column)
+    many = F.transform(F.sequence(F.lit(1), F.size(x) - k + 1), lambda i: of(x, i, k))
+    return F.when(F.size(x) >= k, many).otherwise(F.array())
 
 
-def hashed(df: DataFrame, n: int) -> DataFrame:
-    """df with ``hashes`` of the shingles of its text, repeats included; a shingle's hash is made of its words' hashes."""
-    many = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.xxhash64(*(F.get("word_hashes", i + k) for k in range(n))))
-    hashes = F.when(F.size("words") >= n, many).when(F.size("words") > 0, F.array(F.xxhash64("word_hashes"))).otherwise(F.array().cast("array<bigint>"))
-    words = df.withColumn("words", words_of()).withColumn("word_hashes", F.transform("words", lambda x: F.xxhash64(x)))
-    return words.withColumn("hashes", hashes).drop("words", "word_hashes")
+def shingles(column: str, lengths: list[int]) -> Column:
+    """Distinct shingles of a column of words, as text, of all the lengths."""
+    joined = lambda x, i, k: F.array_join(F.slice(x, i, k), " ")
+    return F.array_distinct(F.concat(*(runs(column, k, joined).cast("array<string>") for k in lengths)))
+
+
+def shingle_hashes(column: str, lengths: list[int]) -> Column:
+    """Hashes of the shingles, repeats included; a shingle's hash is made of its words' hashes."""
+    mixed = lambda x, i, k: F.xxhash64(*(F.get(x, i - 1 + j) for j in range(k)))
+    return F.concat(*(runs(column, k, mixed).cast("array<bigint>") for k in lengths))
+
+
+def with_words(df: DataFrame) -> DataFrame:
+    return df.withColumn("words", words_of()).withColumn("word_hashes", F.transform("words", lambda x: F.xxhash64(x)))
+
+
+def by_length(items: DataFrame, n: int, shape) -> Column:
+    """``shape`` at an item's own length: n words, or all it has if fewer."""
+    return F.coalesce(*(F.when(F.least(F.size("words"), F.lit(n)) == k, shape([k])) for k in range(1, n + 1)))
 
 
 def sketch(items: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """item_id, hash: each item's sketch, as large as its size class needs."""
-    sets = hashed(items.select("item_id", "text"), n).select("item_id", F.array_sort(F.array_distinct("hashes")).alias("hashes")).filter(F.size("hashes") > 0)
+    """item_id, length, hash: each item's sketch, as large as its size class needs."""
+    worded = with_words(items.select("item_id", "text")).filter(F.size("words") > 0)
+    hashes = F.array_sort(F.array_distinct(by_length(worded, n, lambda k: shingle_hashes("word_hashes", k))))
+    sets = worded.select("item_id", F.least(F.size("words"), F.lit(n)).alias("length"), hashes.alias("hashes"))
     size_class = F.floor(F.log2(F.size("hashes").cast("double")))
     largest = F.pow(F.lit(2.0), size_class + 1) - 1
     k = F.floor(largest * (den - num) / den + 1e-9).cast("int") + 1
-    return sets.select("item_id", F.explode(F.slice("hashes", F.lit(1), F.least(k, F.size("hashes")))).alias("hash"))
+    return sets.select("item_id", "length", F.explode(F.slice("hashes", F.lit(1), F.least(k, F.size("hashes")))).alias("hash"))
 
 
 def bitmap(sketches: DataFrame) -> list[int]:
@@ -64,32 +83,41 @@ def bitmap(sketches: DataFrame) -> list[int]:
     return out
 
 
-def candidates(docs: DataFrame, sketches: DataFrame, n: int) -> DataFrame:
-    """doc_id, item_id of documents that hold a hash of an item's sketch."""
+def candidates(docs: DataFrame, sketches: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, text_hash, item_id of documents that hold a hash of an item's sketch."""
     bits = F.expr(f"array({', '.join(f'{b}L' for b in bitmap(sketches))})")  # 64 KB: fixed size
-    rows = hashed(docs.select("doc_id", "text").filter("doc_id is not null and text is not null"), n)
+    rows = with_words(docs.select("doc_id", "text").filter("text is not null")).select("doc_id", F.xxhash64("text").alias("text_hash"), shingle_hashes("word_hashes", lengths).alias("hashes"))
     passes = lambda h: F.getbit(F.get(bits, F.shiftright(F.pmod(h, F.lit(1 << BITMAP_BITS)), 5).cast("int")), h.bitwiseAND(F.lit(31)).cast("int")) == 1
-    hits = rows.select("doc_id", F.explode(F.array_distinct(F.filter("hashes", passes))).alias("hash"))
-    return hits.join(sketches, "hash").select("doc_id", "item_id").distinct()
+    hits = rows.select("doc_id", "text_hash", F.explode(F.array_distinct(F.filter("hashes", passes))).alias("hash"))
+    return hits.join(sketches, "hash").select("doc_id", "text_hash", "item_id").distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, item_id, n_shared, n_item, containment of every pair with containment of num / den or more."""
+def leaks(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, text_hash, item_id, n_shared, n_item of every document and item with containment of num / den or more."""
     items = items.filter("item_id is not null and text is not null")
     sketches = written(sketch(items, n, num, den), "item-sketches")
-    pairs = written(candidates(docs, sketches, n), "item-candidates")
-    found = broadcast_if_small(pairs.withColumnRenamed("doc_id", "d"))
-    texts = docs.select("doc_id", "text").join(found, F.col("doc_id") == F.col("d"))
-    doc_sets = texts.withColumn("words", words_of()).select("doc_id", "item_id", shingles("words", n).alias("doc_set"))
-    item_sets = items.withColumn("words", words_of()).select(F.col("item_id").alias("i"), shingles("words", n).alias("item_set"))
+    lengths = [r.length for r in sketches.select("length").distinct().orderBy("length").collect()] or [n]  # n of them at most
+    pairs = written(candidates(docs, sketches, lengths), "item-candidates")
+    found = broadcast_if_small(pairs.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "item_id"))
+    hashed = docs.filter("text is not null").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    texts = hashed.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
+    doc_sets = texts.withColumn("words", words_of()).select("doc_id", "text_hash", "item_id", shingles("words", lengths).alias("doc_set"))
+    worded = items.withColumn("words", words_of()).filter(F.size("words") > 0)
+    item_sets = worded.select(F.col("item_id").alias("i"), by_length(worded, n, lambda k: shingles("words", k)).alias("item_set"))
     both = doc_sets.join(item_sets, F.col("item_id") == F.col("i")).withColumn("n_shared", F.size(F.array_intersect("item_set", "doc_set")).cast("long")).withColumn("n_item", F.size("item_set").cast("long"))
-    best = both.filter(F.col("n_shared") * den >= F.col("n_item") * num).select("doc_id", "item_id", "n_shared", "n_item")
+    return both.filter(F.col("n_shared") * den >= F.col("n_item") * num).select("doc_id", "text_hash", "item_id", "n_shared", "n_item")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, item_id, n_shared, n_item, containment of every pair with containment of num / den or more."""
+    best = leaks(docs.filter("doc_id is not null"), items, n, num, den)
     # A doc_id or item_id of several rows gives one pair, the fullest.
     one = best.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("c"), "n_shared", "n_item")).alias("x"))
     return one.select("doc_id", "item_id", "x.n_shared", "x.n_item", F.col("x.c").alias("containment"))
 
 
 def clean(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """docs without those that contain a test item."""
-    leaks = written(contaminated(docs, items, n, num, den).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
-    return docs.join(broadcast_if_small(leaks), F.col("doc_id") == F.col("__leak"), "left_anti")
+    """docs without the rows whose text contains a test item."""
+    found = leaks(docs, items, n, num, den).select(F.col("doc_id").alias("__leak"), F.col("text_hash").alias("__hash")).distinct()
+    found = broadcast_if_small(written(found, "leaks"))
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__leak")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")

@@ -8,8 +8,8 @@ mixes for growing budgets are nested.
 
 A source with a target above its size takes every document once and those below the threshold for the excess twice.
 
-Nulls: a null text has size 0, a null source is a source of its own (last), a null doc_id is hashed by its text.
-Documents of equal hash (repeated rows) are taken together. An empty table gives an empty mix.
+Nulls: a null text has size 0, a null source is a source of its own (last), a null doc_id is hashed as the word null.
+Rows equal in both id and text have one hash and are taken together. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -17,15 +17,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import written
+from tidewheel.llm.common import broadcast_if_small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, LEVEL_BITS = 60, 12  # 4096 buckets a level, so a source is that many rows at most
 
 
 def mix_hash(doc_id: Column, text: Column) -> Column:
-    """First 60 bits of md5 of the id as text; of a null id, of 'null' and the text."""
-    key = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null"), F.coalesce(text, F.lit(""))))
+    """First 60 bits of md5 of the id as text (or 'null') and the md5 of the text, so rows that share one of them spread."""
+    digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    key = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("-"), digest)
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -66,6 +67,7 @@ def hash_thresholds(hashed: DataFrame, budgets: DataFrame) -> DataFrame:
     for level in range(1, HASH_BITS // LEVEL_BITS + 1):
         shift = HASH_BITS - LEVEL_BITS * level
         rows = hashed.withColumn("bucket", F.shiftright("h", shift))
+        bounds = broadcast_if_small(bounds)
         inside = rows.join(bounds, rows.source.eqNullSafe(bounds.source) & (F.shiftright(F.col("h"), shift + LEVEL_BITS) == F.shiftright(F.col("low"), shift + LEVEL_BITS)), "inner").select(rows.source, "bucket", "size", "left")
         histogram = inside.groupBy("source", "bucket").agg(F.sum("size").alias("size"), F.max("left").alias("left"))
         run = Window.partitionBy("source").orderBy("bucket")
@@ -96,13 +98,13 @@ def mix_plan(sized: DataFrame, weights: tuple[int, ...], share: float, most: flo
     base = F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = targets.withColumn("base", base.cast("long")).withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
     thresholds = hash_thresholds(sized.filter("size > 0"), plan).withColumnRenamed("source", "s1")
-    return plan.join(thresholds, plan.source.eqNullSafe(F.col("s1"))).select("s1", "source_size", "target", "base", "threshold")
+    return written(plan.join(thresholds, plan.source.eqNullSafe(F.col("s1"))).select("s1", "source_size", "target", "base", "threshold"), "mix-plan")
 
 
 def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """rows (source, h and more) with source_size, target and ``copies``, how often the mix takes the row."""
     copies = F.col("base") + (F.col("h") < F.col("threshold")).cast("long")
-    return rows.join(plan, rows.source.eqNullSafe(F.col("s1"))).withColumn("copies", copies).drop("s1", "base", "threshold")
+    return rows.join(broadcast_if_small(plan), rows.source.eqNullSafe(F.col("s1"))).withColumn("copies", copies).drop("s1", "base", "threshold")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:

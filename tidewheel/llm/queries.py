@@ -96,13 +96,16 @@ OP6_SQL = r"""
 WITH t AS (
   SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
   UNION ALL SELECT 'b', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') FROM benchmark),
-s AS (
-  SELECT kind, id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM t),
-d AS (SELECT id AS doc_id, unnest(g) AS x FROM s WHERE kind = 'd'),
-b AS (SELECT id AS item_id, CAST(len(g) AS BIGINT) AS n_item, unnest(g) AS x FROM s WHERE kind = 'b')
+n AS (SELECT DISTINCT least(len(w), 5) AS k FROM t WHERE kind = 'b' AND len(w) > 0),
+d AS (
+  SELECT DISTINCT id AS doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS x
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM t, n WHERE kind = 'd' AND len(w) >= k)),
+b AS (
+  SELECT DISTINCT id AS item_id, k, array_to_string(w[i:i + k - 1], ' ') AS x
+  FROM (SELECT id, w, least(len(w), 5) AS k, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM t WHERE kind = 'b' AND len(w) > 0)),
+c AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY 1)
 SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item::DOUBLE AS containment
-FROM d JOIN b ON d.x = b.x GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
+FROM d JOIN b USING (x, k) JOIN c USING (item_id) GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
 """
 
 OP10_SQL = """
@@ -119,7 +122,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 OP9_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null' || coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '-' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
   FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
