@@ -107,23 +107,53 @@ def test_language(spark, odd, none):
     assert language_id.identify(none, samples, ["doc_id"]).count() == 0
 
 
-def test_parse_counts_phrases():
-    sample = {"x": "abracadabra"}
-    table = language_id.symbol_table(sample)
-    step, roots = language_id.transducers(sample, table)
+def brute_phrases(text, sample):
+    n, at = 0, 0
+    while at < len(text):
+        k = at
+        while k < len(text) and text[at : k + 1] in sample:
+            k += 1
+        n, at = n + 1, max(k, at + 1)
+    return n
 
-    def brute(text):
-        n, at = 0, 0
-        while at < len(text):
-            k = at
-            while k < len(text) and text[at : k + 1] in sample["x"]:
-                k += 1
-            n, at = n + 1, max(k, at + 1)
-        return n
 
-    # A phrase of one character that the sample lacks ends by itself, which the transducer counts when it meets it.
-    for text in ("abra", "abraabra", "cadab", "bbb", "rad"):
-        assert language_id.phrases([language_id.symbols(text, table)], step, roots)[0, 0] == brute(text)
+def test_parse_counts_phrases():
+    sample = {"x": "abracadabra"}
+    table = language_id.letter_numbers(sample)
+    step, roots, own, _ = language_id.transducers(sample, table)
+    for text in ("abra", "abraabra", "cadab", "bbb", "rad", "abxra", "xx", "xab", "abx", ""):
+        assert language_id.phrases([language_id.numbers(text, table)], step, roots, own)[0, 0] == brute_phrases(text, sample["x"])
+
+
+def test_language_against_brute_force(spark):
+    """Small samples, few letters: the prediction is the language of the fewest phrases times log2 of its sample's length."""
+    r = random.Random(3)
+    say = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    samples = {"aa": say("abcd", 300), "bb": say("bcde", 2000), "cc": say("cdef", 700)}
+    texts = [say(r.choice(["abcd", "bcde", "cdef"]), r.randrange(1, 200)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.lang_pred, x.score) for x in language_id.identify(docs, samples, ["doc_id"]).collect()}
+    for i, t in enumerate(texts):
+        n = {k: brute_phrases(t, x) * math.log2(len(x) + 1) for k, x in samples.items()}
+        best, *rest = sorted(n, key=lambda k: (n[k], k))
+        assert got[i][0] == best and math.isclose(got[i][1], 1 - n[best] / n[rest[0]], abs_tol=1e-9)
+
+
+def test_every_language_is_learned(spark):
+    """One text in 2000 copies, fifty texts, one very long text, and scripts beyond the alphabetic ones."""
+    r = random.Random(4)
+    han, kana = [chr(0x4E00 + 7 * k) for k in range(500)], [chr(0x3042 + k) for k in range(60)]
+    say = {
+        "en": lambda n: " ".join(r.choice(["the", "and", "of", "house", "with", "thing"]) for _ in range(n)), "fr": lambda n: " ".join(r.choice(["le", "et", "maison", "avec", "chose", "été"]) for _ in range(n)),
+        "xl": lambda n: " ".join(r.choice(["zzyx", "qoqo", "wuxu", "vyx"]) for _ in range(n)), "zh": lambda n: "".join(r.choice(han) for _ in range(n)), "ja": lambda n: "".join(r.choice(kana + han[:80]) for _ in range(n)),
+        "ru": lambda n: " ".join(r.choice(["дом", "и", "вещь", "один"]) for _ in range(n)),
+    }
+    rows = [(i, x, "en", "a") for i, x in enumerate([say["en"](60)] * 2000)] + [(3000 + i, say["fr"](60), "fr", "a") for i in range(50)] + [(4000, say["xl"](20_000), "xl", "b")]
+    rows += [(5000 + k * 100 + i, say[lang](400), lang, "c") for k, lang in enumerate(("zh", "ja", "ru")) for i in range(12)]
+    samples = language_id.sample_text(documents(spark, rows))
+    assert set(samples) == set(say) and all(0 < len(t) <= language_id.SAMPLE_CHARS for t in samples.values())
+    asked = [(k * 10 + i, say[lang](80), lang, "q") for k, lang in enumerate(say) for i in range(5)]
+    assert all(x.lang == x.lang_pred for x in language_id.identify(documents(spark, asked), samples, ["doc_id", "lang"]).collect())
 
 
 def test_op3_query(spark):
@@ -205,13 +235,13 @@ def brute_containment(docs, items):
 
     def sets(t):
         w = regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())
-        return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {" ".join(w)} if w else set()
+        return {n: {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} for n in range(1, 6)}, min(len(w), 5)
 
     out = set()
-    ds = [(i, sets(t)) for i, t in docs if i is not None]
+    ds = [(i, sets(t)[0]) for i, t in docs if i is not None]
     for k, t in items:
-        q = sets(t)
-        out |= {(i, k) for i, s in ds if q and 100 * len(q & s) >= 80 * len(q)}
+        by, n = sets(t)
+        out |= {(i, k) for i, s in ds if n and 100 * len(by[n] & s[n]) >= 80 * len(by[n])}
     return out
 
 
@@ -229,11 +259,20 @@ def test_decontamination(spark, odd, none):
     rows = decontamination.contaminated(d, i).collect()
     assert len(rows) == len({(r.doc_id, r.item_id) for r in rows})
     assert {(r.doc_id, r.item_id) for r in rows} == brute_containment(docs, items)
-    assert {r.doc_id for r in decontamination.clean(d, i).collect()} == {x for x, _ in docs} - {r.doc_id for r in rows}
+    left = Counter((r.doc_id, r.text) for r in decontamination.clean(d, i).collect())
+    assert left == Counter((x, t) for k, (x, t) in enumerate(docs) if not brute_containment([(k, t)], items))
     assert decontamination.contaminated(none, i).count() == 0
     assert decontamination.clean(odd, i.limit(0)).count() == odd.count()
 
 
+def test_short_items_in_long_documents(spark):
+    items = [(1, "secret phrase here"), (2, "Zyx"), (3, "four words in row"), (4, "absent phrase here")]
+    docs = [(1, prose(1, 10_000) + " a Secret, phrase HERE " + prose(2, 10_000)), (2, "secret phrase"), (3, "zyx"), (4, "the zyx"), (5, "four words in a row"), (6, "so four words in row")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(d, i).collect()}
+    assert got == {(1, 1), (3, 2), (4, 2), (6, 3)} == brute_containment(docs, items)
+
+
 # near duplicates
 
 
@@ -386,6 +425,16 @@ def test_mixing(spark, odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_of_one_id(spark):
+    """One id, or none, with a large share of all texts: its rows are taken one by one."""
+    for same in (7, None):
+        docs = documents(spark, [(same if i % 2 else i, prose(i, 20 + i % 9), "en", "ab"[i % 3 == 0]) for i in range(600)])
+        per = defaultdict(int)
+        for r in mixing.mix(docs).collect():
+            per[r.source, r.target] += r.copies * r.size
+        assert all(abs(n - target) <= 30 for (_, target), n in per.items())
+
+
 def test_mixing_is_nested(spark):
     docs = documents(spark, [(i, prose(i, 30), "en", "ab"[i % 2]) for i in range(400)])
     small = {r.doc_id for r in mixing.mix(docs, share=0.3).collect() if r.copies}

@@ -125,11 +125,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     return np.frombuffer(bytes(row.weight), np.float32), row.bias
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of docs (default: all) with ``score``, the probability of label 1. A column named so is replaced."""
+def scored(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The kept columns of docs (default: all) with a column ``name``, the probability of label 1. A column named so is replaced."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # 2**BITS floats, whatever the data
-    cols = [c for c in (keep if keep is not None else docs.columns) if c != "score"]
+    cols = [c for c in (keep if keep is not None else docs.columns) if c != name]
     plain = docs.select(*cols, F.col("text").alias("__text")) if "text" not in cols else docs.select(*cols)
     text = "text" if "text" in cols else "__text"
 
@@ -142,9 +142,9 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | N
                 ids = buckets(t.as_py())
                 z[i] += weight[np.unique(ids[weighs[ids]])].sum(dtype=np.float64)
             score = pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), score], [*cols, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), score], [*cols, name])
 
-    schema = docs.select(*cols).withColumn("score", F.lit(0.0)).schema
+    schema = docs.select(*cols).withColumn(name, F.lit(0.0)).schema
     return plain.mapInArrow(run, schema)
 
 
