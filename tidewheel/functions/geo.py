@@ -6,6 +6,8 @@ text is made of them where it is wanted.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,10 +66,32 @@ def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     return EARTH_DIAMETER_M * F.atan2(F.sqrt(h), F.sqrt(1 - h))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], metres: float, reach: int = 2) -> DataFrame:
-    """Rows of left and right within ``metres``, with ``distance``; candidates share a cell after the right side is
-    expanded to the cells within ``reach``."""
-    a = with_cells(left, *left_at)
-    b = expand_cells(with_cells(right, *right_at), reach)
-    near = a.join(b, ["cell_x", "cell_y"]).withColumn("distance", haversine_m(*left_at, *right_at))
-    return near.filter(F.col("distance") <= metres).drop("cell_x", "cell_y")
+def _columns(y: Column, height: float, angle: float) -> Column:
+    """Columns of a band of latitude: each as wide as two points of the angular distance can lie apart there, or one around a pole."""
+    edge = F.greatest(F.abs(y * height - 90), F.abs((y + 1) * height - 90))
+    widest = F.degrees(F.asin(F.least(F.lit(1.0), math.sin(angle) / F.cos(F.radians(edge)))))
+    return F.when(edge + math.degrees(angle) >= 90, 1).otherwise(F.greatest(F.lit(1), F.floor(360 / widest))).cast("long")
+
+
+def near_pairs(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], metres: float) -> DataFrame:
+    """Rows of left and right within ``metres``, with ``distance``; complete at any latitude and for any radius.
+
+    An equi join on a grid made for the radius: bands of latitude of its height, each cut into columns as wide as the
+    radius is there. The right side is copied to the cells that its circle touches, some nine of them.
+    """
+    angle = min(metres / (EARTH_DIAMETER_M / 2) * (1 + 1e-9) + 1e-12, math.pi / 2)
+    bands = max(1, int(180 / math.degrees(angle)))
+    height = 180 / bands
+    band = lambda lat: F.least(F.floor((F.col(lat) + 90) / height), F.lit(bands - 1))
+    at = lambda lon, n: F.floor((lon + 180) / 360 * n)
+    a = left.filter(valid_point(*left_at)).withColumn("_y", band(left_at[0]))
+    a = a.withColumn("_k", _columns(F.col("_y"), height, angle)).withColumn("_x", F.pmod(at(F.col(left_at[1]), F.col("_k")), F.col("_k"))).drop("_k")
+    lat, lon = F.col(right_at[0]), F.col(right_at[1])
+    b = right.filter(valid_point(*right_at)).withColumn("_y", F.explode(F.sequence(F.greatest(band(right_at[0]) - 1, F.lit(0)), F.least(band(right_at[0]) + 1, F.lit(bands - 1)))))
+    half = F.when(F.abs(lat) + math.degrees(angle) >= 90, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), math.sin(angle) / F.cos(F.radians(lat)))))) * (1 + 1e-9)
+    b = b.withColumn("_k", _columns(F.col("_y"), height, angle))
+    first, last = at(lon - half, F.col("_k")), at(lon + half, F.col("_k"))
+    cells = F.when(last - first + 1 >= F.col("_k"), F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)).otherwise(F.sequence(first, last))
+    b = b.withColumn("_x", F.explode(cells)).withColumn("_x", F.pmod("_x", "_k")).drop("_k")
+    near = a.join(b, ["_y", "_x"]).withColumn("distance", haversine_m(*left_at, *right_at))
+    return near.filter(F.col("distance") <= metres).drop("_y", "_x")

@@ -138,14 +138,19 @@ WILDCARDS = ["iab_tier1", "iab_tier2", "iab_content_channel", "iab_content_media
 def app_mapping(content: DataFrame, segments: DataFrame, attributes: list[str] = WILDCARDS, app: str = "accessed_app") -> DataFrame:
     """A9. accessed_app, feature: content joined with segment rules in which a null attribute matches anything.
 
-    Rules are few; those with an app join on it, those without are matched by the attributes they name.
+    Rules that name the same attributes are one equi join on them; there are at most as many joins as sets of attributes
+    that the rules name. A rule that names none matches every app.
     """
-    c, s = content.alias("c"), segments.alias("s")
-    same = lambda a: F.col(f"s.{a}").isNull() | (F.col(f"s.{a}") == F.col(f"c.{a}"))
-    on = same(app)
-    for a in attributes:
-        on = on & same(a)
-    return c.join(s, on).select(F.col(f"c.{app}").alias(app), F.lower("s.segment").alias("feature")).distinct()
+    names = [app, *attributes]
+    given = segments.select("segment", *(F.col(n).alias(f"_{n}") for n in names), F.concat(*(F.col(n).isNotNull().cast("int").cast("string") for n in names)).alias("_given"))
+    found = None
+    for row in given.select("_given").distinct().orderBy("_given").collect():  # at most 2 ** len(names) rows
+        rules = given.filter(F.col("_given") == row["_given"])
+        on = [content[n] == rules[f"_{n}"] for n, known in zip(names, row["_given"], strict=True) if known == "1"]
+        joined = content.join(rules, on) if on else content.crossJoin(rules.select("segment").distinct())
+        part = joined.select(content[app].alias(app), F.lower("segment").alias("feature"))
+        found = part if found is None else found.union(part)
+    return content.select(app, F.lit("").alias("feature")).limit(0) if found is None else found.distinct()
 
 
 def app_usage_weekly(usage: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.functions.relational import mode_with_count
 from tidewheel.functions.expr import FeatureSet, avg_over, division_of_sums, max_over, median_over, min_over, period_features, stddev_over, sum_over
 from tidewheel.functions.frames import distinct_over_window, dominant_category, rolling, rolling_fixed, rows_frame, weeks_since_last_activity
 from tidewheel.functions.timekeys import period_days, sla_month
@@ -227,6 +228,23 @@ def devices(weekly: DataFrame) -> DataFrame:
     return df.withColumn("changed", changed).select(*KEY, before.alias("fea_device_last_maker"), distinct_over_window("imeis", 91).alias("fea_device_count_03m"), F.sum("changed").over(rolling(91)).alias("fea_device_changes_03m"), F.transform("imeis", lambda i: F.substring(i, 1, 14)).alias("fea_device_imeis"))
 
 
+def device_modes(daily: DataFrame, weeks: int = 4) -> DataFrame:
+    """F29. daily: msisdn, weekstart, tac, maker. Per id and week: the most frequent of either in the week and in the last
+    weeks up to it (ties to the smaller), and how many ids have the week's.
+
+    Weeks are summed before they are handed to the windows that they fall into, so a row travels once a week, not a day.
+    """
+    out = daily.select(*KEY).distinct()
+    for c in ("tac", "maker"):
+        n = daily.filter(F.col(c).isNotNull()).groupBy(*KEY, c).agg(F.count("*").alias("n"))
+        ahead = n.withColumn("weekstart", F.explode(F.array(*(F.date_add("weekstart", 7 * k) for k in range(weeks)))))
+        week = mode_with_count(n, KEY, c, "n").select(*KEY, F.col(f"{c}_mode").alias(f"fea_device_{c}_mode_01w"))
+        month = mode_with_count(ahead, KEY, c, "n").select(*KEY, F.col(f"{c}_mode").alias(f"fea_device_{c}_mode_{weeks:02d}w"))
+        ids = n.groupBy("weekstart", c).agg(F.count("*").alias(f"fea_device_same_{c}_ids")).withColumnRenamed(c, f"fea_device_{c}_mode_01w")
+        out = out.join(week, KEY, "left").join(month, KEY, "left").join(ids, ["weekstart", f"fea_device_{c}_mode_01w"], "left")
+    return out
+
+
 def shared_devices(weekly: DataFrame, counts: DataFrame, sla_day: int = 10) -> DataFrame:
     """F28. Most ids that share one of an id's imeis, by the newest month delivered. counts: imei, month, ids."""
     each = weekly.select(*KEY, F.explode("imeis").alias("imei")).withColumn("month", sla_month("weekstart", sla_day))
@@ -279,7 +297,7 @@ def loans(weekly: DataFrame) -> DataFrame:
     for n in ("sent", "accepted"):
         fs.add(f"fea_loan_offers_{n}_{{period}}", lambda p, days, n=n: distinct_over_window(n, days), "1w", "1m", "3m")
     out = period_features(df, fs, KEY)
-    o = weekly.select("msisdn", F.explode("offers").alias("o")).select("msisdn", F.col("o.campaign").alias("campaign"), F.col("o.event_date").alias("offered"))
+    o = weekly.select("msisdn", F.explode("offers").alias("o")).groupBy("msisdn", F.col("o.campaign").alias("campaign")).agg(F.min("o.event_date").alias("offered"))
     t = weekly.select(*KEY, F.explode("taken").alias("t")).select(*KEY, F.col("t.campaign").alias("campaign"), F.col("t.event_date").alias("at"))
     days = t.join(o, ["msisdn", "campaign"]).filter("at >= offered").groupBy(*KEY).agg(F.max(F.datediff("at", "offered")).alias("days"))
     rolled = out.join(days, KEY, "left")

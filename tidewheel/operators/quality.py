@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import rolling
+from tidewheel.functions.quantiles import exact_percentiles
 from tidewheel.functions.relational import columns_of_type
 
 PERCENTILES = (0.25, 0.5, 0.75)
@@ -32,15 +33,24 @@ def accuracy_completeness(df: DataFrame, columns: list[str], by: list[str] = ("w
         "mean": lambda c: F.round(F.avg(c), 4),
         "null_percent": lambda c: F.avg(c.isNull().cast("double")) * 100,
         "negative_percent": lambda c: F.avg(F.coalesce(c < 0, F.lit(False)).cast("double")) * 100,
-        **{f"percentile_{p}".replace("0.", ""): (lambda p: lambda c: F.percentile(c, p))(p) for p in PERCENTILES},
     }
-    return long_metrics(measured(df), list(by), columns, metrics)
+    rows = measured(df)
+    out = long_metrics(rows, list(by), columns, metrics)
+    quartiles = exact_percentiles(long_values(rows, list(by), columns), [*by, "column"], "value", PERCENTILES)
+    named = quartiles.select(*by, "column", *(F.col("q")[k].alias(f"percentile_{p}".replace("0.", "")) for k, p in enumerate(PERCENTILES)))
+    return out.join(named, [*by, "column"], "left")
+
+
+def long_values(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """by, column, value."""
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns))
+    return df.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
 
 
 def tukey_outliers(df: DataFrame, columns: list[str], by: str = "weekstart") -> DataFrame:
     """Q2. Values beyond 1.5 interquartile ranges of the week's quartiles."""
-    long = df.select(by, F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns))).alias("r")).select(by, "r.*")
-    q = long.groupBy(by, "column").agg(F.percentile("value", 0.25).alias("q1"), F.percentile("value", 0.75).alias("q3"))
+    long = long_values(df, [by], columns)
+    q = exact_percentiles(long, [by, "column"], "value", (0.25, 0.75)).select(by, "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     joined = long.join(q, [by, "column"])
     return joined.groupBy(by, "column").agg(F.count_if(F.col("value") < F.col("q1") - 1.5 * iqr).alias("below"), F.count_if(F.col("value") > F.col("q3") + 1.5 * iqr).alias("above"))

@@ -15,6 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.functions.quantiles import exact_percentiles, percent_rank, percentiles_of
 from tidewheel.functions.relational import hash_unit
 
 
@@ -30,8 +31,9 @@ def psi_baseline(df: DataFrame, columns: list[str], bins: int = 5, least_distinc
     A bin reaches from its lower edge to below the next; the first and last are open.
     """
     v = long_values(df, [], columns).filter("value is not null")
-    per = v.groupBy("feature").agg(F.countDistinct("value").alias("n"), F.percentile("value", F.array(*(F.lit(k / bins) for k in range(1, bins)))).alias("edges")).filter(F.col("n") > least_distinct)
-    edges = per.select("feature", F.array_distinct(F.array_sort("edges")).alias("edges"))
+    per = v.groupBy("feature").agg(F.countDistinct("value").alias("n")).filter(F.col("n") > least_distinct)
+    quantiles = exact_percentiles(v, ["feature"], "value", tuple(k / bins for k in range(1, bins)))
+    edges = per.join(quantiles, "feature").select("feature", F.array_distinct(F.array_sort("q")).alias("edges"))
     ends = F.concat(F.array(F.lit(None).cast("double")), F.col("edges"), F.array(F.lit(None).cast("double")))
     table = edges.select("feature", F.posexplode(F.arrays_zip(F.slice(ends, F.lit(1), F.size("edges") + 1).alias("low"), F.slice(ends, F.lit(2), F.size("edges") + 1).alias("high"))).alias("bin", "e")).select("feature", "bin", "e.low", "e.high")
     counts = binned(v, edges).groupBy("feature", "bin").agg(F.count("*").alias("n"))
@@ -78,10 +80,10 @@ def rfm_score(df: DataFrame, cuts: dict[str, tuple[float, float]]) -> DataFrame:
 def rfm_cutoffs(df: DataFrame, columns: list[str]) -> DataFrame:
     """D5. measure, low_cut, high_cut: means of the values between the 1st and 33rd and the 33rd and 67th percentile.
 
-    Percentile bands come from one aggregation per measure instead of a sort of all rows into a hundred tiles.
+    Percentile bands come from counts of values instead of a sort of all rows into a hundred tiles.
     """
     v = long_values(df, [], columns).filter("value is not null")
-    q = v.groupBy("feature").agg(F.percentile("value", F.array(F.lit(0.33), F.lit(0.67))).alias("q"))
+    q = exact_percentiles(v, ["feature"], "value", (0.33, 0.67))
     joined = v.join(q, "feature")
     low, mid = F.col("value") <= F.col("q")[0], (F.col("value") > F.col("q")[0]) & (F.col("value") <= F.col("q")[1])
     return joined.groupBy(F.col("feature").alias("measure")).agg(F.avg(F.when(low, F.col("value"))).alias("low_cut"), F.avg(F.when(mid, F.col("value"))).alias("high_cut"))
@@ -143,7 +145,11 @@ def kmeans_by_segment(df: DataFrame, columns: list[str], segments: list[str], k:
 def cluster_profile(df: DataFrame, columns: list[str], by: str = "cluster") -> DataFrame:
     """D12. Size, and mean, median, 20th and 80th percentile of each column per cluster."""
     q = {"median": 0.5, "p20": 0.2, "p80": 0.8}
-    return df.groupBy(by).agg(F.count("*").alias("n"), *(a for c in columns for a in (F.avg(c).alias(f"{c}_mean"), *(F.percentile(c, p).alias(f"{c}_{n}") for n, p in q.items()))))
+    out = df.groupBy(by).agg(F.count("*").alias("n"), *(F.avg(c).alias(f"{c}_mean") for c in columns))
+    for c in columns:
+        found = exact_percentiles(df, [by], c, tuple(q.values()))
+        out = out.join(found.select(by, *(F.col("q")[k].alias(f"{c}_{n}") for k, n in enumerate(q))), by, "left")
+    return out
 
 
 def silhouettes(df: DataFrame, columns: list[str], ks: list[int]) -> DataFrame:
@@ -158,18 +164,22 @@ def silhouettes(df: DataFrame, columns: list[str], ks: list[int]) -> DataFrame:
 
 def pilot_features(df: DataFrame, group: str) -> DataFrame:
     """D14. Active and data-user flags, percentile of the score within a group, spend bin."""
-    pct = F.percent_rank().over(Window.partitionBy(group).orderBy("score"))
-    return df.withColumns({"is_active": (F.col("trx") > 0).cast("int"), "is_data_user": (F.col("data") > 0).cast("int"), "score_percentile": pct, "spend_bin": band_score("spend", (100_000, 300_000))})
+    ranked = percent_rank(df, group, "score", "score_percentile")
+    return ranked.withColumns({"is_active": (F.col("trx") > 0).cast("int"), "is_data_user": (F.col("data") > 0).cast("int"), "spend_bin": band_score("spend", (100_000, 300_000))})
 
 
 def assign_pilot(df: DataFrame, group: str, top: int, random: int, bids: list[str], salt: int = 0) -> DataFrame:
-    """D15. Per group the best ``top`` by score and ``random`` of the rest by hash, each with one of the bids."""
-    best = Window.partitionBy(group).orderBy(F.col("score").desc(), "msisdn")
-    ranked = df.withColumn("_r", F.row_number().over(best)).withColumn("pilot", F.when(F.col("_r") <= top, "top"))
-    rest = F.row_number().over(Window.partitionBy(group, F.col("pilot").isNull()).orderBy(hash_unit("msisdn", salt), "msisdn"))
-    chosen = ranked.withColumn("_h", rest).withColumn("pilot", F.coalesce("pilot", F.when(F.col("_h") <= random, "random")))
+    """D15. Per group the best ``top`` by score and ``random`` of the rest by hash, each with one of the bids.
+
+    Both are limits on a row number, which Spark applies in every task first: no task sorts a whole group.
+    """
+    first = lambda rows, n, *order: rows.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("_r") <= n).drop("_r")
+    best = first(df, top, F.col("score").desc(), "msisdn").withColumn("pilot", F.lit("top"))
+    # The best are a few of each group; `top + random` by hash hold `random` that are not among them.
+    drawn = first(df, top + random, hash_unit("msisdn", salt), "msisdn").join(best.select("msisdn", group), ["msisdn", group], "left_anti")
+    rest = first(drawn, random, hash_unit("msisdn", salt), "msisdn").withColumn("pilot", F.lit("random"))
     bid = F.element_at(F.array(*map(F.lit, bids)), (F.floor(hash_unit("msisdn", salt + 1) * len(bids)) + 1).cast("int"))
-    return chosen.filter("pilot is not null").withColumn("bid", bid).drop("_r", "_h")
+    return best.unionByName(rest).withColumn("bid", bid)
 
 
 def score_models(df: DataFrame, models: dict[str, PipelineModel], key: str = "msisdn") -> DataFrame:
@@ -199,10 +209,9 @@ def best_campaign(scores: DataFrame, threshold: float) -> DataFrame:
 def uplift_curve(df: DataFrame, quantiles: int = 20) -> DataFrame:
     """D19. quantile, n, cumulative uplift and gain. df: score, treatment, outcome; the best scores come first.
 
-    Quantile edges come from one percentile aggregation and the curve sums over quantiles, so rows are never sorted in
-    one task.
+    Quantile edges come from counts of values and the curve sums over quantiles, so rows are never sorted in one task.
     """
-    edges = df.agg(F.percentile("score", F.array(*(F.lit(1 - k / quantiles) for k in range(1, quantiles)))).alias("edges")).first().edges
+    edges = percentiles_of(df, "score", tuple(1 - k / quantiles for k in range(1, quantiles)))
     bucket = reduce(lambda a, b: a + b, ((F.col("score") < e).cast("int") for e in edges), F.lit(1))
     t, c = F.col("treatment") == 1, F.col("treatment") == 0
     per = df.groupBy(bucket.alias("quantile")).agg(F.count_if(t).alias("nt"), F.count_if(c).alias("nc"), F.sum(F.when(t, F.col("outcome")).otherwise(0)).alias("yt"), F.sum(F.when(c, F.col("outcome")).otherwise(0)).alias("yc"))
@@ -221,7 +230,7 @@ def area_under_uplift(curve: DataFrame) -> DataFrame:
 
 def uplift_by_quantile(df: DataFrame, quantiles: int = 5) -> DataFrame:
     """D21. Treated minus control mean in bins of the treated rows' scores."""
-    edges = df.filter("treatment = 1").agg(F.percentile("score", F.array(*(F.lit(k / quantiles) for k in range(1, quantiles)))).alias("edges")).first().edges
+    edges = percentiles_of(df.filter("treatment = 1"), "score", tuple(k / quantiles for k in range(1, quantiles)))
     bucket = reduce(lambda a, b: a + b, ((F.col("score") > e).cast("int") for e in edges), F.lit(1))
     mean = lambda k: F.avg(F.when(F.col("treatment") == k, F.col("outcome")))
     return df.groupBy(bucket.alias("quantile")).agg(F.count("*").alias("n"), (mean(1) - mean(0)).alias("uplift"))
@@ -244,7 +253,7 @@ def average_take_effect(df: DataFrame) -> DataFrame:
 
 def calibrate(scores: DataFrame, reference: DataFrame, quantiles: int = 10) -> DataFrame:
     """D22. Each score replaced by the reference mean of its quantile bin."""
-    edges = reference.agg(F.percentile("score", F.array(*(F.lit(k / quantiles) for k in range(1, quantiles)))).alias("e")).first().e
+    edges = percentiles_of(reference, "score", tuple(k / quantiles for k in range(1, quantiles)))
     bucket = reduce(lambda a, b: a + b, ((F.col("score") > e).cast("int") for e in edges), F.lit(1))
     means = reference.groupBy(bucket.alias("bin")).agg(F.avg("outcome").alias("calibrated"))
     return scores.withColumn("bin", bucket).join(means, "bin", "left")
@@ -289,8 +298,9 @@ def summarise_importance(folds: DataFrame, n: int) -> DataFrame:
 def outlet_sample(df: DataFrame, target: str, low: float, high: float, distances: list[str]) -> DataFrame:
     """D27. Rows with a target above zero and within two quantiles; missing distances are the column's greatest."""
     rows = df.filter(F.col(target) > 0)
-    q = rows.agg(F.percentile(target, F.array(F.lit(low), F.lit(high))).alias("q"), *(F.max(c).alias(c) for c in distances)).first()
-    kept = rows.filter(F.col(target).between(q.q[0], q.q[1]))
+    first, last = percentiles_of(rows, target, (low, high))
+    q = rows.agg(F.count("*"), *(F.max(c).alias(c) for c in distances)).first()
+    kept = rows.filter(F.col(target).between(first, last))
     return kept.fillna({c: q[c] for c in distances if q[c] is not None})
 
 
@@ -303,7 +313,7 @@ def preprocessing(numeric: list[str], categories: list[str]) -> Pipeline:
 
 def quantile_bins(df: DataFrame, target: str, n: int) -> DataFrame:
     """D29. Bin of the target by exact quantiles."""
-    edges = df.agg(F.percentile(target, F.array(*(F.lit(k / n) for k in range(1, n)))).alias("e")).first().e
+    edges = percentiles_of(df, target, tuple(k / n for k in range(1, n)))
     splits = [-float("inf"), *sorted(set(edges)), float("inf")]
     return Bucketizer(splits=splits, inputCol=target, outputCol=f"{target}_bin").transform(df.withColumn(target, F.col(target).cast("double")))
 

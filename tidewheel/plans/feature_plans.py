@@ -235,6 +235,22 @@ def f27_devices(spark, d):
     return X.devices(w)
 
 
+def _modes_sql(c: str) -> str:
+    best = f"row_number() OVER (PARTITION BY msisdn, weekstart ORDER BY n DESC, {c})"
+    return f""", n_{c} AS (SELECT msisdn, weekstart, {c}, count(*) AS n FROM daily GROUP BY ALL),
+a_{c} AS (SELECT msisdn, weekstart + 7 * k AS weekstart, {c}, sum(n) AS n FROM n_{c}, unnest([0, 1, 2, 3]) AS t(k) GROUP BY ALL),
+w_{c} AS (SELECT msisdn, weekstart, {c} AS fea_device_{c}_mode_01w FROM (SELECT *, {best} AS r FROM n_{c}) WHERE r = 1),
+m_{c} AS (SELECT msisdn, weekstart, {c} AS fea_device_{c}_mode_04w FROM (SELECT *, {best} AS r FROM a_{c}) WHERE r = 1),
+i_{c} AS (SELECT weekstart, {c} AS fea_device_{c}_mode_01w, count(DISTINCT msisdn) AS fea_device_same_{c}_ids FROM daily GROUP BY ALL)"""
+
+
+@query(ctes("products") + ", daily AS (SELECT msisdn, weekstart, product AS tac, maker FROM products)" + _modes_sql("tac") + _modes_sql("maker") + """
+SELECT * FROM w_tac JOIN m_tac USING (msisdn, weekstart) JOIN w_maker USING (msisdn, weekstart) JOIN m_maker USING (msisdn, weekstart)
+JOIN i_tac USING (weekstart, fea_device_tac_mode_01w) JOIN i_maker USING (weekstart, fea_device_maker_mode_01w)""")
+def f29_device_modes(spark, d):
+    return X.device_modes(products(spark, d).select("msisdn", "weekstart", F.col("product").alias("tac"), "maker"))
+
+
 @query(ctes("products") + """, c AS (SELECT maker AS imei, CAST(date_trunc('month', event_date) AS DATE) AS month, count(DISTINCT msisdn) AS ids FROM products GROUP BY ALL),
 e AS (SELECT DISTINCT msisdn, weekstart, maker AS imei, CAST(date_trunc('month', weekstart) - CASE WHEN day(weekstart) < 10 THEN INTERVAL 2 MONTHS ELSE INTERVAL 1 MONTH END AS DATE) AS month FROM products)
 SELECT msisdn, weekstart, max(ids) AS fea_device_max_ids FROM e LEFT JOIN c USING (imei, month) GROUP BY ALL""")

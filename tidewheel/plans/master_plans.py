@@ -117,12 +117,12 @@ def m12_monday_snapshots(spark, d):
     return M.monday_snapshots(revenue(spark, d)).select("trx_id", "event_date")
 
 
-GAPS_SQL = WEEKLY_SQL + ", g AS (SELECT msisdn, date_trunc('month', weekstart)::DATE AS weekstart, CASE WHEN loan = 0 THEN NULL ELSE loan - 20000000 END AS loan, trx - 1 AS trx FROM weekly WHERE weekstart < DATE '1996-01-01')"
+GAPS_SQL = WEEKLY_SQL + ", g AS (SELECT msisdn, date_trunc('month', weekstart)::DATE AS weekstart, CASE WHEN loan = 0 THEN NULL ELSE loan - 20000000 END AS loan, trx - 1 AS trx FROM weekly)"
 
 
 def gaps(spark, d):
     """The weekly series by month, with nulls, zeros and negative values."""
-    w = weekly(spark, d).filter("weekstart < date'1996-01-01'")
+    w = weekly(spark, d)
     return w.select("msisdn", F.trunc("weekstart", "month").alias("weekstart"), F.when(F.col("loan") != 0, F.col("loan") - 20000000).alias("loan"), (F.col("trx") - 1).alias("trx"))
 
 

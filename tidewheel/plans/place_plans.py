@@ -65,11 +65,11 @@ def p8_id_week_grid(spark, d):
     return P.id_week_grid(profiles(spark, d), F.lit("1998-01-05").cast("date"), F.lit("1998-02-02").cast("date"))
 
 
-PACK_SQL = ctes("usage") + ", packed AS (SELECT msisdn, list_sort(list(DISTINCT kind)) AS use_case FROM usage WHERE event_id % 5 = 0 GROUP BY 1)"
+PACK_SQL = ctes("usage") + ", packed AS (SELECT msisdn, list_sort(list(DISTINCT kind)) AS use_case FROM usage GROUP BY 1)"
 
 
 def packed(spark, d):
-    u = usage(spark, d).filter(F.pmod("event_id", F.lit(5)) == 0)
+    u = usage(spark, d)
     return P.pack_use_cases({k: u.filter(F.col("kind") == k) for k in ("view", "click", "purchase", "signup", "error")})
 
 
@@ -242,12 +242,12 @@ def g18_mobility_master(spark, d):
     return G.mobility_master([home.select("msisdn", "month_mapped_dt", F.col("cell").alias("home")), work.select("msisdn", "month_mapped_dt", F.col("cell").alias("work"))], weeks)
 
 
-OUTLET_DAYS_SQL = ctes("products", "outlets") + ", days AS (SELECT p.outlet_id, event_date, product AS type, maker AS classification, lat, lon + CASE WHEN p.outlet_id % 10 = 0 AND amount % 2 = 0 THEN 0.1 ELSE 0 END AS lon FROM products p JOIN outlets o ON o.outlet_id = p.outlet_id WHERE product = 'PROMO' OR p.outlet_id % 4 = 0)"
+OUTLET_DAYS_SQL = ctes("products", "outlets") + ", days AS (SELECT p.outlet_id, event_date, CASE WHEN p.outlet_id % 4 = 0 THEN product ELSE 'PROMO' END AS type, maker AS classification, lat, lon + CASE WHEN p.outlet_id % 10 = 0 AND amount % 2 = 0 THEN 0.1 ELSE 0 END AS lon FROM products p JOIN outlets o ON o.outlet_id = p.outlet_id)"
 
 
 def outlet_days(spark, d):
-    j = products(spark, d).join(outlets(spark, d), "outlet_id").filter("product = 'PROMO' or outlet_id % 4 = 0")
-    return j.select("outlet_id", "event_date", F.col("product").alias("type"), F.col("maker").alias("classification"), "lat", (F.col("lon") + F.when((F.col("outlet_id") % 10 == 0) & (F.col("amount") % 2 == 0), 0.1).otherwise(0)).alias("lon"))
+    j = products(spark, d).join(outlets(spark, d), "outlet_id")
+    return j.select("outlet_id", "event_date", F.when(F.col("outlet_id") % 4 == 0, F.col("product")).otherwise("PROMO").alias("type"), F.col("maker").alias("classification"), "lat", (F.col("lon") + F.when((F.col("outlet_id") % 10 == 0) & (F.col("amount") % 2 == 0), 0.1).otherwise(0)).alias("lon"))
 
 
 @query(OUTLET_DAYS_SQL + f" SELECT outlet_id, min(lat) AS lat, min(lon) AS lon, min(type) AS type, CAST(floor((min(lon) + 180) / 360 * 8192) AS INTEGER) AS cell_x, CAST(floor((min(lat) + 90) / 180 * 4096) AS INTEGER) AS cell_y FROM days GROUP BY 1 HAVING count(DISTINCT (lat, lon)) = 1 AND count(DISTINCT type) = 1")
@@ -266,12 +266,12 @@ def o3_clean_pois(spark, d):
     return O.clean_pois([p, p.withColumn("poi_lat", F.lit(95.0))], ["category", "poi_lat", "poi_lon"])
 
 
-CELLS_SQL = ctes("products", "outlets") + """, raw AS (SELECT p.maker AS cell, event_date, lat, lon, amount FROM products p JOIN outlets o ON o.outlet_id = p.outlet_id WHERE p.outlet_id < 20),
+CELLS_SQL = ctes("products", "outlets") + """, raw AS (SELECT p.maker AS cell, event_date, lat, lon, amount FROM products p JOIN outlets o ON o.outlet_id = p.outlet_id),
 n AS (SELECT cell, lat, lon, count(*) AS n, max(event_date) AS last FROM raw GROUP BY ALL), spot AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY n DESC, last DESC, lat, lon) AS r FROM n) WHERE r = 1)"""
 
 
 def cell_rows(spark, d):
-    return products(spark, d).filter("outlet_id < 20").join(outlets(spark, d), "outlet_id").select(F.col("maker").alias("cell"), "event_date", "lat", "lon", "amount")
+    return products(spark, d).join(outlets(spark, d), "outlet_id").select(F.col("maker").alias("cell"), "event_date", "lat", "lon", "amount")
 
 
 @query(CELLS_SQL + f""", per AS (SELECT cell, sum(amount) AS amount FROM raw GROUP BY 1), near AS (SELECT outlet_id, amount, {haversine_sql('o.lat', 'o.lon', 'spot.lat', 'spot.lon')} AS distance FROM outlets o, spot JOIN per USING (cell))
@@ -366,9 +366,9 @@ def o17_pick_nearest(spark, d):
     return O.pick_nearest(outlets(spark, d), places(spark, d), ["category"]).withColumn("distance", F.round("distance", 3))
 
 
-@query(ctes("products", "outlets") + ", l AS (SELECT outlet_id % 25 AS district, arg_max(maker, struct_pack(a := event_date, b := maker)) AS dealer FROM products WHERE outlet_id < 15 GROUP BY 1) SELECT outlet_id, district, dealer FROM outlets LEFT JOIN l USING (district)")
+@query(ctes("products", "outlets") + ", l AS (SELECT outlet_id % 25 AS district, arg_max(maker, struct_pack(a := event_date, b := maker)) AS dealer FROM products GROUP BY 1) SELECT outlet_id, district, dealer FROM outlets LEFT JOIN l USING (district)")
 def o18_map_to_outlets(spark, d):
-    dealers = products(spark, d).filter("outlet_id < 15").select(F.expr("cast(outlet_id % 25 as int)").alias("district"), "event_date", F.col("maker").alias("dealer"))
+    dealers = products(spark, d).select(F.expr("cast(outlet_id % 25 as int)").alias("district"), "event_date", F.col("maker").alias("dealer"))
     return O.map_to_outlets(outlets(spark, d).select("outlet_id", "district"), dealers, "district")
 
 

@@ -198,10 +198,10 @@ def r2_r3_unions(spark, d):
     return R.union_by_name([s, R.union_all(c, c)], missing=True)
 
 
-@query(ctes("usage") + """ SELECT msisdn, v.n AS n_view, c.n AS n_click, p.n AS n_purchase FROM (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'view' AND event_id % 3 = 0 GROUP BY 1) v
-FULL JOIN (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'click' AND event_id % 3 = 0 GROUP BY 1) c USING (msisdn) FULL JOIN (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'purchase' AND event_id % 3 = 0 GROUP BY 1) p USING (msisdn)""")
+@query(ctes("usage") + """ SELECT msisdn, v.n AS n_view, c.n AS n_click, p.n AS n_purchase FROM (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'view' GROUP BY 1) v
+FULL JOIN (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'click' GROUP BY 1) c USING (msisdn) FULL JOIN (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'purchase' GROUP BY 1) p USING (msisdn)""")
 def r4_full_join_all(spark, d):
-    u = usage(spark, d).filter(F.pmod("event_id", F.lit(3)) == 0)
+    u = usage(spark, d)
     return R.full_join_all([u.filter(F.col("kind") == k).groupBy("msisdn").agg(F.count("*").alias(f"n_{k}")) for k in ("view", "click", "purchase")], ["msisdn"])
 
 

@@ -37,8 +37,8 @@ def read_version(spark: SparkSession, path: str, version: str | None = None, ski
 
 
 def weekly_backfill_write(df: DataFrame, path: str) -> None:
-    """S3. All weeks in one job; only the weeks in df are replaced."""
-    df.repartition("weekstart").write.partitionBy("weekstart").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """S3. All weeks in one job; only the weeks in df are replaced. A large week is several tasks and files."""
+    df.hint("rebalance", "weekstart").write.partitionBy("weekstart").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def latest_partition(df: DataFrame, column: str) -> DataFrame:
