@@ -1,12 +1,16 @@
 """Hand-computed rows: Mondays, frames, nulls, ties and empty inputs."""
 
 import datetime as dt
+import math
+import random
 
+import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.functions import frames, geo, relational, timekeys
+from tidewheel.functions import frames, geo, quantiles, relational, timekeys
 from tidewheel.functions.expr import ratio
 from tidewheel.operators import aggregation, campaign, features, quality, scaffold, segments
 from tidewheel.sources import io
@@ -180,3 +184,77 @@ def test_external_table(spark, tmp_path):
     spark.sql("DROP TABLE IF EXISTS ext_t")
     io.register_external_table(spark, "ext_t", str(tmp_path / "t"), schema, ["p"])
     assert spark.table("ext_t").count() == 4
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 30])
+def test_exact_percentiles(spark, monkeypatch, accuracy):
+    """Against numpy: small groups whole, large ones by brackets, with ties, nulls and a group without values."""
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    r = np.random.default_rng(5)
+    groups = {"a": r.normal(size=700), "b": r.integers(0, 4, 500).astype(float), "c": np.array([3.5]), "d": np.array([1.0, 2.0]), "e": np.repeat(7.0, 90)}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("a", None), ("f", None)]
+    ps = (0.0, 0.05, 0.25, 0.5, 0.9, 1.0)
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {x.g: x.q for x in quantiles.exact_percentiles(df, ["g"], "x", ps).collect()}
+    assert set(got) == set(groups)
+    assert all(np.allclose(got[g], np.quantile(v, ps), atol=1e-12) for g, v in groups.items())
+    assert np.allclose(quantiles.percentiles_of(df, "x", (0.3, 0.7)), np.quantile(np.concatenate(list(groups.values())), (0.3, 0.7)))
+    assert all(math.isnan(x) for x in quantiles.percentiles_of(df.limit(0), "x", (0.5,)))
+
+
+def test_percent_rank(spark):
+    r = random.Random(2)
+    rows = [(k, r.choice("ab"), r.choice([None, *range(9)])) for k in range(300)] + [(900, "c", 1), (901, None, 2), (902, None, 2)]
+    df = spark.createDataFrame(rows, "k int, g string, x int")
+    want = {x.k: x.p for x in df.withColumn("p", F.percent_rank().over(Window.partitionBy("g").orderBy("x"))).collect()}
+    got = {x.k: x.p for x in quantiles.percent_rank(df, "g", "x", "p").collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], abs_tol=1e-12) for k in want)
+
+
+@pytest.mark.parametrize("metres", [300, 5_000, 60_000, 3_000_000])
+def test_near_pairs_at_any_latitude(spark, metres):
+    r = random.Random(8)
+    spread = metres / 111_000 * 2
+    points = [(65.0, 10.011), (65.0, 10.115), (89.9999, 3.0), (89.9, -170.0), (-90.0, 0.0), (0.0, 179.999), (0.0, -179.999), (None, 1.0), (95.0, 1.0)]
+    for lat, lon in ((0, 0), (65, 10), (-83, 179.9), (89.5, 40)):
+        points += [(max(-90.0, min(89.999, lat + r.uniform(-spread, spread))), (lon + r.uniform(-5, 5) * spread + 180) % 360 - 180) for _ in range(25)]
+    left = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, lat double, lon double")
+    right = left.selectExpr("i as j", "lat as lat2", "lon as lon2")
+    got = geo.near_pairs(left, right, ("lat", "lon"), ("lat2", "lon2"), metres)
+    pairs = [(x.i, x.j) for x in got.collect()]
+
+    def distance(p, q):
+        a, b = math.radians(p[0]), math.radians(q[0])
+        h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
+        return 12_742_000 * math.atan2(math.sqrt(h), math.sqrt(max(0.0, 1 - h)))
+
+    fine = [i for i, p in enumerate(points) if p[0] is not None and p[0] < 90]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {(i, j) for i in fine for j in fine if distance(points[i], points[j]) <= metres}
+
+
+def test_app_rules_are_equi_joins(spark):
+    content = spark.createDataFrame([("p", "x", "1"), ("q", "x", "2"), ("r", None, "1"), ("s", "y", None)], "accessed_app string, tier string, level string")
+    rules = spark.createDataFrame([("A", "p", None, None), ("B", None, "x", None), ("C", None, "x", "1"), ("D", None, None, "1"), ("E", "s", "x", None), ("F", None, None, None)], "segment string, accessed_app string, tier string, level string")
+    out = aggregation.app_mapping(content, rules.filter("segment <> 'F'"), ["tier", "level"])
+    assert {tuple(x) for x in out.collect()} == {("p", "a"), ("p", "b"), ("q", "b"), ("p", "c"), ("p", "d"), ("r", "d")}
+    assert "NestedLoop" not in out._jdf.queryExecution().toString()
+    assert {x.accessed_app for x in aggregation.app_mapping(content, rules.filter("segment = 'F'"), ["tier", "level"]).collect()} == set("pqrs")
+    assert aggregation.app_mapping(content, rules.limit(0), ["tier", "level"]).isEmpty()
+
+
+def test_similar_rows_and_percentiles(spark):
+    """D31 and D32 against their definition."""
+    r = random.Random(6)
+    rows = [(str(i), [float(r.randrange(4)) for _ in range(3)], float(r.randrange(50))) for i in range(60)]
+    df = spark.createDataFrame(rows, "msisdn string, leaves array<double>, amount double")
+    similar = segments.similar_rows(df, df.select("msisdn", "leaves"), "msisdn", "amount")
+    got = {x.msisdn: x["values"] for x in similar.collect()}
+    want = {}
+    for i, leaves, _ in rows:
+        near = [v for _, other, v in rows if any(a == b for a, b in zip(leaves, other))]
+        want[i] = sorted(v for v in near if v <= np.quantile(near, 0.95))
+    assert got == want
+    pct = {x.msisdn: x for x in segments.performance_percentile(similar, df, "msisdn", "amount").collect()}
+    for i, _, own in rows:
+        every = sorted([*want[i], own])
+        assert math.isclose(pct[i].percentile, 100 * sum(v < own for v in every) / len(every)) and pct[i].p100 == every[-1] and pct[i].p90 == every[math.ceil(len(every) * 0.9) - 1]

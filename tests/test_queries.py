@@ -46,11 +46,37 @@ def test_same_rows_as_sql(spark, con, name):
     assert Counter(tuple(tidy(r[c]) for c in cols) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.SQL)))
-def test_has_rows(spark, name):
-    assert not plans.QUERIES[name](spark, SF).isEmpty()
+def unit(x):
+    return -1e-9 <= x <= 1 + 1e-9
+
+
+def one_row_per(rows, *keys):
+    return len({tuple(r[k] for k in keys) for r in rows}) == len(rows)
+
 
+def one_hot(features, sizes):
+    at = len(features) - sum(sizes)
+    return all(sum(features[at + sum(sizes[:k]) : at + sum(sizes[: k + 1])]) == 1 for k in range(len(sizes)))
 
-def test_clusters_of_all_segments(spark):
-    profile = plans.QUERIES["d11_d12_clusters"](spark, SF)
-    assert sum(r.n for r in profile.collect()) == segment_plans.wide(spark, SF).count()
+
+#: What holds of the results of queries without SQL, whatever the models found: rows, ids of the table.
+INVARIANTS = {
+    "d10_pca": lambda rows, ids: all(abs(v) <= 1 + 1e-9 for r in rows for v in r.asDict().values() if isinstance(v, float)),
+    "d11_d12_clusters": lambda rows, ids: sum(r.n for r in rows) == len(ids) and all(r.amount_p20 <= r.amount_median <= r.amount_p80 for r in rows),
+    "d13_silhouettes": lambda rows, ids: all(-1 <= r.silhouette <= 1 for r in rows) and [r.inertia for r in sorted(rows, key=lambda r: -r.k)] == sorted(r.inertia for r in rows),
+    "d16_d18_model_scores": lambda rows, ids: one_row_per(rows, "msisdn") and all(0.3 < r.score <= 1 for r in rows) and {r.msisdn for r in rows} <= ids,
+    "d22_two_model_uplift": lambda rows, ids: {r.msisdn for r in rows} == ids and all(unit(r.treated) and unit(r.control) and abs(r.uplift - r.treated + r.control) < 1e-12 for r in rows),
+    "d23_propensity": lambda rows, ids: abs(sum(r.importance for r in rows) - 1) < 1e-6 and all(unit(r.auc) for r in rows),
+    "d29_preprocessing": lambda rows, ids: {r.msisdn for r in rows} == ids and all(one_hot(r.features, r.sizes) for r in rows),
+    "d30_forest_metrics": lambda rows, ids: len(rows) == 1 and 0 < rows[0].r2 <= 1 and rows[0].mae <= rows[0].rmse <= rows[0].max_error and abs(rows[0].rse + rows[0].r2 - 1) < 1e-9,
+    "d31_d33_similar_performance": lambda rows, ids: {r.msisdn for r in rows} == ids and one_row_per(rows, "msisdn", "point") and all(0 <= r.value <= 100 for r in rows if r.point == "percentile"),
+    "d34_grid_search": lambda rows, ids: len(rows) == 2 and all(unit(r.auc) for r in rows),
+    "d35_comparability": lambda rows, ids: one_row_per(rows, "repeat") and all(unit(r.auc) for r in rows),
+    "d36_cross_fold_uplift": lambda rows, ids: (ns := [r.n for r in sorted(rows, key=lambda r: r.quantile)]) == sorted(set(ns)) and ns[-1] == len(ids),
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.SQL)))
+def test_invariants(spark, name):
+    rows = plans.QUERIES[name](spark, SF).collect()
+    assert rows and INVARIANTS[name](rows, {r.msisdn for r in segment_plans.wide(spark, SF).select("msisdn").collect()})

@@ -258,7 +258,8 @@ def d29_quantile_bins(spark, d):
 def d29_preprocessing(spark, d):
     w = wide(spark, d)
     model = D.preprocessing(COLUMNS, ["segment", "region"]).fit(w)
-    return model.transform(w).select("msisdn", F.size(vector_to_array("features")).alias("n_features"))
+    sizes = F.array(*(F.size(vector_to_array(f"{c}_v")) for c in ("segment", "region")))
+    return model.transform(w).select("msisdn", vector_to_array("features").alias("features"), sizes.alias("sizes"))
 
 
 def leaves(spark, d):
