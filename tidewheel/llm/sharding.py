@@ -1,8 +1,10 @@
 """Sharding by fixed virtual slots.
 
 Records are hashed into a fixed number of slots (thousands). The bytes of each slot are summed, and a map from slot to
-shard, kept as a versioned table, says where a slot lives. Rebalancing edits the map: it moves or swaps a few slots
-between the fullest and the emptiest shard and stores the result as the next version; slots that are not edited stay.
+shard, kept as a versioned table, says where a slot lives. Rebalancing edits the newest version: it moves or swaps a few
+slots between the fullest and the emptiest shard and stores the result as the next one; slots that are not edited stay,
+and no version is ever written over. A shard that is new starts empty and is filled by such moves; slots of a shard that
+is gone are dealt to the others.
 The map has as many rows as there are slots, whatever the data, so editing it on the driver is bounded.
 
 The slot comes from a hash of doc_id and text, so rows with a null or repeated doc_id still spread. Rows equal in both
@@ -11,6 +13,7 @@ share a slot. Nulls: a null text has 0 bytes. An empty table gives no rows and a
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -92,12 +95,23 @@ def store_map(spark: SparkSession, path: str, version: int, placed: list[int], s
     """Write one version of the map beside the earlier ones; returns it with each slot's first position in its shard."""
     known = {s: (b, r) for s, b, r in sizes}
     rows = [(version, s, shard, *known.get(s, (0, 0))) for s, shard in enumerate(placed)]
-    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("error").parquet(f"{path}/version={version}")
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
     stored = spark.read.schema(MAP_SCHEMA).parquet(f"{path}/version={version}")
     return stored.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
 
 
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The newest version of the map at a path; 0 if there is none."""
+    try:
+        found = spark.read.parquet(path).agg(F.max(F.col("version").cast("int"))).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0
+    return found or 0
+
+
 def read_map(spark: SparkSession, path: str, version: int) -> list[int]:
     rows = spark.read.schema(MAP_SCHEMA).parquet(f"{path}/version={version}").select("vslot", "shard").collect()
     return [shard for _, shard in sorted(map(tuple, rows))]
@@ -106,17 +120,23 @@ def read_map(spark: SparkSession, path: str, version: int) -> list[int]:
 def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """All columns of docs with ``virtual_slot``, ``shard``, ``slot`` (place in the shard, gapless from 0), ``size`` and ``text_crc32``.
 
-    Version 1 of the map deals slots round, version 2 is rebalanced by the bytes found. Columns of these names in docs
-    are replaced.
+    Without a map at ``map_path``, version 1 deals slots round. The newest version is then edited for the bytes found and
+    stored, with the bytes and rows of now, as the next. Columns of these names in docs are replaced.
     """
     import uuid
 
     spark = docs.sparkSession
     path = map_path or f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
     sizes = slot_sizes(docs, slots)
-    store_map(spark, path, 1, first_map(slots, shards), sizes)
-    placed = rebalance(read_map(spark, path, 1), {s: b for s, b, _ in sizes}, shards)
-    stored = store_map(spark, path, 2, placed, sizes).select(F.col("vslot").alias("__vslot"), F.col("shard").alias("__shard"), F.col("start").alias("__start"))
+    version = newest_version(spark, path)
+    if not version:
+        version = 1
+        store_map(spark, path, version, first_map(slots, shards), sizes)
+    before = read_map(spark, path, version)
+    if len(before) != slots:
+        raise ValueError(f"the map at {path} has {len(before)} slots, not {slots}")
+    placed = rebalance([s if s < shards else k % shards for k, s in enumerate(before)], {s: b for s, b, _ in sizes}, shards)
+    stored = store_map(spark, path, version + 1, placed, sizes).select(F.col("vslot").alias("__vslot"), F.col("shard").alias("__shard"), F.col("start").alias("__start"))
     own = ("virtual_slot", "shard", "slot", "size", "text_crc32")
     rows = docs.drop(*own).withColumns({"virtual_slot": virtual_slot(slots), "size": record_size(), "text_crc32": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))})
     place = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
