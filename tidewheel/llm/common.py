@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -19,9 +20,11 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; where unset (tests), a new temporary one."""
+    """The folder all executors share: spark.checkpoint.dir; where unset, and on one machine only, a new temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own_dir:
             _own_dir.append("file://" + tempfile.mkdtemp(prefix="spark-checkpoint-"))
         found = _own_dir[0]

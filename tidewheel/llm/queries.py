@@ -75,8 +75,8 @@ t AS (SELECT *, trim(line) AS plain FROM l),
 bad AS (SELECT plain FROM t WHERE plain <> '' GROUP BY plain HAVING count(DISTINCT site) >= 5),
 f AS (SELECT t.doc_id, t.pos, t.line, t.plain, b.plain IS NOT NULL AS gone FROM t LEFT JOIN bad b ON t.plain = b.plain)
 SELECT d.doc_id, CAST(count(*) FILTER (f.plain <> '') AS BIGINT) AS n_lines, CAST(count(*) FILTER (f.gone) AS BIGINT) AS n_removed,
-       md5(coalesce(string_agg(f.line, chr(10) ORDER BY f.pos) FILTER (NOT f.gone), '')) AS text_md5
-FROM documents d JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id
+       CASE WHEN d.text IS NOT NULL THEN md5(coalesce(string_agg(f.line, chr(10) ORDER BY f.pos) FILTER (NOT f.gone), '')) END AS text_md5
+FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id, d.text
 """
 
 OP5_SQL = r"""
