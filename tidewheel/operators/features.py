@@ -6,6 +6,7 @@ Every function makes all its columns in one or two selects, so a series is sorte
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -186,6 +187,54 @@ def competitor_apps(monthly: DataFrame, weeks: DataFrame, columns: list[str], sl
     return weeks.select("weekstart").distinct().withColumn("month", sla_month("weekstart", sla_day)).join(sums, "month").drop("month")
 
 
+def fixed_period_measures(weekly: DataFrame, measures: dict[str, Callable[[Column], Column]], periods: dict[str, tuple[str, str]], compared: tuple[str, ...] = ()) -> DataFrame:
+    """F2, F5, F17, F19. One row per id: each measure over each of several fixed periods, and the ratios of those compared.
+
+    A measure is an aggregate that is given the condition of being inside the period. periods: name -> (first, last
+    weekstart), the first named is the base. Ratios are a / (a + b), null where either is 0 or not known.
+    """
+    inside = {n: F.col("weekstart").between(F.lit(a).cast("date"), F.lit(b).cast("date")) for n, (a, b) in periods.items()}
+    out = weekly.groupBy("msisdn").agg(*(f(c).alias(f"fea_{m}_{n}") for m, f in measures.items() for n, c in inside.items()))
+    base, *later = periods
+    known = lambda m, n: F.when(F.col(f"fea_{m}_{n}") != 0, F.col(f"fea_{m}_{n}"))
+    return out.withColumns({f"fea_{m}_ratio_{base}_{n}": known(m, base) / (known(m, base) + known(m, n)) for m in compared for n in later})
+
+
+def within(of: Callable[[Column], Column], column: str, where: Column | None = None) -> Callable[[Column], Column]:
+    """A measure: the aggregate of a column's values inside the period, where a condition holds."""
+    return lambda inside: of(F.when(inside if where is None else inside & where, F.col(column)))
+
+
+def voice_fixed_periods(weekly: DataFrame, periods: dict[str, tuple[str, str]]) -> DataFrame:
+    """F2. weekly: seconds and numbers (array) on the scaffold. Seconds, weeks without calls, distinct numbers."""
+    numbers = lambda inside: F.size(F.array_distinct(F.flatten(F.collect_list(F.when(inside, F.col("numbers"))))))
+    idle = lambda inside: F.count_if(inside & (F.coalesce("seconds", F.lit(0)) == 0))
+    return fixed_period_measures(weekly, {"voice_secs": within(F.sum, "seconds"), "voice_idle_weeks": idle, "voice_numbers": numbers}, periods, ("voice_secs",))
+
+
+def internet_fixed_periods(weekly: DataFrame, periods: dict[str, tuple[str, str]]) -> DataFrame:
+    """F17. weekly: volume and volume_weekend. Total, mean and deviation, weekend share, change of the mean, last volume against the base's mean."""
+    m = {"int_sum": within(F.sum, "volume"), "int_avg": within(F.avg, "volume"), "int_std": within(F.stddev, "volume"), "int_weekend": within(F.sum, "volume_weekend"), "int_last": lambda _: F.max_by("volume", "weekstart")}
+    out = fixed_period_measures(weekly, m, periods, ("int_sum", "int_avg"))
+    base, *later = periods
+    share = {f"fea_int_weekend_share_{n}": F.try_divide(F.col(f"fea_int_weekend_{n}").cast("double"), F.col(f"fea_int_sum_{n}").cast("double")) for n in periods}
+    change = {f"fea_int_change_{base}_{n}": F.col(f"fea_int_avg_{n}") - F.col(f"fea_int_avg_{base}") for n in later}
+    last = {"fea_int_last_ratio": F.col(f"fea_int_last_{base}") / (F.col(f"fea_int_last_{base}") + F.col(f"fea_int_avg_{base}"))}
+    return out.withColumns(share | change | last).drop(*(f"fea_int_{m}_{n}" for n in periods for m in ("weekend", "last")))
+
+
+def category_fixed_periods(weekly: DataFrame, categories: list[str], column: str, name: str, periods: dict[str, tuple[str, str]]) -> DataFrame:
+    """F5, F19. weekly: category and a column. The column's sum per category and fixed period, pivoted, with ratios."""
+    m = {f"{name}_{c}": within(F.sum, column, F.col("category") == c) for c in categories}
+    return fixed_period_measures(weekly, m, periods, tuple(m))
+
+
+def category_trend(weekly: DataFrame, column: str) -> DataFrame:
+    """F19. Per id, week and category: the week's share of the last month's sum."""
+    month = F.sum(column).over(rolling(28, extra=["category"]))
+    return weekly.select(*KEY, "category", F.try_divide(F.col(column).cast("double"), month.cast("double")).alias(f"fea_{column}_trend"))
+
+
 def fixed_period_compare(weekly: DataFrame, column: str, periods: dict[str, tuple[str, str]]) -> DataFrame:
     """F2, F5, F8, F17, F19, F24. Sum of a column in each of several fixed periods, and shares of the first against the later ones.
 

@@ -210,6 +210,58 @@ for _name, _column in (("f2_voice_fixed_periods", "trx"), ("f8_recharge_fixed_pe
     query(WEEKLY_SQL + ", c AS (SELECT msisdn, weekstart, " + ", ".join(f"{big(f"sum(CASE WHEN weekstart BETWEEN DATE '{a}' AND DATE '{b}' THEN {_column} END) {_SOFAR}")} AS {n}" for n, (a, b) in PERIODS.items()) + f" FROM weekly) SELECT {K}, pre AS fea_{_column}_pre, during AS fea_{_column}_during, post AS fea_{_column}_post, " + ", ".join(f"CASE WHEN pre <> 0 AND {n} <> 0 THEN pre::DOUBLE / (pre + {n}) END AS fea_{_column}_ratio_pre_{n}" for n in ("during", "post")) + " FROM c")(_fixed)
 
 
+def _inside(n: str) -> str:
+    return "weekstart BETWEEN DATE '{}' AND DATE '{}'".format(*PERIODS[n])
+
+
+def _ratios(name: str) -> list[str]:
+    return [f"CASE WHEN fea_{name}_pre <> 0 AND fea_{name}_{n} <> 0 THEN fea_{name}_pre::DOUBLE / (fea_{name}_pre + fea_{name}_{n}) END AS fea_{name}_ratio_pre_{n}" for n in ("during", "post")]
+
+
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@query(ctes("products") + ", vw AS (SELECT msisdn, weekstart, CAST(sum(quantity) AS BIGINT) AS seconds, list(DISTINCT maker) AS numbers FROM products GROUP BY ALL)" + scaffold_sql("vw") + ", m AS (SELECT msisdn, " + ", ".join(
+    f"{big(f'sum(seconds) FILTER ({_inside(n)})')} AS fea_voice_secs_{n}, count(*) FILTER ({_inside(n)} AND coalesce(seconds, 0) = 0) AS fea_voice_idle_weeks_{n}, CAST(coalesce(len(list_distinct(flatten(list(numbers) FILTER ({_inside(n)} AND numbers IS NOT NULL)))), 0) AS INTEGER) AS fea_voice_numbers_{n}" for n in PERIODS)
+    + " FROM s GROUP BY 1) SELECT *, " + ", ".join(_ratios("voice_secs")) + " FROM m")
+def f2_voice_fixed_measures(spark, d):
+    w = products(spark, d).groupBy("msisdn", "weekstart").agg(F.sum("quantity").alias("seconds"), F.collect_set("maker").alias("numbers"))
+    return X.voice_fixed_periods(scaffolded(spark, d, w), PERIODS)
+
+
+def _category_sql(name: str, value: str) -> str:
+    sums = ", ".join(f"{big(f"sum({value}) FILTER (category = '{c}' AND {_inside(n)})")} AS fea_{name}_{c}_{n}" for c in CATEGORIES for n in PERIODS)
+    return ctes("products") + f", w AS (SELECT msisdn, weekstart, product AS category, count(*) AS n, sum(quantity) AS volume FROM products GROUP BY ALL), m AS (SELECT msisdn, {sums} FROM w GROUP BY 1) SELECT *, " + ", ".join(r for c in CATEGORIES for r in _ratios(f"{name}_{c}")) + " FROM m"
+
+
+def by_category(spark, d):
+    return products(spark, d).groupBy("msisdn", "weekstart", F.col("product").alias("category")).agg(F.count("*").alias("n"), F.sum("quantity").alias("volume"))
+
+
+@query(_category_sql("comm", "n"))
+def f5_commercial_fixed_measures(spark, d):
+    return X.category_fixed_periods(by_category(spark, d), CATEGORIES, "n", "comm", PERIODS)
+
+
+@query(_category_sql("app", "volume"))
+def f19_app_fixed_measures(spark, d):
+    return X.category_fixed_periods(by_category(spark, d), CATEGORIES, "volume", "app", PERIODS)
+
+
+@query(ctes("products") + f", w AS (SELECT msisdn, weekstart, product AS category, sum(quantity) AS volume FROM products GROUP BY ALL) SELECT {K}, category, volume::DOUBLE / sum(volume) OVER {over(28, keys='msisdn, category')} AS fea_volume_trend FROM w")
+def f19_app_trend(spark, d):
+    return X.category_trend(by_category(spark, d).drop("n"), "volume")
+
+
+@query(ctes("revenue") + f", w AS (SELECT msisdn, weekstart, CAST(sum(amount) AS BIGINT) AS volume, CAST(coalesce(sum(amount) FILTER ({WEEKEND}), 0) AS BIGINT) AS we FROM revenue GROUP BY ALL), m AS (SELECT msisdn, max_by(volume, weekstart) AS last, " + ", ".join(
+    f"{big(f'sum(volume) FILTER ({_inside(n)})')} AS fea_int_sum_{n}, avg(volume) FILTER ({_inside(n)}) AS fea_int_avg_{n}, stddev(volume) FILTER ({_inside(n)}) AS fea_int_std_{n}, (sum(we) FILTER ({_inside(n)}))::DOUBLE / (sum(volume) FILTER ({_inside(n)})) AS fea_int_weekend_share_{n}" for n in PERIODS)
+    + " FROM w GROUP BY 1) SELECT * EXCLUDE (last), fea_int_avg_during - fea_int_avg_pre AS fea_int_change_pre_during, fea_int_avg_post - fea_int_avg_pre AS fea_int_change_pre_post, last / (last + fea_int_avg_pre) AS fea_int_last_ratio, " + ", ".join([*_ratios("int_sum"), *_ratios("int_avg")]) + " FROM m")
+def f17_internet_fixed_measures(spark, d):
+    weekend = F.dayofweek("event_date").isin(1, 7)
+    w = revenue(spark, d).groupBy("msisdn", "weekstart").agg(F.sum("amount").alias("volume"), F.sum(F.when(weekend, F.col("amount")).otherwise(0)).alias("volume_weekend"))
+    return X.internet_fixed_periods(w, PERIODS)
+
+
 PRODUCT_SQL = ctes("products") + """, o AS (SELECT *, CASE validity_unit WHEN 'Hours' THEN CAST(ceil(validity / 24.0) AS BIGINT) WHEN 'Weeks' THEN validity * 7 ELSE validity END AS days FROM (SELECT unnest(min(struct_pack(msisdn := msisdn, weekstart := weekstart, product := product, validity := validity, validity_unit := validity_unit))) FROM products GROUP BY trx_id)),
 g AS (SELECT msisdn, weekstart, product, days, count(*) AS n FROM o GROUP BY ALL),
 pw AS (SELECT msisdn, weekstart, count(*) AS activated, max(days) AS longest, arg_max(product, struct_pack(a := n, b := product)) AS best, list(struct_pack(p := product, until := weekstart + CAST(days AS INTEGER))) AS dated FROM g GROUP BY ALL)"""

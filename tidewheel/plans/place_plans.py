@@ -107,6 +107,14 @@ def g1_neighbours(spark, d):
     return geo.expand_cells(geo.with_cells(outlets(spark, d), "lat", "lon").select("outlet_id", "cell_x", "cell_y"), own=False)
 
 
+@query(ctes("outlets", "places") + f""", c AS (SELECT 'outlet' AS kind, outlet_id AS id, {CELL} FROM outlets UNION ALL SELECT 'poi', poi_id, {CELL.replace('lon', 'poi_lon').replace('lat', 'poi_lat')} FROM places)
+SELECT kind, id, CAST((cell_x + i + 8192) % 8192 AS INTEGER) AS cell_x, CAST(cell_y + j AS INTEGER) AS cell_y FROM c, (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)""")
+def o4_neighbour_cells(spark, d):
+    of = lambda df, kind, key, lat, lon: geo.with_cells(df, lat, lon).select(F.lit(kind).alias("kind"), F.col(key).alias("id"), "cell_x", "cell_y")
+    both = of(outlets(spark, d), "outlet", "outlet_id", "lat", "lon").unionByName(of(places(spark, d), "poi", "poi_id", "poi_lat", "poi_lon"))
+    return geo.expand_cells(both)
+
+
 def haversine_sql(a: str, b: str, c: str, e: str) -> str:
     h = f"(pow(sin((radians({c}) - radians({a})) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin((radians({e}) - radians({b})) / 2), 2))"
     return f"12742000 * atan2(sqrt({h}), sqrt(1 - {h}))"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel.operators import segments as D
+from tidewheel.operators.quality import file_deliveries
 from tidewheel.plans.registry import query
 from tidewheel.plans.time_plans import UNIT, WEEKLY_SQL, weekly
 from tidewheel.sources import io as S
@@ -212,6 +213,12 @@ def d22_average_take_effect(spark, d):
     return D.average_take_effect(uplift_rows(spark, d))
 
 
+@query(UPLIFT_SQL + ", ed AS (SELECT [" + ", ".join(f"quantile_cont(score, {k / 10})" for k in range(1, 10)) + "] AS edges FROM u WHERE treatment = 1), b AS (SELECT 1 + len(list_filter(edges, lambda x: score > x)) AS bin, * FROM u, ed), m AS (SELECT bin, avg(outcome) AS calibrated FROM b WHERE treatment = 1 GROUP BY 1) SELECT trx_id, CAST(bin AS INTEGER) AS bin, calibrated FROM b LEFT JOIN m USING (bin)")
+def d22_calibrated_scores(spark, d):
+    u = uplift_rows(spark, d)
+    return D.calibrate(u, u.filter("treatment = 1")).select("trx_id", "bin", "calibrated")
+
+
 @query()
 def d23_propensity(spark, d):
     w = wide(spark, d)
@@ -335,6 +342,14 @@ def s4_latest_partition(spark, d):
     return S.latest_partition(usage(spark, d), "event_date").select("event_id", "event_date")
 
 
+@query(ctes("usage") + """ SELECT DISTINCT 'usage' AS "table", event_date, true AS is_delivered FROM usage""")
+def q10_file_deliveries(spark, d):
+    path = scratch(spark)
+    usage(spark, d).select("event_id", "event_date").hint("rebalance", "event_date").write.partitionBy("event_date").parquet(path)
+    found = file_deliveries(spark, path, "usage", "event_date")
+    return found.select("table", "event_date", (F.col("delivered") <= F.current_timestamp()).alias("is_delivered"))
+
+
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_retailprice + 1 END AS p_retailprice FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_retailprice FROM part WHERE p_partkey % 2 = 1")
 def s6_keyed_upsert(spark, d):
     p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", "p_retailprice")
@@ -342,6 +357,15 @@ def s6_keyed_upsert(spark, d):
     return S.keyed_upsert(p, updates, ["p_partkey"])
 
 
+@query(ctes("revenue") + " SELECT msisdn, trx_id, channel FROM revenue")
+def s5_external_table(spark, d):
+    path, name = scratch(spark), f"external_{uuid.uuid4().hex}"
+    r = revenue(spark, d).select("msisdn", "trx_id", "channel")
+    r.hint("rebalance", "channel").write.partitionBy("channel").parquet(path)
+    S.register_external_table(spark, name, path, r.schema, ["channel"])
+    return spark.table(name).select("msisdn", "trx_id", "channel")
+
+
 @query("SELECT DISTINCT p_brand, p_type, CAST(p_size AS VARCHAR) AS slot FROM part")
 def s7_delimited_export(spark, d):
     path = scratch(spark)
