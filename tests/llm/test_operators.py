@@ -59,6 +59,33 @@ def test_toxicity_odd_inputs(spark, odd, none):
         assert all(0 <= r.score <= 1 for r in out.collect())
 
 
+def test_toxicity_scores_by_hand(spark):
+    """A score is the logistic of the intercept and the weights of a text's different n-grams; 0.5 counts as toxic."""
+    r = np.random.default_rng(7)
+    weight, bias = r.normal(0, 0.2, 1 << toxicity.BITS).astype(np.float32), -0.3
+    texts = ["", None, "ab", "Ab  ab\tab", "é😀 " * 9, prose(3, 3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("score", F.lit("s"))
+    got = {x.doc_id: (x.s, x.score) for x in toxicity.scored(docs, (weight, bias), name="s").collect()}
+    for i, t in enumerate(texts):
+        z = bias + sum(float(weight[b]) for b in set(toxicity.buckets(t).tolist()))
+        assert math.isclose(got[i][0], 1 / (1 + math.exp(-z)), rel_tol=1e-6) and got[i][1] == "s"
+    grams = {t[k : k + n] for t in [" ab ab ab "] for n in toxicity.ORDERS for k in range(len(t) - n + 1)}
+    assert len(set(toxicity.buckets(texts[3]).tolist())) == len(grams)
+    ties = spark.createDataFrame([(0.5,), (0.4999999,), (0.0,), (1.0,)], "score double")
+    assert [x.p for x in ties.select(toxicity.predicted(F.col("score")).alias("p")).collect()] == [1, 0, 0, 1]
+
+
+def test_toxicity_weights_follow_the_ratios():
+    """n-grams of few documents, or as frequent in either label, get no weight; the others weigh towards their label."""
+    r = random.Random(1)
+    rows = [(" ".join(r.choice(WORDS) for _ in range(20)) + (" vilescum" if k % 4 == 0 else "") + (" onlyonce" if k == 0 else "") + (" friendly" if k % 4 == 1 else ""), k % 4 == 0) for k in range(200)]
+    features = [toxicity.packed(np.unique(toxicity.buckets(t))) for t, _ in rows]
+    weight, _ = toxicity.fit(np.array([float(y) for _, y in rows]), features)
+    of = lambda word: weight[np.setdiff1d(toxicity.buckets(word), toxicity.buckets(" ".join(WORDS)))]
+    assert of("vilescum").max() > 0 and of("vilescum").min() >= 0 and of("friendly").max() <= 0 > of("friendly").min()
+    assert not weight[np.setdiff1d(toxicity.buckets("xonlyoncex"), toxicity.buckets("vilescum friendly " + " ".join(WORDS)))].any()
+
+
 def test_op1_query(spark):
     out = queries.op1_toxicity(spark, SF)
     rows = out.collect()
@@ -251,6 +278,15 @@ def test_fold_and_round_trip(spark):
     assert chat.digest(chat.render(chat.fold(chat_rows(spark, [])))).count() == 0
 
 
+def test_chat_of_long_texts_and_own_columns(spark):
+    long = prose(5, 20_000) + "<|im_end|>"
+    events = chat_rows(spark, [(1, 1, 0, "message", "user", long), (1, 2, 1, "delta", "assistant", long), (1, 3, 1, "delta", "assistant", long)])
+    for c in ("pos", "formatted", "loss_spans", "n_turns", "start", "length", "in_loss"):
+        events = events.withColumn(c, F.lit("own"))
+    got = chat.digest(chat.render(chat.fold(events))).collect()
+    assert [(r.n_turns, r.loss_chars) for r in got] == [(2, 2 * len(long))]
+
+
 # decontamination
 
 
@@ -502,6 +538,15 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), "pmod(vec_id, 50) = 0").count() == 0
 
 
+def test_top_k_beside_own_columns(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for c in ("query", "v", "block", "part", "rank", "score", "query_id"):
+        df = df.withColumn(c, F.lit("own"))
+    got = {tuple(x) for x in topk.top_k(df, "pmod(vec_id, 50) = 0").select("query_id", "rank", "vec_id", "score").collect()}
+    assert got == brute_top(rows, 5)
+
+
 def test_cover_tree_covers():
     r = np.random.default_rng(1)
     points = np.concatenate([r.normal(size=(700, 4)), np.ones((200, 4))])
