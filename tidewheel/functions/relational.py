@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,6 +129,23 @@ def sample_ids(df: DataFrame, key: str, share: float, salt: int = 0) -> DataFram
     return df.filter(hash_unit(key, salt) < share)
 
 
+def downsample_to(df: DataFrame, key: str, n: int, salt: int = 0) -> DataFrame:
+    """The ``n`` rows of the smallest hashes of a key; every task keeps n at most."""
+    return df.orderBy(hash_unit(key, salt), key).limit(n)
+
+
+def sampled_names(names: list[str], n: int, salt: int = 0) -> list[str]:
+    """``n`` of the names, chosen by hash, in their order."""
+    chosen = sorted(names, key=lambda c: (hashlib.md5(f"{c}#{salt}".encode()).hexdigest(), c))[:n]
+    return [c for c in names if c in chosen]
+
+
+def sample_rows_and_features(df: DataFrame, key: str, n_rows: int, n_features: int, salt: int = 0) -> DataFrame:
+    """The key and some of the other columns, of some of the rows."""
+    features = sampled_names([c for c in df.columns if c != key], n_features, salt)
+    return downsample_to(df.select(key, *features), key, n_rows, salt)
+
+
 def stratified_downsample(df: DataFrame, strata: list[str], key: str, target: int, salt: int = 0) -> DataFrame:
     """About ``target`` rows of each stratum, all where it has fewer, chosen by hash."""
     counts = df.groupBy(*strata).agg(F.count("*").alias("_n"))

@@ -255,6 +255,14 @@ def r16_sample_ids(spark, d):
     return R.sample_ids(profiles(spark, d), "msisdn", 0.25, 3).select("msisdn", "segment")
 
 
+FEATURES = R.sampled_names(["segment", "area", "region", "balance"], 2, 4)
+
+
+@query(ctes("profiles") + f" SELECT msisdn, {', '.join(FEATURES)} FROM profiles ORDER BY {UNIT.format(k='msisdn', s=4)}, msisdn LIMIT 100")
+def r16_sample_rows_and_features(spark, d):
+    return R.sample_rows_and_features(profiles(spark, d), "msisdn", 100, 2, 4)
+
+
 @query(ctes("profiles") + f", n AS (SELECT segment, count(*) AS n FROM profiles GROUP BY 1) SELECT msisdn, segment FROM profiles JOIN n USING (segment) WHERE {UNIT.format(k='msisdn', s=0)} * n < 20")
 def r17_stratified_downsample(spark, d):
     return R.stratified_downsample(profiles(spark, d), ["segment"], "msisdn", 20).select("msisdn", "segment")
