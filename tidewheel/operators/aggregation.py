@@ -89,6 +89,13 @@ def recharge_by_channel_weekly(records: DataFrame, channels: list[str]) -> DataF
     return records.groupBy(*WEEK).agg(*cols)
 
 
+def package_purchases_weekly(records: DataFrame, types: list[str]) -> DataFrame:
+    """A6. records: msisdn, weekstart, product, amount. Amount and purchases of packages, in all and by type."""
+    of = lambda t: F.col("product") == t
+    by = (c for t in types for c in (sum_where(of(t), "amount").alias(f"{t.lower()}_amt"), F.count_if(of(t)).alias(f"{t.lower()}_trx")))
+    return records.groupBy(*WEEK).agg(F.sum("amount").alias("all_amt"), F.count("*").alias("all_trx"), *by)
+
+
 def balance_weekly(balances: DataFrame, recharges: DataFrame) -> DataFrame:
     """A7. balances: msisdn, weekstart, event_date, seq, balance. recharges: msisdn, event_date.
 
@@ -132,6 +139,12 @@ def internet_weekly(usage: DataFrame) -> DataFrame:
     )
 
 
+def day_night_weekly(usage: DataFrame, night: tuple[int, int] = (0, 5)) -> DataFrame:
+    """A8. usage: msisdn, weekstart, hour, volume, city. Volume in the hours of the night and outside them, and the cities."""
+    dark = F.col("hour").between(*night)
+    return usage.groupBy(*WEEK).agg(F.sum("volume").alias("volume"), sum_where(~dark, "volume").alias("volume_day"), sum_where(dark, "volume").alias("volume_night"), F.array_sort(F.collect_set("city")).alias("cities"))
+
+
 WILDCARDS = ["iab_tier1", "iab_tier2", "iab_content_channel", "iab_content_media_format", "iab_content_type"]
 
 
@@ -154,7 +167,7 @@ def app_mapping(content: DataFrame, segments: DataFrame, attributes: list[str] =
 
 
 def app_usage_weekly(usage: DataFrame, mapping: DataFrame) -> DataFrame:
-    """A10. usage: msisdn, weekstart, event_date, app, volume, duration, fast. mapping: app, feature."""
+    """A10. usage: msisdn, weekstart, event_date, app, volume, duration, fast, latency. mapping: app, feature."""
     weekend = is_weekend()
     return usage.join(mapping, "app").groupBy(*WEEK, "feature").agg(
         F.sum("volume").alias("volume"),
@@ -163,6 +176,8 @@ def app_usage_weekly(usage: DataFrame, mapping: DataFrame) -> DataFrame:
         sum_where(F.col("fast") & ~weekend, "volume").alias("volume_4g_weekday"),
         F.sum("duration").alias("duration"),
         F.count_if(F.col("duration") > 0).alias("n_timed"),
+        F.sum("latency").alias("latency_sum"),
+        F.count("latency").alias("n_latency"),
         F.min("event_date").alias("first_date"),
         F.max("event_date").alias("last_date"),
     )

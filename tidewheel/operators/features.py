@@ -406,3 +406,70 @@ def proxy_target(loans_taken: DataFrame, repaid: DataFrame, non_loan: DataFrame)
     hit = loans_taken.alias("l").join(repaid.alias("r"), on, "left_semi").select("trx_id", F.lit(1).alias("flag"))
     joined = loans_taken.join(hit, "trx_id", "left").join(non_loan, KEY, "left").withColumns({"flag": F.coalesce("flag", F.lit(0)), "revenue": F.coalesce("revenue", F.lit(0))})
     return joined.select("msisdn", "trx_id", "flag", (F.col("revenue") + F.col("amount") * F.col("flag") + 0.08 * F.col("amount") * (F.col("flag") - 1)).alias("target"))
+
+
+def balance_measures(weekly: DataFrame, bands: list[str]) -> DataFrame:
+    """F6. Deviation of the mean balance, and days in each band over periods. weekly: A7 on the scaffold."""
+    fs = FeatureSet().add("fea_rech_bal_std_{period}", stddev_over("avg_balance"), "1m", "3m")
+    for b in bands:
+        fs.add(f"fea_rech_days_{b}_{{period}}", sum_over(f"days_{b}"), *PERIODS)
+    return period_features(weekly, fs, KEY)
+
+
+def internet_day_night(weekly: DataFrame) -> DataFrame:
+    """F16. weekly: volume_day, volume_night, volume and cities (array). Sums, distinct cities, and the night's share of a month."""
+    fs = FeatureSet()
+    for c in ("volume_day", "volume_night"):
+        fs.add(f"fea_int_{c}_{{period}}", sum_over(c), *PERIODS)
+    fs.add("fea_int_cities_{period}", lambda p, days: distinct_over_window("cities", days), *PERIODS)
+    return period_features(weekly, fs, [*KEY, rolled_share("volume_night", "volume", 28).alias("fea_int_night_share_01m")])
+
+
+def app_quality(weekly: DataFrame, features: list[str], periods: tuple[str, ...] = ("1w", "1m", "3m")) -> DataFrame:
+    """F18. Per category: mean latency, volume a second of use, seconds of use, 4G volume by kind of day; a column each. weekly: A10."""
+    total = lambda c, p: F.sum(c).over(rolling(period_days(p), extra=["feature"]))
+    mean = lambda a, b, p: F.try_divide(total(a, p).cast("double"), total(b, p).cast("double"))
+    measures = {
+        "latency": lambda p: mean("latency_sum", "n_latency", p),
+        "speed": lambda p: mean("volume", "duration", p),
+        **{c: lambda p, c=c: total(c, p) for c in ("duration", "volume_4g_weekday", "volume_4g_weekend")},
+    }
+    rolled = weekly.select(*KEY, "feature", *(f(p).alias(f"{m}_0{p}") for m, f in measures.items() for p in periods))
+    names = [c for c in rolled.columns if c not in (*KEY, "feature")]
+    return rolled.groupBy(*KEY).agg(*(F.max(F.when(F.col("feature") == f, F.col(n))).alias(f"fea_app_{f}_{n}") for f in features for n in names))
+
+
+def product_measures(weekly: DataFrame, names: list[str], periods: tuple[str, ...] = ("1w", "1m", "3m")) -> DataFrame:
+    """F25. weekly as in products. Activations of each product named; shortest, longest and mean validity over periods."""
+    triples = F.col("product_list")
+    count = lambda name: F.aggregate(F.filter(triples, lambda t: F.element_at(t, 1) == name), F.lit(0).cast("long"), lambda a, t: a + F.element_at(t, 2).cast("long"))
+    days = F.transform(triples, lambda t: F.element_at(t, 3).cast("long"))
+    total = F.aggregate("days", F.lit(0).cast("long"), lambda a, x: a + x)
+    df = weekly.withColumns({"days": days, **{f"n_{i}": count(n) for i, n in enumerate(names)}})
+    df = df.withColumns({"lo": F.array_min("days"), "hi": F.array_max("days"), "total": total, "kinds": F.size("days").cast("long")})
+    fs = FeatureSet()
+    for i, n in enumerate(names):
+        fs.add(f"fea_prod_{n.lower()}_{{period}}", sum_over(f"n_{i}"), *periods)
+    fs.add("fea_prod_validity_min_{period}", min_over("lo"), *periods).add("fea_prod_validity_max_{period}", max_over("hi"), *periods)
+    return period_features(df, fs.add("fea_prod_validity_avg_{period}", division_of_sums("total", "kinds"), *periods), KEY)
+
+
+def device_attributes(weekly: DataFrame, attributes: list[str]) -> DataFrame:
+    """F27. Last known value of each attribute (maker, name, type) before this week."""
+    return weekly.select(*KEY, *(F.last(c, ignorenulls=True).over(rows_frame(Window.unboundedPreceding, -1)).alias(f"fea_device_last_{c}") for c in attributes))
+
+
+def profile(weekly: DataFrame, demography: list[str]) -> DataFrame:
+    """F31. weekly: expiry_date, is_new, points and demography. Days to the expiry; over six months whether newly sold,
+    and sum, mean, least and most points; demography last known."""
+    half = rolling(182)
+    points = {n: f("points").over(half).alias(f"fea_custprof_points_{n}_06m") for n, f in (("sum", F.sum), ("avg", F.avg), ("min", F.min), ("max", F.max))}
+    known = (F.last(c, ignorenulls=True).over(rolling(-1)).alias(f"fea_custprof_{c}") for c in demography)
+    return weekly.select(*KEY, F.datediff("expiry_date", "weekstart").alias("fea_custprof_days_to_expiry"), F.max("is_new").over(half).alias("fea_custprof_is_new_06m"), *points.values(), *known)
+
+
+def signal_shares(weekly: DataFrame, grades: list[str], periods: tuple[str, ...] = ("1m", "3m")) -> DataFrame:
+    """F33. weekly: location, weekstart and a column per grade of signal. Each grade's share of all over periods."""
+    total = lambda c, p: F.sum(c).over(rolling(period_days(p), "location"))
+    whole = lambda p: reduce(lambda a, b: a + b, (F.coalesce(total(g, p), F.lit(0)) for g in grades))
+    return weekly.select("location", "weekstart", *(F.try_divide(F.coalesce(total(g, p), F.lit(0)).cast("double"), whole(p).cast("double")).alias(f"fea_network_{g}_share_0{p}") for g in grades for p in periods))

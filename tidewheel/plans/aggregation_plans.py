@@ -111,6 +111,26 @@ def a7_balance_weekly(spark, d):
     return A.balance_weekly(balances, u.filter("kind = 'signup'"))
 
 
+PACKAGES_SQL = ctes("products") + """, pk AS (SELECT msisdn, weekstart, CAST(sum(amount) AS BIGINT) AS all_amt, count(*) AS all_trx, """ + ", ".join(f"CAST(coalesce(sum(amount) FILTER (product = '{t}'), 0) AS BIGINT) AS {t.lower()}_amt, count(*) FILTER (product = '{t}') AS {t.lower()}_trx" for t in ("ECONOMY", "PROMO")) + " FROM products GROUP BY ALL)"
+
+
+@query(PACKAGES_SQL + " SELECT * FROM pk")
+def a6_package_purchases_weekly(spark, d):
+    return A.package_purchases_weekly(products(spark, d), ["ECONOMY", "PROMO"])
+
+
+DAY_NIGHT_SQL = ctes("usage") + ", dn AS (SELECT msisdn, weekstart, CAST(sum(amount) AS BIGINT) AS volume, CAST(coalesce(sum(amount) FILTER (hour > 5), 0) AS BIGINT) AS volume_day, CAST(coalesce(sum(amount) FILTER (hour <= 5), 0) AS BIGINT) AS volume_night, list_sort(list(DISTINCT party)) AS cities FROM usage GROUP BY ALL)"
+
+
+def day_night(spark, d):
+    return A.day_night_weekly(usage(spark, d).withColumns({"volume": F.col("amount"), "city": F.col("party")}))
+
+
+@query(DAY_NIGHT_SQL + " SELECT * FROM dn")
+def a8_day_night_weekly(spark, d):
+    return day_night(spark, d)
+
+
 INTERNET_SQL = ctes("usage") + ", i AS (SELECT msisdn, weekstart, event_date, amount AS volume, party AS city FROM usage)"
 
 
@@ -142,20 +162,20 @@ def a9_app_mapping(spark, d):
     return A.app_mapping(content, rules, ["tier", "level"], "app")
 
 
-APPS_SQL = ctes("usage") + """, app_use AS (SELECT msisdn, weekstart, event_date, party AS app, amount AS volume, event_id % 7 AS duration, event_id % 2 = 0 AS fast FROM usage),
+APPS_SQL = ctes("usage") + """, app_use AS (SELECT msisdn, weekstart, event_date, party AS app, amount AS volume, event_id % 7 AS duration, event_id % 2 = 0 AS fast, CASE WHEN event_id % 5 > 0 THEN event_id % 11 END AS latency FROM usage),
 map AS (SELECT DISTINCT party AS app, 'f' || CAST(substr(party, 2) AS INTEGER) % 4 AS feature FROM usage)"""
 
 
 def app_use(spark, d):
     u = usage(spark, d)
-    use = u.select("msisdn", "weekstart", "event_date", F.col("party").alias("app"), F.col("amount").alias("volume"), F.pmod("event_id", F.lit(7)).alias("duration"), (F.pmod("event_id", F.lit(2)) == 0).alias("fast"))
+    use = u.select("msisdn", "weekstart", "event_date", F.col("party").alias("app"), F.col("amount").alias("volume"), F.pmod("event_id", F.lit(7)).alias("duration"), (F.pmod("event_id", F.lit(2)) == 0).alias("fast"), F.when(F.pmod("event_id", F.lit(5)) > 0, F.pmod("event_id", F.lit(11))).alias("latency"))
     mapping = u.select(F.col("party").alias("app"), F.concat(F.lit("f"), (F.substring("party", 2, 10).cast("int") % 4).cast("string")).alias("feature")).distinct()
     return use, mapping
 
 
 APP_WEEKLY_SQL = APPS_SQL + f""", app_weekly AS (
 SELECT msisdn, weekstart, feature, CAST(sum(volume) AS BIGINT) AS volume, list_sort(list(DISTINCT app)) AS apps, CAST(coalesce(sum(volume) FILTER (fast AND {WEEKEND}), 0) AS BIGINT) AS volume_4g_weekend,
-  CAST(coalesce(sum(volume) FILTER (fast AND NOT {WEEKEND}), 0) AS BIGINT) AS volume_4g_weekday, CAST(sum(duration) AS BIGINT) AS duration, count(*) FILTER (duration > 0) AS n_timed, min(event_date) AS first_date, max(event_date) AS last_date
+  CAST(coalesce(sum(volume) FILTER (fast AND NOT {WEEKEND}), 0) AS BIGINT) AS volume_4g_weekday, CAST(sum(duration) AS BIGINT) AS duration, count(*) FILTER (duration > 0) AS n_timed, CAST(sum(latency) AS BIGINT) AS latency_sum, count(latency) AS n_latency, min(event_date) AS first_date, max(event_date) AS last_date
 FROM app_use JOIN map USING (app) GROUP BY ALL)"""
 
 

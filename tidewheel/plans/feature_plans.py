@@ -8,10 +8,10 @@ from tidewheel.functions.timekeys import period_days
 from tidewheel.operators import aggregation as A
 from tidewheel.operators import features as X
 from tidewheel.operators import scaffold as P
-from tidewheel.plans.aggregation_plans import APP_WEEKLY_SQL, CALLS_SQL, COMMERCIAL_SQL, LOAN_STEPS_SQL, WEEKEND, _commercial, app_use, calls, internet, loan_steps, texts
+from tidewheel.plans.aggregation_plans import APP_WEEKLY_SQL, CALLS_SQL, COMMERCIAL_SQL, DAY_NIGHT_SQL, LOAN_STEPS_SQL, PACKAGES_SQL, WEEKEND, _commercial, app_use, calls, day_night, internet, loan_steps, texts
 from tidewheel.plans.registry import query
 from tidewheel.plans.time_plans import WEEKLY_SQL, fixed, over, weekly
-from tidewheel.sources.derived import ctes, products, revenue, usage
+from tidewheel.sources.derived import ctes, products, profiles, revenue, usage
 
 ALL = [(f"0{p}", period_days(p)) for p in X.PERIODS]
 K = "msisdn, weekstart"
@@ -391,3 +391,73 @@ def f39_proxy_target(spark, d):
     r = revenue(spark, d)
     non_loan = r.filter("status = 'P'").groupBy("msisdn", "weekstart").agg(F.sum("amount").alias("revenue"))
     return X.proxy_target(r.filter("status = 'F'").select("msisdn", "trx_id", "event_date", "weekstart", "amount"), r.filter("status = 'O'").select("msisdn", "event_date"), non_loan).withColumn("target", F.col("target").cast("double"))
+
+
+BANDS_SQL = ctes("usage") + """, u AS (SELECT *, row_number() OVER (PARTITION BY msisdn, event_date, kind <> 'signup' ORDER BY event_id DESC) AS k, amount - 1000 AS b FROM usage),
+bw AS (SELECT msisdn, weekstart, avg(b) AS avg_balance, count(*) FILTER (k = 1 AND b > 10000) AS days_above_10k, count(*) FILTER (k = 1 AND b BETWEEN 5000 AND 10000) AS days_5k_to_10k, count(*) FILTER (k = 1 AND b < 500) AS days_below_500 FROM u WHERE kind <> 'signup' GROUP BY ALL)"""
+BANDS = ["above_10k", "5k_to_10k", "below_500"]
+
+
+@query(BANDS_SQL + scaffold_sql("bw") + f" SELECT {K}, " + ", ".join(
+    [f"stddev(avg_balance) OVER {over(n)} AS fea_rech_bal_std_{p}" for p, n in (("01m", 28), ("03m", 91))] + [f"{big(rsum(f'days_{b}', n))} AS fea_rech_days_{b}_{p}" for b in BANDS for p, n in ALL]) + " FROM s")
+def f6_balance_measures(spark, d):
+    u = usage(spark, d)
+    balances = u.filter("kind <> 'signup'").select("msisdn", "weekstart", "event_date", F.col("event_id").alias("seq"), (F.col("amount") - 1000).alias("balance"))
+    return X.balance_measures(scaffolded(spark, d, A.balance_weekly(balances, u.filter("kind = 'signup'"))), BANDS)
+
+
+PACKAGES = ["all_amt", "all_trx", "economy_amt", "economy_trx", "promo_amt", "promo_trx"]
+
+
+@query(PACKAGES_SQL + f" SELECT {K}, " + ", ".join(f"{big(rsum(c, n))} AS fea_pack_{c}_{p}" for c in PACKAGES for p, n in ALL) + " FROM pk")
+def f6_package_sums(spark, d):
+    return X.sums_over_list(A.package_purchases_weekly(products(spark, d), ["ECONOMY", "PROMO"]), PACKAGES, "pack")
+
+
+@query(DAY_NIGHT_SQL + f" SELECT {K}, (sum(volume_night) OVER {over(28)})::DOUBLE / nullif(sum(volume) OVER {over(28)}, 0) AS fea_int_night_share_01m, " + ", ".join(
+    [f"{big(rsum(c, n))} AS fea_int_{c}_{p}" for c in ("volume_day", "volume_night") for p, n in ALL] + [f"CAST(len(list_distinct(flatten(list(cities) OVER {over(n)}))) AS INTEGER) AS fea_int_cities_{p}" for p, n in ALL]) + " FROM dn")
+def f16_internet_day_night(spark, d):
+    return X.internet_day_night(day_night(spark, d))
+
+
+_APP = {"latency": "sum(latency_sum) OVER {w} / nullif((sum(n_latency) OVER {w})::DOUBLE, 0)", "speed": "sum(volume) OVER {w} / nullif((sum(duration) OVER {w})::DOUBLE, 0)", **{c: f"CAST(sum({c}) OVER {{w}} AS BIGINT)" for c in ("duration", "volume_4g_weekday", "volume_4g_weekend")}}
+
+
+@query(APP_WEEKLY_SQL + ", r AS (SELECT msisdn, weekstart, feature, " + ", ".join(f"{e.format(w=over(n, keys=_FK))} AS {m}_{p}" for m, e in _APP.items() for p, n in (("01w", 7), ("01m", 28))) + f" FROM app_weekly) SELECT {K}, " + ", ".join(
+    f"max({m}_{p}) FILTER (feature = '{f}') AS fea_app_{f}_{m}_{p}" for f in ("f0", "f1") for m in _APP for p in ("01w", "01m")) + " FROM r GROUP BY ALL")
+def f18_app_quality(spark, d):
+    return X.app_quality(A.app_usage_weekly(*app_use(spark, d)), ["f0", "f1"], ("1w", "1m"))
+
+
+@query(PRODUCT_SQL + ", m AS (SELECT msisdn, weekstart, " + ", ".join(f"coalesce(sum(n) FILTER (product = '{t}'), 0) AS {t.lower()}" for t in ("ECONOMY", "PROMO")) + f""", min(days) AS lo, max(days) AS hi, sum(days) AS total, count(*) AS kinds FROM g GROUP BY ALL)
+SELECT {K}, """ + ", ".join(f"{big(f'sum({t}) OVER {over(n)}')} AS fea_prod_{t}_{p}" for t in ("economy", "promo") for p, n in (("01w", 7), ("01m", 28), ("03m", 91))) + ", " + ", ".join(
+    f"{big(f'min(lo) OVER {over(n)}')} AS fea_prod_validity_min_{p}, {big(f'max(hi) OVER {over(n)}')} AS fea_prod_validity_max_{p}, (sum(total) OVER {over(n)})::DOUBLE / (sum(kinds) OVER {over(n)})::DOUBLE AS fea_prod_validity_avg_{p}" for p, n in (("01w", 7), ("01m", 28), ("03m", 91))) + " FROM m")
+def f25_product_measures(spark, d):
+    return X.product_measures(A.product_weekly(products(spark, d), []), ["ECONOMY", "PROMO"])
+
+
+@query(ctes("products") + ", w AS (SELECT msisdn, weekstart, min(maker) AS maker, max(product) FILTER (quantity > 25) AS type, max(trx_id) FILTER (quantity > 10) AS name FROM products GROUP BY ALL) SELECT msisdn, weekstart, " + ", ".join(
+    f"last_value({c} IGNORE NULLS) OVER (PARTITION BY msisdn ORDER BY weekstart ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fea_device_last_{c}" for c in ("maker", "type", "name")) + " FROM w")
+def f27_device_attributes(spark, d):
+    where = lambda n, c: F.max(F.when(F.col("quantity") > n, F.col(c)))
+    w = products(spark, d).groupBy("msisdn", "weekstart").agg(F.min("maker").alias("maker"), where(25, "product").alias("type"), where(10, "trx_id").alias("name"))
+    return X.device_attributes(w, ["maker", "type", "name"])
+
+
+@query(ctes("usage", "profiles") + f""", w AS (SELECT u.msisdn, u.weekstart, max(event_date) + 30 AS expiry_date, max((kind = 'signup')::INTEGER) AS is_new, sum(amount) AS points, max(area) FILTER (event_id % 3 = 0) AS area FROM usage u LEFT JOIN profiles p ON p.msisdn = u.msisdn GROUP BY ALL)
+SELECT {K}, CAST(expiry_date - weekstart AS INTEGER) AS fea_custprof_days_to_expiry, max(is_new) OVER {over(182)} AS fea_custprof_is_new_06m, {big(f"sum(points) OVER {over(182)}")} AS fea_custprof_points_sum_06m, avg(points) OVER {over(182)} AS fea_custprof_points_avg_06m,
+  {big(f"min(points) OVER {over(182)}")} AS fea_custprof_points_min_06m, {big(f"max(points) OVER {over(182)}")} AS fea_custprof_points_max_06m, last_value(area IGNORE NULLS) OVER (PARTITION BY msisdn ORDER BY weekstart) AS fea_custprof_area FROM w""")
+def f31_profile(spark, d):
+    rows = usage(spark, d).join(profiles(spark, d).select("msisdn", "area"), "msisdn", "left")
+    w = rows.groupBy("msisdn", "weekstart").agg(F.date_add(F.max("event_date"), 30).alias("expiry_date"), F.max((F.col("kind") == "signup").cast("int")).alias("is_new"), F.sum("amount").alias("points"), F.max(F.when(F.pmod("event_id", F.lit(3)) == 0, F.col("area"))).alias("area"))
+    return X.profile(w, ["area"])
+
+
+GRADES = {"good": "amount > 15000", "fair": "amount BETWEEN 5000 AND 15000", "bad": "amount < 5000"}
+
+
+@query(ctes("usage") + ", w AS (SELECT party AS location, weekstart, " + ", ".join(f"count(*) FILTER ({e}) AS {g}" for g, e in GRADES.items()) + " FROM usage GROUP BY ALL) SELECT location, weekstart, " + ", ".join(
+    f"(sum({g}) OVER {over(n, keys='location')})::DOUBLE / nullif((sum(good + fair + bad) OVER {over(n, keys='location')})::DOUBLE, 0) AS fea_network_{g}_share_{p}" for g in GRADES for p, n in (("01m", 28), ("03m", 91))) + " FROM w")
+def f33_signal_shares(spark, d):
+    w = usage(spark, d).groupBy(F.col("party").alias("location"), "weekstart").agg(*(F.count_if(F.expr(e)).alias(g) for g, e in GRADES.items()))
+    return X.signal_shares(w, list(GRADES))
