@@ -152,6 +152,14 @@ def stratified_downsample(df: DataFrame, strata: list[str], key: str, target: in
     return df.join(counts, strata).filter(hash_unit(key, salt) * F.col("_n") < target).drop("_n")
 
 
+def downsample_with_control(df: DataFrame, strata: list[str], key: str, control: Column, target: int, most: float, salt: int = 0) -> DataFrame:
+    """About ``target`` rows of each stratum, of which the control rows are at most a share ``most`` (below 1), chosen by hash."""
+    counts = df.groupBy(*strata).agg(F.count_if(control).alias("_c"), F.count_if(~control).alias("_t"))
+    all_of = F.least(F.lit(1.0), F.lit(float(target)) / (F.col("_c") + F.col("_t")))
+    of_control = F.least(all_of, F.try_divide(all_of * F.col("_t") * (most / (1 - most)), F.col("_c").cast("double")))
+    return df.join(counts, strata).filter(hash_unit(key, salt) < F.when(control, of_control).otherwise(all_of)).drop("_c", "_t")
+
+
 def random_value(key: str, values: list[str], salt: int = 0) -> Column:
     """One of the values per row, uniform over keys."""
     return F.element_at(F.array(*map(F.lit, values)), (F.floor(hash_unit(key, salt) * len(values)) + 1).cast("int"))

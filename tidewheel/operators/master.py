@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import rows_frame
+from tidewheel.functions.relational import mode_with_count
 from tidewheel.functions.timekeys import prev_week_start
 
 
@@ -123,3 +124,32 @@ def campaign_wordings(campaigns: DataFrame, priority: list[str]) -> DataFrame:
 def monday_snapshots(df: DataFrame, date: str = "event_date") -> DataFrame:
     """M12. Rows of Mondays."""
     return df.filter(F.weekday(date) == 0)
+
+
+def outlet_monthly_modes(daily: DataFrame, columns: list[str], ratios: dict[str, tuple[str, str]]) -> DataFrame:
+    """M5. Per outlet and month: most frequent value of each column (ties to the smaller) and ratios of sums. ratios: name -> (above, below)."""
+    rows = daily.withColumn("month", F.trunc("event_date", "month"))
+    key = ["outlet_id", "month"]
+    out = rows.groupBy(*key).agg(*(F.try_divide(F.sum(a).cast("double"), F.sum(b).cast("double")).alias(n) for n, (a, b) in ratios.items()))
+    for c in columns:
+        out = out.join(mode_with_count(rows.withColumn("_one", F.lit(1)), key, c, "_one").drop(f"{c}_mode_count"), key, "left")
+    return out
+
+
+def campaign_tracking(campaigns: DataFrame, tracking: DataFrame, stages: list[str]) -> DataFrame:
+    """M11. Campaigns (one row each) with the number of ids that reached each stage and the first and last date tracked.
+
+    tracking: campaign, msisdn, stage, event_date. Names count once whatever the case of their letters.
+    """
+    one = campaigns.withColumn("_name", F.lower("campaign"))
+    per = tracking.groupBy(F.lower("campaign").alias("_name")).agg(F.min("event_date").alias("first_date"), F.max("event_date").alias("last_date"), *(F.countDistinct(F.when(F.col("stage") == s, F.col("msisdn"))).alias(f"ids_{s}") for s in stages))
+    return one.groupBy("_name").agg(*(F.min_by(c, "campaign").alias(c) for c in campaigns.columns)).join(per, "_name", "left").drop("_name")
+
+
+def campaign_master(campaigns: DataFrame, tables: list[DataFrame], dimension: DataFrame, date: str = "event_date") -> DataFrame:
+    """M12. Campaign rows (msisdn, date) with the united tables' snapshot of the Monday on or before the date, and a dimension by id."""
+    united = tables[0]
+    for t in tables[1:]:
+        united = united.unionByName(t, allowMissingColumns=True)
+    snapshot = monday_snapshots(united, date).withColumnRenamed(date, "_monday")
+    return campaigns.withColumn("_monday", prev_week_start(date)).join(snapshot, ["msisdn", "_monday"], "left").drop("_monday").join(dimension, "msisdn", "left")

@@ -163,3 +163,36 @@ def join_accuracy(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def continuity(daily: DataFrame) -> DataFrame:
     """O19. Days that an outlet lacks between its first and last."""
     return daily.groupBy("outlet_id").agg((F.datediff(F.max("event_date"), F.min("event_date")) + 1 - F.countDistinct("event_date")).alias("missing_days"))
+
+
+def daily_attributes(rows: DataFrame, attributes: list[str], numbers: DataFrame) -> DataFrame:
+    """O6. rows: outlet_id, event_date, created_at, attributes. numbers: outlet_id, number.
+
+    Attributes of the day (the greatest that is not blank or 0, else null), the outlet's first date of creation and its number.
+    """
+    given = lambda c: F.when(~F.trim(F.col(c).cast("string")).isin("", "0", "0.0"), F.col(c))
+    daily = rows.groupBy("outlet_id", "event_date").agg(*(F.max(given(c)).alias(c) for c in attributes))
+    created = rows.groupBy("outlet_id").agg(F.min("created_at").alias("created_at"))
+    one = numbers.groupBy("outlet_id").agg(F.min("number").alias("number"))
+    return daily.join(created, "outlet_id").join(one, "outlet_id", "left")
+
+
+def daily_modes(records: DataFrame, columns: list[str], parts: list[str], amount: str = "amount") -> DataFrame:
+    """O11. Per outlet and day: cash flow, the most frequent value of each column with its count, and each part's share of the cash flow.
+
+    parts: values of the column ``part``.
+    """
+    key = ["outlet_id", "event_date"]
+    of = lambda p: F.coalesce(F.sum(F.when(F.col("part") == p, F.col(amount))), F.lit(0)).cast("double")
+    out = records.groupBy(*key).agg(F.sum(amount).alias("cash_flow"), *(F.try_divide(of(p), F.sum(amount).cast("double")).alias(f"share_{p.lower()}") for p in parts))
+    for c in columns:
+        out = out.join(mode_with_count(records.withColumn("_one", F.lit(1)), key, c, "_one"), key, "left")
+    return out
+
+
+def outlets_by_kind(outlets: DataFrame, kinds: list[str], radii: tuple[int, ...] = RADII) -> DataFrame:
+    """O16. outlets: also kind and amount. Outlets of each kind within each radius and the sum of their amounts; an outlet counts itself."""
+    other = outlets.select("kind", "amount", F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))
+    inside = lambda k, r: (F.col("kind") == k) & (F.col("distance") <= r)
+    cols = (c for k in kinds for r in radii for c in (F.count_if(inside(k, r)).alias(f"{k}_{r}m"), F.coalesce(F.sum(F.when(inside(k, r), F.col("amount"))), F.lit(0)).alias(f"{k}_amount_{r}m")))
+    return near_outlets(outlets, other).groupBy("outlet_id").agg(*cols)

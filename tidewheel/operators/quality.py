@@ -148,3 +148,9 @@ def dataset_checks(df: DataFrame, key: str, flag: str, flags: list, rows: tuple[
 def score_consistency(scores: DataFrame, by: Column | str) -> DataFrame:
     """Q14."""
     return scores.groupBy(by).agg(F.count("*").alias("n"), F.countDistinct("msisdn").alias("ids"), F.min("score").alias("min"), F.avg("score").alias("avg"), F.stddev("score").alias("stddev"), F.max("score").alias("max"))
+
+
+def columns_below(shares: DataFrame, metric: str, limit: float) -> DataFrame:
+    """Q12. Columns whose median share over weeks is under a limit."""
+    median = exact_percentiles(shares, ["column"], metric, (0.5,)).select("column", F.col("q")[0].alias("median"))
+    return median.filter(F.col("median") < limit)

@@ -117,6 +117,34 @@ def m12_monday_snapshots(spark, d):
     return M.monday_snapshots(revenue(spark, d)).select("trx_id", "event_date")
 
 
+def _month_mode(c: str) -> str:
+    return f"m_{c} AS (SELECT * FROM (SELECT outlet_id, month, {c} AS {c}_mode, row_number() OVER (PARTITION BY outlet_id, month ORDER BY count(*) DESC, {c}) AS r FROM r GROUP BY outlet_id, month, {c}) WHERE r = 1)"
+
+
+@query(ctes("products") + f""", r AS (SELECT *, CAST(date_trunc('month', event_date) AS DATE) AS month FROM products), {_month_mode("product")}, {_month_mode("maker")},
+t AS (SELECT outlet_id, month, sum(amount)::DOUBLE / nullif(sum(quantity)::DOUBLE, 0) AS unit_price FROM r GROUP BY ALL) SELECT t.*, product_mode, maker_mode FROM t LEFT JOIN m_product USING (outlet_id, month) LEFT JOIN m_maker USING (outlet_id, month)""")
+def m5_outlet_monthly_modes(spark, d):
+    return M.outlet_monthly_modes(products(spark, d), ["product", "maker"], {"unit_price": ("amount", "quantity")})
+
+
+@query(ctes("revenue") + """, c AS (SELECT DISTINCT CASE WHEN trx_id % 2 = 0 THEN upper(channel) ELSE lower(channel) END AS campaign FROM revenue),
+one AS (SELECT min(campaign) AS campaign FROM c GROUP BY lower(campaign)),
+t AS (SELECT lower(channel) AS name, min(event_date) AS first_date, max(event_date) AS last_date, count(DISTINCT msisdn) FILTER (status = 'O') AS ids_O, count(DISTINCT msisdn) FILTER (status = 'F') AS ids_F FROM revenue GROUP BY 1)
+SELECT campaign, first_date, last_date, ids_O, ids_F FROM one LEFT JOIN t ON name = lower(campaign)""")
+def m11_campaign_tracking(spark, d):
+    r = revenue(spark, d)
+    c = r.select(F.when(F.pmod("trx_id", F.lit(2)) == 0, F.upper("channel")).otherwise(F.lower("channel")).alias("campaign")).distinct()
+    return M.campaign_tracking(c, r.select(F.col("channel").alias("campaign"), "msisdn", F.col("status").alias("stage"), "event_date"), ["O", "F"])
+
+
+@query(ctes("revenue", "usage", "profiles") + """, u AS (SELECT msisdn, event_date, sum(amount) AS used, NULL AS paid FROM usage GROUP BY ALL UNION ALL SELECT msisdn, event_date, NULL, sum(amount) FROM revenue GROUP BY ALL),
+s AS (SELECT * FROM u WHERE isodow(event_date) = 1)
+SELECT r.trx_id, r.msisdn, r.event_date, CAST(used AS BIGINT) AS used, CAST(paid AS BIGINT) AS paid, segment FROM revenue r LEFT JOIN s ON s.msisdn = r.msisdn AND s.event_date = r.event_date - CAST(isodow(r.event_date) - 1 AS INTEGER) LEFT JOIN profiles p ON p.msisdn = r.msisdn""")
+def m12_campaign_master(spark, d):
+    used, paid = (t.groupBy("msisdn", "event_date").agg(F.sum("amount").alias(n)) for t, n in ((usage(spark, d), "used"), (revenue(spark, d), "paid")))
+    return M.campaign_master(revenue(spark, d).select("trx_id", "msisdn", "event_date"), [used, paid], profiles(spark, d).select("msisdn", "segment"))
+
+
 GAPS_SQL = WEEKLY_SQL + ", g AS (SELECT msisdn, date_trunc('month', weekstart)::DATE AS weekstart, CASE WHEN loan = 0 THEN NULL ELSE loan - 20000000 END AS loan, trx - 1 AS trx FROM weekly)"
 
 
@@ -221,6 +249,11 @@ def q12_columns_above(spark, d):
     return Q.columns_above(Q.special_shares(gaps(spark, d), ["loan", "trx"]), "null_share", 0.3)
 
 
+@query(SHARES_SQL + " SELECT \"column\", quantile_cont(zero_share, 0.5)::DOUBLE AS median FROM shares GROUP BY 1 HAVING quantile_cont(zero_share, 0.5) < 0.5")
+def q12_columns_below(spark, d):
+    return Q.columns_below(Q.special_shares(gaps(spark, d), ["loan", "trx"]), "zero_share", 0.5)
+
+
 @query("SELECT count(*) FILTER (toxic NOT IN (0, 1) OR toxic IS NULL) = 0 AS flags_known, count(*) = count(DISTINCT doc_id) AS ids_unique, count(*) BETWEEN 10 AND 100000 AS rows_in_range FROM labels")
 def q13_dataset_checks(spark, d):
     return Q.dataset_checks(spark.read.parquet(f"{d}/labels.parquet"), "doc_id", "toxic", [0, 1], (10, 100000))

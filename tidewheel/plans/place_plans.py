@@ -388,3 +388,36 @@ def o19_join_accuracy(spark, d):
 @query(ctes("products") + " SELECT outlet_id, CAST(max(event_date) - min(event_date) + 1 - count(DISTINCT event_date) AS BIGINT) AS missing_days FROM products GROUP BY 1")
 def o19_continuity(spark, d):
     return O.continuity(products(spark, d))
+
+
+@query(ctes("products", "outlets") + """, r AS (SELECT p.*, CASE WHEN quantity % 4 = 0 THEN ' ' WHEN quantity % 4 = 1 THEN '0' ELSE maker END AS type, validity % 3 AS grade FROM products p),
+c AS (SELECT outlet_id, min(event_date) AS created_at FROM r GROUP BY 1)
+SELECT r.outlet_id, r.event_date, max(type) FILTER (trim(type) NOT IN ('', '0')) AS type, max(grade) FILTER (grade <> 0) AS grade, any_value(c.created_at) AS created_at, any_value(o.name) AS number
+FROM r JOIN c ON c.outlet_id = r.outlet_id LEFT JOIN outlets o ON o.outlet_id = r.outlet_id AND o.balance > 0 GROUP BY ALL""")
+def o6_daily_attributes(spark, d):
+    q = F.col("quantity") % 4
+    rows = products(spark, d).withColumns({"created_at": F.col("event_date"), "type": F.when(q == 0, " ").when(q == 1, "0").otherwise(F.col("maker")), "grade": F.col("validity") % 3})
+    numbers = outlets(spark, d).filter("balance > 0").select("outlet_id", F.col("name").alias("number"))
+    return O.daily_attributes(rows, ["type", "grade"], numbers)
+
+
+def _day_mode(c: str) -> str:
+    return f"m_{c} AS (SELECT * FROM (SELECT outlet_id, event_date, {c} AS {c}_mode, count(*) AS {c}_mode_count, row_number() OVER (PARTITION BY outlet_id, event_date ORDER BY count(*) DESC, {c}) AS r FROM products GROUP BY outlet_id, event_date, {c}) WHERE r = 1)"
+
+
+@query(ctes("products") + f", {_day_mode('quantity')}, {_day_mode('maker')}, t AS (SELECT outlet_id, event_date, CAST(sum(amount) AS BIGINT) AS cash_flow, " + ", ".join(
+    f"coalesce(sum(amount) FILTER (product = '{p}'), 0)::DOUBLE / nullif(sum(amount)::DOUBLE, 0) AS share_{p.lower()}" for p in ("PROMO", "ECONOMY")) + " FROM products GROUP BY ALL) SELECT t.*, quantity_mode, quantity_mode_count, maker_mode, maker_mode_count FROM t LEFT JOIN m_quantity USING (outlet_id, event_date) LEFT JOIN m_maker USING (outlet_id, event_date)")
+def o11_daily_modes(spark, d):
+    return O.daily_modes(products(spark, d).withColumn("part", F.col("product")), ["quantity", "maker"], ["PROMO", "ECONOMY"])
+
+
+KINDS = ["k0", "k1", "k2"]
+
+
+@query(ctes("outlets", "products") + f""", a AS (SELECT o.*, 'k' || o.outlet_id % 3 AS kind, coalesce((SELECT sum(amount) FROM products p WHERE p.outlet_id = o.outlet_id), 0) AS amount FROM outlets o),
+near AS (SELECT x.outlet_id, y.kind, y.amount, {haversine_sql('x.lat', 'x.lon', 'y.lat', 'y.lon')} AS distance FROM a x, a y) SELECT outlet_id, """ + ", ".join(
+    f"count(*) FILTER (kind = '{k}' AND distance <= {r}) AS {k}_{r}m, CAST(coalesce(sum(amount) FILTER (kind = '{k}' AND distance <= {r}), 0) AS BIGINT) AS {k}_amount_{r}m" for k in KINDS for r in O.RADII) + " FROM near WHERE distance <= 5000 GROUP BY 1")
+def o16_outlets_by_kind(spark, d):
+    sold = products(spark, d).groupBy("outlet_id").agg(F.sum("amount").alias("amount"))
+    rows = outlets(spark, d).join(sold, "outlet_id", "left").fillna(0, ["amount"])
+    return O.outlets_by_kind(rows.withColumn("kind", F.concat(F.lit("k"), F.pmod("outlet_id", F.lit(3)).cast("string"))), KINDS)

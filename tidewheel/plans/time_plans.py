@@ -268,6 +268,14 @@ def r17_stratified_downsample(spark, d):
     return R.stratified_downsample(profiles(spark, d), ["segment"], "msisdn", 20).select("msisdn", "segment")
 
 
+@query(ctes("profiles") + f""", n AS (SELECT segment, count(*) FILTER (balance < 500000) AS c, count(*) FILTER (balance >= 500000) AS t FROM profiles GROUP BY 1),
+f AS (SELECT segment, least(1.0::DOUBLE, 40.0::DOUBLE / (c + t)) AS f, c, t FROM n)
+SELECT msisdn, segment, balance < 500000 AS is_control FROM profiles JOIN f USING (segment) WHERE {UNIT.format(k='msisdn', s=0)} < CASE WHEN balance < 500000 THEN least(f, f * t * (0.25::DOUBLE / 0.75::DOUBLE) / c) ELSE f END""")
+def r17_control_share(spark, d):
+    p = profiles(spark, d).withColumn("is_control", F.col("balance") < 500_000)
+    return R.downsample_with_control(p, ["segment"], "msisdn", F.col("is_control"), 40, 0.25).select("msisdn", "segment", "is_control")
+
+
 @query(ctes("profiles") + f" SELECT msisdn, ['a', 'b', 'c'][CAST(floor({UNIT.format(k='msisdn', s=1)} * 3) AS INTEGER) + 1] AS value, CAST(floor({UNIT.format(k='msisdn', s=2)} * 5) AS INTEGER) AS batch FROM profiles")
 def r18_r19_random_value_and_batch(spark, d):
     return profiles(spark, d).select("msisdn", R.random_value("msisdn", ["a", "b", "c"], 1).alias("value"), R.random_batch("msisdn", 5, 2).alias("batch"))
