@@ -559,3 +559,17 @@ def test_cover_tree_covers():
         if n.children:
             assert [n.low, *(c.high for c in n.children)] == [*(c.low for c in n.children), n.high]
         stack += n.children
+
+
+def test_without_places(spark):
+    from pyspark.sql import functions as F
+
+    from tidewheel.llm.line_dedup import without
+
+    n = 200_000
+    rows = [("a\nb\nc", [1]), ("a\nb\nc", [0, 1, 2]), ("a", [0]), ("a\n\nb", [0, 2]), ("\n".join(map(str, range(n))), list(range(0, n, 2)))]
+    df = spark.createDataFrame(rows, "text string, gone array<int>")
+    got = [r[0] for r in df.select(without(F.split("text", "\n"), F.col("gone"))).collect()]
+    for (text, gone), left in zip(rows, got, strict=True):
+        hidden = set(gone)
+        assert left == [x for i, x in enumerate(text.split("\n")) if i not in hidden]

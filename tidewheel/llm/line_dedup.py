@@ -12,7 +12,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import written
@@ -37,6 +37,15 @@ def boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
     return written(sure.unionByName(exact), "boilerplate")
 
 
+def without(parts: Column, gone: Column) -> Column:
+    """The array without the places in ``gone`` (ascending, from 0): what lies between them, in one pass over the array."""
+    ends = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(parts)))
+    between = lambda s, i: F.slice(s["parts"], F.get(s["ends"], i) + 2, F.get(s["ends"], i + 1) - F.get(s["ends"], i) - 1)
+    kept = lambda s: F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["ends"]) - 2), lambda i: between(s, i)))
+    # As the variable of a lambda the text is split once, not once for each stretch.
+    return F.transform(F.array(F.struct(parts.alias("parts"), ends.alias("ends"))), kept)[0]
+
+
 def remove_boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """All columns of docs, text without boilerplate lines, with ``n_lines`` (not blank) and ``n_removed``; columns of these names are replaced."""
     found = boilerplate(docs, sites, margin).select("h1", "h2")
@@ -46,7 +55,7 @@ def remove_boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARG
     per = gone.groupBy(F.col("__row").alias("__key")).agg(F.array_sort(F.collect_set("pos")).alias("__gone"))
     joined = rows.join(per, F.col("__row").eqNullSafe(F.col("__key")), "left")
     parts = F.split("text", "\n")
-    left = F.filter(parts, lambda x, i: ~F.array_contains("__gone", i))
+    left = without(parts, F.col("__gone"))
     full = F.coalesce(F.size(F.filter(parts, lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
     out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("long")).withColumn("n_removed", F.coalesce(F.when(F.size("__gone") > 0, F.size("__gone")), F.lit(0)).cast("long"))
     return out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).drop("__row", "__key", "__gone")
