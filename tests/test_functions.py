@@ -258,3 +258,8 @@ def test_similar_rows_and_percentiles(spark):
     for i, _, own in rows:
         every = sorted([*want[i], own])
         assert math.isclose(pct[i].percentile, 100 * sum(v < own for v in every) / len(every)) and pct[i].p100 == every[-1] and pct[i].p90 == every[math.ceil(len(every) * 0.9) - 1]
+    counts = segments.below_top(segments.similar_counts(df, df, "msisdn", "amount"), "amount")
+    by_class = {x.msisdn: x for x in segments.performance_of_classes(counts, df, "msisdn", "amount").collect()}
+    assert by_class.keys() == pct.keys()
+    for i, x in pct.items():
+        assert all(math.isclose(by_class[i][c], x[c]) for c in ("percentile", "p90", "p95", "p100")), (x, by_class[i])

@@ -331,19 +331,59 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
     return df.agg((1 - rse).alias("r2"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.max(F.abs(e)).alias("max_error"), rse.alias("rse"), F.sqrt(rse).alias("rrse"))
 
 
+def similar_counts(train: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
+    """D31. leaves, value, n: the targets of training rows that share a leaf with rows of these leaves in any tree, and how often each occurs.
+
+    train, rows: key, leaves (array); train also value. Rows of equal leaves are one class; classes are joined with the
+    counted targets of training classes on (tree, leaf), each pair in the first tree where it agrees, and counted.
+    """
+    at = lambda df, name: df.select("*", F.posexplode(name).alias("tree", "leaf"))
+    classes = at(rows.select("leaves").distinct(), "leaves")
+    targets = at(train.groupBy(F.col("leaves").alias("_leaves"), value).agg(F.countDistinct(key).alias("n")), "_leaves")
+    agree = F.array_position(F.zip_with("leaves", "_leaves", lambda a, b: a == b), True)
+    pairs = classes.join(targets, ["tree", "leaf"]).filter(agree == F.col("tree") + 1)
+    return pairs.groupBy("leaves", value).agg(F.sum("n").alias("n"))
+
+
+def below_top(counts: DataFrame, value: str, drop_share: float = 0.05) -> DataFrame:
+    """D31. leaves, value, n, upto (rows up to the value), all: the counts without those above the interpolated percentile 1 - drop_share."""
+    of = Window.partitionBy("leaves")
+    placed = counts.withColumns({"upto": F.sum("n").over(of.orderBy(value)), "all": F.sum("n").over(of), "next": F.lead(value).over(of.orderBy(value))})
+    rank = (1 - drop_share) * (F.col("all") - 1)
+    low = (F.col("upto") > F.floor(rank)) & (F.col("upto") - F.col("n") <= F.floor(rank))
+    # The percentile lies at this value, or between it and the next one.
+    limit = F.when(F.col("upto") > F.ceil(rank), F.col(value).cast("double")).otherwise(F.col(value) * (F.ceil(rank) - rank) + F.col("next") * (rank - F.floor(rank)))
+    kept = placed.withColumn("_limit", F.max(F.when(low, limit)).over(of)).filter(F.col(value) <= F.col("_limit"))
+    return kept.withColumn("all", F.sum("n").over(of)).select("leaves", value, "n", "upto", "all")
+
+
 def similar_rows(train: DataFrame, rows: DataFrame, key: str, value: str, drop_share: float = 0.05) -> DataFrame:
-    """D31. key, values: targets of the training rows that share a leaf with a row in any tree, without the top share.
+    """D31. key, values: a row's similar targets as an array, for few rows to be shown; the counts are ``below_top``'s."""
+    each = F.array_sort(F.flatten(F.collect_list(F.array_repeat(F.col(value), F.col("n").cast("int")))))
+    lists = below_top(similar_counts(train, rows, key, value), value, drop_share).groupBy("leaves").agg(each.alias("values"))
+    return rows.join(lists, "leaves").select(key, "values")
+
+
+def performance_of_classes(counts: DataFrame, own: DataFrame, key: str, value: str) -> DataFrame:
+    """D32. As performance_percentile, from the counts of ``below_top``. own: key, leaves, value.
 
-    train, rows: key, leaves (array); train also value. Leaves are exploded and joined on (tree, leaf).
+    Own values are placed among their class's in one ordered pass over the union of both. At a share of the similar
+    values and the own one together lies the own value, or the similar value at that rank or at the rank before.
     """
-    at = lambda df, *more: df.select(key, *more, F.posexplode("leaves").alias("tree", "leaf"))
-    pairs = at(rows).join(at(train, value).withColumnRenamed(key, "_other"), ["tree", "leaf"]).select(key, "_other", value).distinct()
-    limit = pairs.groupBy(key).agg(F.percentile(value, 1 - drop_share).alias("_limit"))
-    return pairs.join(limit, key).filter(F.col(value) <= F.col("_limit")).groupBy(key).agg(F.array_sort(F.collect_list(value)).alias("values"))
+    rows = counts.select("leaves", value, "n", F.lit(None).cast(own.schema[key].dataType).alias(key)).unionByName(own.select("leaves", value, F.lit(0).cast("long").alias("n"), key))
+    before = Window.partitionBy("leaves").orderBy(value).rangeBetween(Window.unboundedPreceding, -1)
+    shares = {"p90": 0.9, "p95": 0.95, "p100": 1.0}
+    rank = {p: F.greatest(F.lit(1), F.ceil((F.col("all") + 1) * s)) for p, s in shares.items()}
+    upto = lambda r: (F.col("upto") >= r) & (F.col("upto") - F.col("n") < r)
+    marks = counts.groupBy("leaves").agg(F.first("all").alias("all"), *(m for p, r in rank.items() for m in (F.max(F.when(upto(r), F.col(value))).alias(f"_{p}"), F.max(F.when(upto(r - 1), F.col(value))).alias(f"_{p}_before"))))
+    placed = rows.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0))).filter(F.col(key).isNotNull()).join(marks, "leaves")
+    # The own value moves those above it one rank on; greatest() passes over nulls.
+    at = lambda p: F.when(F.col(f"_{p}") <= F.col(value), F.col(f"_{p}")).otherwise(F.greatest(value, f"_{p}_before"))
+    return placed.select(key, (100.0 * F.col("below") / (F.col("all") + 1)).alias("percentile"), *(at(p).alias(p) for p in shares))
 
 
 def performance_percentile(similar: DataFrame, own: DataFrame, key: str, value: str) -> DataFrame:
-    """D32. Percent of similar values (and the own one) below the own, and the 90th, 95th and 100th percentile from below."""
+    """D32. Percent of similar values (and the own one) below the own, and the 90th, 95th and 100th percentile from below; for few rows to be shown."""
     j = similar.join(own.select(key, value), key).withColumn("all", F.array_sort(F.concat("values", F.array(F.col(value)))))
     below = F.size(F.filter("all", lambda x: x < F.col(value)))
     at = lambda p: F.element_at("all", F.greatest(F.lit(1), F.ceil(F.size("all") * p).cast("int")))

@@ -289,8 +289,8 @@ def d30_evaluate(spark, d):
 @query()
 def d31_d33_similar_performance(spark, d):
     rows = leaves(spark, d)
-    similar = D.similar_rows(rows.select("msisdn", "leaves", "amount"), rows.select("msisdn", "leaves"), "msisdn", "amount")
-    return D.dashboard_points(D.performance_percentile(similar, rows, "msisdn", "amount"), "msisdn")
+    counts = D.below_top(D.similar_counts(rows, rows, "msisdn", "amount"), "amount")
+    return D.dashboard_points(D.performance_of_classes(counts, rows, "msisdn", "amount"), "msisdn")
 
 
 @query()
