@@ -547,6 +547,42 @@ def test_top_k_beside_own_columns(spark):
     assert got == brute_top(rows, 5)
 
 
+def test_top_k_in_many_cells(spark, monkeypatch):
+    """Clusters, a third of all rows equal, several tasks for a cell and for its queries."""
+    for name, value in {"CELL": 40, "LEAST_BLOCK": 16, "SPREAD": 40, "QUERY_BLOCK": 64, "SAMPLE": 200}.items():
+        monkeypatch.setattr(topk, name, value)
+    r = np.random.default_rng(5)
+    middles = r.normal(size=(12, 8)) * 4
+    rows = [(i, (middles[i % 12] + r.normal(size=8) / 20).round(2).tolist()) for i in range(1400)] + [(2000 + i, [1.5] * 8) for i in range(700)]
+    rows = [(i, np.array(v, np.float32).tolist()) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [tuple(x) for x in topk.top_k(df, "pmod(vec_id, 50) = 0").select("query_id", "rank", "vec_id", "score").collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_top(rows, 5)
+
+
+def test_queries_skip_far_cells(spark):
+    r = np.random.default_rng(6)
+    middles = np.eye(16)[:10] * 5
+    rows = [(i, (middles[i % 10] + r.normal(size=16) / 50).tolist()) for i in range(1000)]
+    ints = topk.as_integers(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    drawn = ints.orderBy("vec_id").limit(100).toArrow()
+    sample = topk.matrix(drawn, 16)
+    centres = topk.centres_of(sample.astype(float), 10)
+    dealt = topk.dealt(ints, "pmod(vec_id, 50) = 0", 5, sample, drawn.column("vec_id").to_numpy(), centres)
+    cells = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.max("norm").alias("longest")).collect()
+    assert len(cells) == 10 and all(c.n == 100 for c in cells)
+    assert topk.asked_cells(dealt.filter("query").select("vec_id", "v", "floor"), sample[centres], cells).count() == 20
+
+
+def test_bound_holds():
+    r = np.random.default_rng(7)
+    for spread in (0.1, 1.0, 5.0):
+        a, b = r.normal(size=(60, 6)) * spread + r.normal(size=6), r.normal(size=(60, 6)) * spread + r.normal(size=6)
+        _, x = topk.cover_tree(a)
+        _, y = topk.cover_tree(b)
+        assert topk.bound(x.centre @ y.centre, x.norm, y.norm, x.radius, y.radius, x.longest, y.longest) >= (a @ b.T).max()
+
+
 def test_cover_tree_covers():
     r = np.random.default_rng(1)
     points = np.concatenate([r.normal(size=(700, 4)), np.ones((200, 4))])
