@@ -91,7 +91,7 @@ def recharge(weekly: DataFrame) -> DataFrame:
 
 
 def recharge_by_channel(records: DataFrame, channels: list[str], periods: tuple[str, ...] = ("1m", "3m")) -> DataFrame:
-    """F7, F11. records: msisdn, weekstart, channel, amount. Sums by channel and the dominant one by value and by count."""
+    """F7. records: msisdn, weekstart, channel, amount. Sums by channel and the dominant one by value and by count."""
     one = records.withColumn("one", F.lit(1).cast("long"))
     per = one.groupBy(*KEY).agg(*(c for i, k in enumerate(channels) for c in (F.coalesce(F.sum(F.when(F.col("channel") == k, F.col("amount"))), F.lit(0)).alias(f"amt_{i}"), F.count_if(F.col("channel") == k).alias(f"trx_{i}"))))
     out = per.select(*KEY, *(F.sum(f"{m}_{i}").over(rolling(period_days(p))).alias(f"fea_rech_{m}_{i}_0{p}") for p in periods for i in range(len(channels)) for m in ("amt", "trx")))
@@ -101,6 +101,17 @@ def recharge_by_channel(records: DataFrame, channels: list[str], periods: tuple[
     return out
 
 
+def app_revenue(records: DataFrame, periods: tuple[str, ...] = PERIODS) -> DataFrame:
+    """F11. records: msisdn, weekstart, method, amount. Rolling sums of app revenue and the payment method of most value."""
+    one = records.withColumn("one", F.lit(1).cast("long"))
+    fs = FeatureSet().add("fea_app_rev_sum_{period}", sum_over("revenue"), *periods).add("fea_app_rev_trx_{period}", sum_over("trx"), *periods)
+    out = period_features(records.groupBy(*KEY).agg(F.sum("amount").alias("revenue"), F.count("*").alias("trx")), fs, KEY)
+    for p in periods:
+        best = dominant_category(one, "method", "amount", "one", period_days(p))
+        out = out.join(best.withColumnRenamed("dominant", f"fea_app_rev_dominant_method_0{p}"), KEY, "left")
+    return out
+
+
 def revenue(weekly: DataFrame, services: list[str]) -> DataFrame:
     """F9. Sums by service and their total over periods. weekly: rev_<service>."""
     fs = FeatureSet()
@@ -338,6 +349,12 @@ def map_location_features(ids: DataFrame, features: DataFrame) -> DataFrame:
     return ids.join(features, ["location", "weekstart"])
 
 
+def loan_notifications(events: DataFrame, steps: list[str], periods: tuple[str, ...] = PERIODS) -> DataFrame:
+    """F35. events: msisdn, weekstart, step, one row a notification. Rolling sums of notifications of each step."""
+    weekly = events.groupBy(*KEY).agg(*(F.count_if(F.col("step") == s).alias(f"notifications_{s}") for s in steps))
+    return sums_over_list(weekly, [f"notifications_{s}" for s in steps], "loan", periods)
+
+
 def loans(weekly: DataFrame) -> DataFrame:
     """F35. weekly: A20. Distinct offers sent and accepted over periods, and mean days from offer to acceptance of the same campaign."""
     names = lambda c: F.array_distinct(F.transform(c, lambda x: x["campaign"]))

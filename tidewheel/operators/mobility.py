@@ -95,6 +95,16 @@ def distinct_cells_in_triples(stays: DataFrame) -> DataFrame:
     return unique_places(stays, ["cell"], (3,))
 
 
+def cells_by_calendar_month(stays: DataFrame) -> DataFrame:
+    """G15. One row per id: for each calendar month the most distinct cells of a triple of months that ends in it.
+
+    month_mapped_dt counts a day for each month since a January.
+    """
+    month = F.pmod(F.datediff("month_mapped_dt", F.trunc("month_mapped_dt", "year")), F.lit(12)) + 1
+    triples = distinct_cells_in_triples(stays).withColumn("month", month)
+    return triples.groupBy("msisdn").agg(*(F.max(F.when(F.col("month") == m, F.col("n_cell_03m"))).alias(f"max_cells_{m:02d}") for m in range(1, 13)))
+
+
 def nearest_cluster(homes: DataFrame, found: DataFrame, metres: float = 5000) -> DataFrame:
     """G16. Smallest and mean distance of a place to the clusters near it."""
     at = found.filter("is_cluster = 1").select(F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))

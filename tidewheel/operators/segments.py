@@ -96,6 +96,29 @@ def segment_summary(df: DataFrame, bands: dict[str, tuple[str, tuple[float, ...]
     return per.withColumn("share", F.col("ids") / F.sum("ids").over(Window.partitionBy("segment")))
 
 
+def baseline_summary(df: DataFrame, bands: dict[str, tuple[str, tuple[float, ...]]], flags: list[str], measures: list[str]) -> DataFrame:
+    """D6. By segment and banded columns: ids, ids with each interest flag and their share, sum, mean and range of measures."""
+    out = df.withColumns({n: band_score(c, cuts) for n, (c, cuts) in bands.items()})
+    has = [a for f in flags for a in (F.sum(f).alias(f"{f}_ids"), F.avg(f).alias(f"{f}_share"))]
+    of = [a for m in measures for a in (F.sum(m).alias(f"{m}_sum"), F.avg(m).alias(f"{m}_avg"), F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max"))]
+    return out.groupBy("segment", *bands).agg(F.count("*").alias("ids"), *has, *of)
+
+
+def monthly_segment_activity(segments: DataFrame, recharges: DataFrame, kinds: list[str], activity: dict[str, DataFrame]) -> DataFrame:
+    """D8. By segment and month: recharge totals of each kind, ids active in each table and their share of the active ones.
+
+    segments: msisdn, segment. recharges: msisdn, month, kind, amount. activity: tables of msisdn, month.
+    """
+    of_kind = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("amount"))), F.lit(0)).alias(f"recharge_{i}") for i, k in enumerate(kinds)]
+    per = recharges.groupBy("msisdn", "month").agg(*of_kind, F.sum("amount").alias("recharge"))
+    for name, table in activity.items():
+        per = per.join(table.select("msisdn", "month").distinct().withColumn(name, F.lit(1)), ["msisdn", "month"], "full")
+    sums = [F.coalesce(F.sum(f"recharge_{i}"), F.lit(0)).alias(f"recharge_{i}") for i in range(len(kinds))]
+    active = [a for n in activity for a in (F.count(n).alias(f"{n}_ids"), (F.count(n) / F.count("*")).alias(f"{n}_share"))]
+    per_id = F.avg(F.coalesce("recharge", F.lit(0))).alias("recharge_avg")
+    return per.join(segments, "msisdn").groupBy("segment", "month").agg(F.count("*").alias("ids"), *sums, per_id, *active)
+
+
 def transforms(df: DataFrame, logs: list[str], rare: dict[str, int], lists: list[str], units: list[str]) -> DataFrame:
     """D9. log1p of columns, categories rarer than a count to ``other``, lists to their length, unit columns dropped."""
     out = df.withColumns({c: F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))) for c in logs} | {c: F.size(c) for c in lists})

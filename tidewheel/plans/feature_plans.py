@@ -114,10 +114,24 @@ g AS (SELECT w.msisdn, w.weekstart, c.channel, t.v, t.n FROM (SELECT DISTINCT ms
 p AS (SELECT msisdn, weekstart, coalesce(sum(v) FILTER (channel = '1-URGENT'), 0) AS a, coalesce(sum(n) FILTER (channel = '1-URGENT'), 0) AS b FROM t GROUP BY ALL)
 SELECT p.msisdn, p.weekstart, {big(f"sum(a) OVER {over(91, 'p.weekstart', 'p.msisdn')}")} AS fea_rech_amt_0_03m, {big(f"sum(b) OVER {over(91, 'p.weekstart', 'p.msisdn')}")} AS fea_rech_trx_0_03m, dv.channel AS fea_rech_dominant_by_value_03m, dc.channel AS fea_rech_dominant_by_count_03m
 FROM p JOIN dv ON dv.msisdn = p.msisdn AND dv.weekstart = p.weekstart JOIN dc ON dc.msisdn = p.msisdn AND dc.weekstart = p.weekstart""")
-def f7_f11_recharge_by_channel(spark, d):
+def f7_recharge_by_channel(spark, d):
     return X.recharge_by_channel(revenue(spark, d), ["1-URGENT"], ("3m",))
 
 
+_RECENT = [(f"0{p}", period_days(p)) for p in ("1m", "3m")]
+
+
+@query(ctes("products") + """, t AS (SELECT msisdn, weekstart, validity_unit AS channel, sum(amount) AS v, count(*) AS n FROM products GROUP BY ALL),
+g AS (SELECT w.msisdn, w.weekstart, c.channel, t.v, t.n FROM (SELECT DISTINCT msisdn, weekstart FROM products) w
+  JOIN (SELECT DISTINCT msisdn, validity_unit AS channel FROM products) c USING (msisdn)
+  LEFT JOIN t ON t.msisdn = w.msisdn AND t.weekstart = w.weekstart AND t.channel = c.channel)""" + "".join(dominant_sql(f"d{p}", n, "v", "n") for p, n in _RECENT) + """,
+p AS (SELECT msisdn, weekstart, sum(v) AS revenue, sum(n) AS trx FROM t GROUP BY ALL),
+r AS (SELECT msisdn, weekstart, """ + ", ".join(f"{big(rsum(c, n))} AS fea_app_rev_{m}_{p}" for c, m in (("revenue", "sum"), ("trx", "trx")) for p, n in _RECENT) + """ FROM p)
+SELECT r.*, """ + ", ".join(f"d{p}.channel AS fea_app_rev_dominant_method_{p}" for p, _ in _RECENT) + " FROM r " + " ".join(f"JOIN d{p} ON d{p}.msisdn = r.msisdn AND d{p}.weekstart = r.weekstart" for p, _ in _RECENT))
+def f11_app_revenue(spark, d):
+    return X.app_revenue(products(spark, d).withColumnRenamed("validity_unit", "method"), ("1m", "3m"))
+
+
 SERVICES_SQL = ctes("revenue") + ", rw AS (SELECT msisdn, weekstart, " + ", ".join(f"coalesce(sum(amount) FILTER (status = '{s}'), 0) AS rev_{s.lower()}" for s in "FOP") + ", sum(amount) AS rev_tot FROM revenue GROUP BY ALL)"
 
 
@@ -353,6 +367,15 @@ def f35_loans(spark, d):
     return X.loans(A.loan_tracker_weekly(loan_steps(spark, d)))
 
 
+_STEPS = ["offered", "taken", "repaid"]
+
+
+@query(LOAN_STEPS_SQL + ", w AS (SELECT msisdn, weekstart, " + ", ".join(f"count(*) FILTER (step = '{s}') AS n_{s}" for s in _STEPS) + " FROM s GROUP BY ALL) "
+       + f"SELECT {K}, " + ", ".join(f"{big(rsum(f'n_{s}', n))} AS fea_loan_notifications_{s}_{p}" for s in _STEPS for p, n in ALL) + " FROM w")
+def f35_loan_notifications(spark, d):
+    return X.loan_notifications(loan_steps(spark, d), _STEPS)
+
+
 @query(LOANS_SQL + f""", b AS (SELECT msisdn, weekstart, min(trx_id % 1000) AS low FROM s GROUP BY ALL), j AS (SELECT lw.msisdn, lw.weekstart, CASE WHEN low <= 500 THEN sent ELSE [] END AS sent FROM lw JOIN b USING (msisdn, weekstart))
 SELECT {K}, CAST(len(list_distinct(flatten(list(sent) OVER {over(91)}))) AS INTEGER) AS fea_loan_triggered_offers_03m FROM j""")
 def f36_triggered_offers(spark, d):

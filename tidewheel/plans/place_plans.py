@@ -209,10 +209,17 @@ def g11_stay_frequency(spark, d):
 
 
 @query(MONTHS_SQL + ", g AS (SELECT msisdn, month_mapped_dt, list(cell) AS c FROM v GROUP BY ALL) SELECT msisdn, month_mapped_dt, " + ", ".join(f"CAST(len(list_distinct(flatten(list(c) OVER {months(m, 'msisdn')}))) AS INTEGER) AS n_cell_{m:02d}m" for m in (1, 3, 6)) + " FROM g")
-def g12_g15_unique_places(spark, d):
+def g12_unique_places(spark, d):
     return G.unique_places(month_stays(spark, d), ["cell"])
 
 
+@query(MONTHS_SQL + ", g AS (SELECT msisdn, month_mapped_dt, list(cell) AS c FROM v GROUP BY ALL), "
+       + f"t AS (SELECT msisdn, (month_mapped_dt - DATE '2000-01-01') % 12 + 1 AS month, CAST(len(list_distinct(flatten(list(c) OVER {months(3, 'msisdn')}))) AS INTEGER) AS n FROM g) "
+       + "SELECT msisdn, " + ", ".join(f"max(n) FILTER (month = {m}) AS max_cells_{m:02d}" for m in range(1, 13)) + " FROM t GROUP BY ALL")
+def g15_cells_by_calendar_month(spark, d):
+    return G.cells_by_calendar_month(month_stays(spark, d))
+
+
 HOME_SQL = MONTHS_SQL + ", " + ctes("outlets")[5:] + """, home AS (SELECT msisdn, month_mapped_dt, min(cell) AS cell FROM v GROUP BY ALL), work AS (SELECT msisdn, month_mapped_dt, max(cell) AS cell FROM v WHERE cell % 3 <> 0 GROUP BY ALL)"""
 
 

@@ -82,6 +82,36 @@ def d6_d8_segment_summary(spark, d):
     return D.segment_summary(rows, {"balance_band": ("balance", (200_000, 600_000))}, ["amount"])
 
 
+@query(ctes("revenue", "profiles", "products") + """, r AS (SELECT msisdn, sum(amount) AS spend, count(*) AS trx FROM revenue GROUP BY 1),
+b AS (SELECT msisdn, max((product LIKE 'ECONOMY%')::INTEGER) AS economy, max((product LIKE 'PROMO%')::INTEGER) AS promo FROM products GROUP BY 1),
+j AS (SELECT segment, 1 + (balance > 200000)::INTEGER + (balance > 600000)::INTEGER AS balance_band, 1 + (trx > 5)::INTEGER + (trx > 15)::INTEGER AS trx_band,
+  coalesce(economy, 0) AS economy, coalesce(promo, 0) AS promo, spend FROM r JOIN profiles USING (msisdn) LEFT JOIN b USING (msisdn))
+SELECT segment, balance_band, trx_band, count(*) AS ids, CAST(sum(economy) AS BIGINT) AS economy_ids, avg(economy) AS economy_share, CAST(sum(promo) AS BIGINT) AS promo_ids, avg(promo) AS promo_share,
+  CAST(sum(spend) AS BIGINT) AS spend_sum, avg(spend) AS spend_avg, CAST(min(spend) AS BIGINT) AS spend_min, CAST(max(spend) AS BIGINT) AS spend_max FROM j GROUP BY ALL""")
+def d6_baseline_summary(spark, d):
+    r = revenue(spark, d).groupBy("msisdn").agg(F.sum("amount").alias("spend"), F.count("*").alias("trx"))
+    bought = lambda kind: F.max(F.col("product").startswith(kind).cast("int")).alias(kind.lower())
+    interest = products(spark, d).groupBy("msisdn").agg(bought("ECONOMY"), bought("PROMO"))
+    rows = r.join(profiles(spark, d), "msisdn").join(interest, "msisdn", "left").fillna(0, ["economy", "promo"])
+    bands = {"balance_band": ("balance", (200_000, 600_000)), "trx_band": ("trx", (5, 15))}
+    return D.baseline_summary(rows, bands, ["economy", "promo"], ["spend"])
+
+
+@query(ctes("revenue", "profiles", "products") + """, r AS (SELECT msisdn, date_trunc('month', event_date)::DATE AS month, status, amount FROM revenue),
+k AS (SELECT msisdn, month, sum(amount) FILTER (status = 'F') AS f, sum(amount) FILTER (status = 'O') AS o, sum(amount) FILTER (status = 'P') AS p, sum(amount) AS amount FROM r GROUP BY ALL),
+b AS (SELECT DISTINCT msisdn, date_trunc('month', event_date)::DATE AS month FROM products),
+l AS (SELECT DISTINCT msisdn, month FROM r WHERE status <> 'F'),
+i AS (SELECT msisdn, month FROM k UNION SELECT msisdn, month FROM b)
+SELECT segment, i.month, count(*) AS ids, CAST(coalesce(sum(f), 0) AS BIGINT) AS recharge_0, CAST(coalesce(sum(o), 0) AS BIGINT) AS recharge_1, CAST(coalesce(sum(p), 0) AS BIGINT) AS recharge_2, avg(coalesce(amount, 0)) AS recharge_avg,
+  count(b.msisdn) AS buyers_ids, count(b.msisdn) / count(*)::DOUBLE AS buyers_share, count(l.msisdn) AS open_ids, count(l.msisdn) / count(*)::DOUBLE AS open_share
+FROM i JOIN profiles USING (msisdn) LEFT JOIN k ON k.msisdn = i.msisdn AND k.month = i.month LEFT JOIN b ON b.msisdn = i.msisdn AND b.month = i.month LEFT JOIN l ON l.msisdn = i.msisdn AND l.month = i.month GROUP BY ALL""")
+def d8_monthly_activity(spark, d):
+    month = F.trunc("event_date", "month").alias("month")
+    r = revenue(spark, d).select("msisdn", month, F.col("status").alias("kind"), "amount")
+    activity = {"buyers": products(spark, d).select("msisdn", month), "open": r.filter("kind <> 'F'")}
+    return D.monthly_segment_activity(profiles(spark, d).select("msisdn", "segment"), r, ["F", "O", "P"], activity)
+
+
 @query(WEEKLY_SQL + ", p AS (SELECT CAST(c_custkey AS VARCHAR) AS msisdn, c_mktsegment AS segment FROM customer) SELECT segment, date_trunc('month', weekstart)::DATE AS month, count(*) AS n, CAST(sum(amt) AS BIGINT) AS amt FROM weekly JOIN p USING (msisdn) GROUP BY ALL")
 def d7_segment_months(spark, d):
     return weekly(spark, d).join(profiles(spark, d), "msisdn").groupBy("segment", F.trunc("weekstart", "month").alias("month")).agg(F.count("*").alias("n"), F.sum("amt").alias("amt"))
