@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, decontamination, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, topk, toxicity
+from tidewheel.llm import centroids, chat, decontamination, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, topk, toxicity
 from tidewheel.llm.common import remainder_of, table
 
 
@@ -67,6 +68,16 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "pmod(vec_id, 50) = 0", 5)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, final = centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, salt="2:")
+    by = centroids.inertia(found)
+    total = None if None in by.values() else sum(by.values())
+    digest = [(c, x, total, hashlib.sha256(",".join(map(str, final[c].tolist())).encode()).hexdigest()) for c, x in by.items()]
+    # A row for each centroid, 40 at most.
+    per = spark.createDataFrame(digest, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return found.join(F.broadcast(per), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 OP2_SQL = r"""
 WITH l AS (
   SELECT doc_id, coalesce(source, chr(1)) AS site, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
@@ -171,10 +182,34 @@ SELECT d.doc_id, n.n AS n_shingles, coalesce(r.component_id, d.doc_id) AS compon
 FROM documents d JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.node = d.doc_id
 """
 
+OP11_ROUND = """,
+a{n} AS MATERIALIZED (
+  SELECT r, any_value(v.v) AS v, min(struct_pack(d := list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - m[i]) * (v.v[i] - m[i]))), c := c)) AS x
+  FROM v, c{n} GROUP BY r),
+s{n} AS (
+  SELECT x.c AS c, i, CAST(sum(v[i]) AS HUGEINT) AS s, count(*) AS n FROM (SELECT x, v, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY ALL),
+m{n} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{n} GROUP BY c),
+c{next} AS MATERIALIZED (SELECT c{n}.c, coalesce(m{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN m{n} ON c{n}.c = m{n}.c)"""
+
+OP11_SQL = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INTEGER) AS c, v AS m FROM v WHERE vec_id IS NOT NULL QUALIFY c < 40)"""
+    + "".join(OP11_ROUND.format(n=n, next=n + 1) for n in range(6))
+    + """
+SELECT v.vec_id, a5.x.c AS cluster, CAST(a5.x.d AS BIGINT) AS distance, CAST(sum(a5.x.d) OVER (PARTITION BY a5.x.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a5.x.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.m, ',')) AS centroid_sha256
+FROM a5 JOIN v USING (r) JOIN c5 ON c5.c = a5.x.c
+"""
+)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k)}
+    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k, op11_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op11_centroids": OP11_SQL}
