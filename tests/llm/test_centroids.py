@@ -19,7 +19,7 @@ def brute(rows, k, rounds, dim):
     cs = [v for _, v in named[:k]]
     far = lambda v, c: sum((a - b) ** 2 for a, b in zip(v, c, strict=True))
     best = lambda v: min((far(v, c), n) for n, c in enumerate(cs))
-    for _ in range(rounds):
+    for _ in range(rounds if cs else 0):
         own = [best(v)[1] for _, v in kept]
         for n in range(len(cs)):
             if members := [v for (_, v), o in zip(kept, own, strict=True) if o == n]:

@@ -11,7 +11,8 @@ dimensions numbers reach the driver. All arithmetic is in integers, so results d
 Vectors that are null, of another length than ``dim``, or with a null or non-finite component take no part. A row is a
 vector: rows that repeat a vec_id, or equal vectors, each count and get their own row. A null vec_id is clustered like
 any other but is never a first centroid. Components are held within +-2**27, so that a squared distance fits 64 bits.
-With fewer vectors than centroids there are as many centroids as vectors; an empty table gives no rows. Ties go to the
+With fewer vectors than centroids there are as many centroids as vectors with an id;
+without any, and for an empty table, there are no rows. Ties go to the
 smaller centroid. Other columns are not read.
 """
 
