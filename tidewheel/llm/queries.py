@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm import centroids, chat, decontamination, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, topk, toxicity
+from tidewheel.llm import centroids, chat, decontamination, divergence, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, topk, toxicity
 from tidewheel.llm.common import remainder_of, table
 
 
@@ -78,6 +78,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(F.broadcast(per), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, most=200)
+
+
 OP2_SQL = r"""
 WITH l AS (
   SELECT doc_id, coalesce(source, chr(1)) AS site, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
@@ -206,10 +210,38 @@ FROM a5 JOIN v USING (r) JOIN c5 ON c5.c = a5.x.c
 """
 )
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM t GROUP BY lang, term HAVING count(*) >= 3),
+size AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, CAST(sum(t.n) AS HUGEINT) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+total AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (total.n + size.v) AS p,
+         1 + 1000000000::HUGEINT * (k.n + 1) // (size.n + size.v) AS q
+  FROM g JOIN kept k USING (lang) JOIN size USING (lang) JOIN total ON total.lang = g.lang AND total.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM both_parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k, op11_centroids)}
+    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k, op11_centroids, op13_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op11_centroids": OP11_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op11_centroids": OP11_SQL, "op13_divergence": OP13_SQL}
