@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm import centroids, chat, decontamination, divergence, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, topk, toxicity
+from tidewheel.llm import centroids, chat, decontamination, divergence, language_id, line_dedup, mixing, near_dup, quality_lm, sharding, substring_dedup, topk, toxicity
 from tidewheel.llm.common import remainder_of, table
 
 
@@ -78,6 +78,11 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(F.broadcast(per), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.without_repeats(table(spark, sf_dir, "documents"), words=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, most=200)
 
@@ -210,6 +215,19 @@ FROM a5 JOIN v USING (r) JOIN c5 ON c5.c = a5.x.c
 """
 )
 
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13)),
+f AS (SELECT x, min(doc_id) AS first FROM g GROUP BY x),
+hit AS (SELECT DISTINCT doc_id, i + j AS i FROM (SELECT g.doc_id, g.i, unnest(range(0, 13)) AS j FROM g JOIN f USING (x) WHERE f.first < g.doc_id)),
+e AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
+k AS (
+  SELECT doc_id, count(h.i) AS n_removed, string_agg(e.word, ' ' ORDER BY e.i) FILTER (h.i IS NULL) AS kept
+  FROM e LEFT JOIN hit h USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -240,8 +258,8 @@ SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k, op11_centroids, op13_divergence)}
+    return {f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_language_id, op4_sharding, op5_chat_formatting, op6_decontamination, op7_near_duplicates, op8_quality, op9_mixing, op10_top_k, op11_centroids, op12_substring_dedup, op13_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op11_centroids": OP11_SQL, "op13_divergence": OP13_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op6_decontamination": OP6_SQL, "op10_top_k": OP10_SQL, "op7_near_duplicates": OP7_SQL, "op9_mixing": OP9_SQL, "op11_centroids": OP11_SQL, "op12_substring_dedup": OP12_SQL, "op13_divergence": OP13_SQL}
