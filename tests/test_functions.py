@@ -190,6 +190,7 @@ def test_external_table(spark, tmp_path):
 def test_exact_percentiles(spark, monkeypatch, accuracy):
     """Against numpy: small groups whole, large ones by brackets, with ties, nulls and a group without values."""
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "DISTINCT", accuracy)
     r = np.random.default_rng(5)
     groups = {"a": r.normal(size=700), "b": r.integers(0, 4, 500).astype(float), "c": np.array([3.5]), "d": np.array([1.0, 2.0]), "e": np.repeat(7.0, 90)}
     rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("a", None), ("f", None)]

@@ -71,6 +71,9 @@ INVARIANTS = {
     "d30_forest_metrics": lambda rows, ids: len(rows) == 1 and 0 < rows[0].r2 <= 1 and rows[0].mae <= rows[0].rmse <= rows[0].max_error and abs(rows[0].rse + rows[0].r2 - 1) < 1e-9,
     "d31_d33_similar_performance": lambda rows, ids: {r.msisdn for r in rows} == ids and one_row_per(rows, "msisdn", "point") and all(0 <= r.value <= 100 for r in rows if r.point == "percentile"),
     "d34_grid_search": lambda rows, ids: len(rows) == 2 and all(unit(r.auc) for r in rows),
+    "d23_boosted_propensity": lambda rows, ids: abs(sum(r.importance for r in rows) - 1) < 1e-6 and all(unit(r.auc) and r.positives + r.negatives < len(ids) for r in rows),
+    "d35_importances": lambda rows, ids: len(rows) == 4 and abs(sum(r.mean for r in rows) - 1) < 1e-6 and all(r.min <= r.median <= r.max for r in rows),
+    "d36_selected_uplift": lambda rows, ids: {r.repeat for r in rows} == {0, 1} and all(len(r.features.split(",")) == 2 for r in rows) and max(r.n for r in rows) < len(ids),
     "d35_comparability": lambda rows, ids: one_row_per(rows, "repeat") and all(unit(r.auc) for r in rows),
     "d36_cross_fold_uplift": lambda rows, ids: (ns := [r.n for r in sorted(rows, key=lambda r: r.quantile)]) == sorted(set(ns)) and ns[-1] == len(ids),
 }

@@ -3,52 +3,74 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Of the sketches. A group of at most so many values is sorted whole; of a larger one, some few ten-thousandths around each percentile.
+from tidewheel.sources.io import at_rest, broadcast_if_counted
+
+#: Of the sketches: brackets of the percentiles are some few ten-thousandths of a group.
 ACCURACY = 10_000
+#: A group of at most about so many different values fits the buffer of the built-in exact percentile.
+DISTINCT = 16_384
 BUCKETS = 64
 
 
-def _at(p: float) -> Column:
-    return F.lit(p) * (F.col("_n") - 1)
+def fit_a_buffer(df: DataFrame, by: list[str], columns: list[str]) -> bool:
+    """Whether, in every group, each of the columns has few enough different values for the built-in exact percentile."""
+    rows = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if rows <= DISTINCT:
+        return True
+    each = df.groupBy(*by).agg(*(F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)))
+    most = each.agg(F.greatest(*(F.max(f"_d{i}") for i in range(len(columns))), F.lit(0), F.lit(0))).first()[0]
+    return most <= DISTINCT
 
 
 def exact_percentiles(df: DataFrame, by: list[str], value: str, ps: tuple[float, ...]) -> DataFrame:
     """by, q: the interpolated percentiles ``ps`` of a numeric column, nulls left out; groups without values are absent.
 
-    A sketch gives each percentile a bracket of values that is sure to hold it. Values below a bracket are only counted,
-    and only the distinct values inside, with their counts, are sorted.
+    Groups of few different values take the built-in percentile. For others a sketch gives each percentile a bracket of
+    values that is sure to hold it, and one aggregation counts the values outside the brackets by where they lie and the
+    values inside one by one.
     """
     keys = [*by] or ["_all"]
     v = df.select(*(by or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    wide = v.groupBy(*keys).agg(F.approx_count_distinct("_v").alias("_d")).filter(F.col("_d") > DISTINCT).select(*(F.col(k).alias(f"_{k}_of") for k in keys))
+    few = lambda rows: rows.groupBy(*keys).agg(F.percentile("_v", list(ps)).alias("q")).select(*by, "q")
+    if wide.isEmpty():
+        return few(v)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}_of")) for k in keys))
+    wide = broadcast_if_counted(at_rest(wide))
+    return few(v.join(wide, same, "left_anti")).unionByName(_bracketed(v.join(wide, same, "left_semi"), keys, ps).select(*by, "q"))
+
+
+def _bracketed(v: DataFrame, keys: list[str], ps: tuple[float, ...]) -> DataFrame:
+    """keys, q for groups of many values. ps need not be sorted."""
+    order = sorted(range(len(ps)), key=lambda i: ps[i])
     slack = 3 / ACCURACY
-    ends = [min(max(p + s, 0.0), 1.0) for p in ps for s in (-slack, slack)]
-    sketch = v.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.percentile_approx("_v", ends, ACCURACY).alias("_e"))
-    small = F.col("_n") <= ACCURACY
-    brackets = sketch.select(
-        *keys, "_n",
-        *(F.when(small, F.col("_low")).otherwise(F.col("_e")[2 * i]).alias(f"_l{i}") for i in range(len(ps))),
-        *(F.when(small, F.col("_high")).otherwise(F.col("_e")[2 * i + 1]).alias(f"_h{i}") for i in range(len(ps))),
-    )
-    joined = v.join(brackets if by else F.broadcast(brackets), keys)
-    below = joined.groupBy(*keys).agg(F.first("_n").alias("_n"), *(F.count_if(F.col("_v") < F.col(f"_l{i}")).alias(f"_b{i}") for i in range(len(ps))))
-    inside = F.array_compact(F.array(*(F.when(F.col("_v").between(F.col(f"_l{i}"), F.col(f"_h{i}")), i) for i in range(len(ps)))))
-    counts = joined.select(*keys, "_v", F.explode(inside).alias("_i")).groupBy(*keys, "_i", "_v").agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy("_v"))
-    placed = counts.withColumn("_upto", upto).join(below, keys)
-    before = F.element_at(F.array(*(F.col(f"_b{i}") for i in range(len(ps)))), F.col("_i") + 1)
-    at = F.element_at(F.array(*map(_at, ps)), F.col("_i") + 1)
-    placed = placed.withColumns({"_to": before + F.col("_upto"), "_from": before + F.col("_upto") - F.col("_c"), "_at": at})
-    covers = lambda rank: (rank >= F.col("_from")) & (rank < F.col("_to"))
-    pick = lambda rank: F.max(F.when(covers(rank), F.col("_v")))
+    ends = [min(max(ps[i] + s, 0.0), 1.0) for s in (-slack, slack) for i in order]
+    sketch = v.groupBy(*keys).agg(F.count("*").alias("_n"), F.percentile_approx("_v", ends, ACCURACY).alias("_e"))
+    m = len(ps)
+    brackets = broadcast_if_counted(at_rest(sketch.select(*(F.col(k).alias(f"_{k}_of") for k in keys), "_n", F.slice("_e", 1, m).alias("_low"), F.slice("_e", m + 1, m).alias("_high"))))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}_of")) for k in keys))
+    inside = F.exists(F.arrays_zip("_low", "_high"), lambda x: F.col("_v").between(x["_low"], x["_high"]))
+    # Lows ascend with the percentiles, so a value is below the bracket i if at most i lows are no greater.
+    lows = F.size(F.filter("_low", lambda x: x <= F.col("_v")))
+    counts = v.join(brackets, same).groupBy(*keys, lows.alias("_lows"), F.when(inside, F.col("_v")).alias("_v")).agg(F.count("*").alias("_c"))
+    each = counts.join(brackets, same).select(*keys, "_n", "_lows", "_v", "_c", F.posexplode(F.arrays_zip("_low", "_high")).alias("_i", "_b"))
+    within = F.col("_v").between(F.col("_b._low"), F.col("_b._high"))
+    each = each.filter((F.col("_lows") <= F.col("_i")) | within).withColumn("_v", F.when(within, F.col("_v")))
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first()))
+    at = F.element_at(F.array(*(F.lit(ps[i]) for i in order)), F.col("_i") + 1) * (F.col("_n") - 1)
+    placed = each.withColumns({"_to": upto, "_at": at}).filter("_v is not null").withColumn("_from", F.col("_to") - F.col("_c"))
+    pick = lambda rank: F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
     found = placed.groupBy(*keys, "_i").agg(F.first("_at").alias("_at"), pick(F.floor("_at")).alias("_a"), pick(F.ceil("_at")).alias("_b"))
     low, high = F.floor("_at"), F.ceil("_at")
     q = F.when(low == high, F.col("_a")).otherwise(F.col("_a") * (high - F.col("_at")) + F.col("_b") * (F.col("_at") - low))
-    rows = found.select(*keys, F.struct("_i", q.alias("q")).alias("_q")).groupBy(*keys).agg(F.array_sort(F.collect_list("_q")).alias("_q"))
-    return rows.select(*by, F.transform("_q", lambda x: x["q"]).alias("q"))
+    given = F.element_at(F.array(*map(F.lit, order)), F.col("_i") + 1)
+    rows = found.select(*keys, F.struct(given.alias("i"), q.alias("q")).alias("_q")).groupBy(*keys).agg(F.array_sort(F.collect_list("_q")).alias("_q"))
+    return rows.select(*keys, F.transform("_q", lambda x: x["q"]).alias("q"))
 
 
 def percentiles_of(df: DataFrame, value: str, ps: tuple[float, ...]) -> list[float]:
@@ -64,6 +86,7 @@ def percent_rank(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
     """
     edges = df.groupBy(by).agg(F.count("*").alias("_n"), F.percentile_approx(value, [k / BUCKETS for k in range(1, BUCKETS)], ACCURACY).alias("_e")).withColumnRenamed(by, "_by")
     bucket = F.coalesce(F.size(F.filter("_e", lambda e: e < F.col(value))) + 1, F.lit(0))
+    edges = broadcast_if_counted(at_rest(edges))
     bucketed = df.join(edges, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_bucket", F.when(F.col(value).isNull(), 0).otherwise(bucket)).drop("_e", "_by")
     sizes = bucketed.groupBy(F.col(by).alias("_by"), F.col("_bucket").alias("_k")).agg(F.count("*").alias("_c"))
     before = Window.partitionBy("_by").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)

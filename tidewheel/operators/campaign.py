@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.functions.ranks import row_numbers
+from tidewheel.sources.io import broadcast_if_counted
+
 CRITERIA = ["criteria_1", "criteria_2", "criteria_3", "criteria_4", "criteria_5"]
 
 
@@ -53,20 +56,19 @@ def event_rows(df: DataFrame, push_date: str, constants: dict[str, str]) -> Data
 
 
 def pace(df: DataFrame, limits: DataFrame) -> DataFrame:
-    """C7. slot = ceil(place in the channel / the channel's limit per hour). limits: push_channel, hourly.
+    """C7. rank_by_channel: place in the channel by the five criteria, the greatest first, ties to the smaller id, then campaign;
+    slot = ceil(place / the channel's limit per hour). limits: push_channel, hourly.
 
-    Places are dealt in two steps, so a large channel is not one task: hash buckets of the channel are counted, each
-    bucket starts after those before it, and rows are numbered within their bucket. Rows of a rank come before those of
-    the next.
+    Channels are numbered by ranges of the order, so a large channel is many tasks.
     """
-    bucket = F.substring(F.md5(F.concat("msisdn", "campaign").cast("binary")), 1, 2)  # 256 of them
-    rows = df.withColumn("_b", bucket)
-    counts = rows.groupBy("push_channel", "rank", "_b").agg(F.count("*").alias("_n"))
-    start = F.coalesce(F.sum("_n").over(Window.partitionBy("push_channel").orderBy("rank", "_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("push_channel", "rank", "_b", start.alias("_start"))
-    own = F.row_number().over(Window.partitionBy("push_channel", "rank", "_b").orderBy("msisdn", "campaign"))
-    placed = rows.withColumn("_own", own).join(starts, ["push_channel", "rank", "_b"]).join(limits, "push_channel")
-    return placed.withColumn("slot", F.ceil((F.col("_start") + F.col("_own")) / F.col("hourly")).cast("long")).drop("_b", "_own", "_start", "hourly")
+    order = [*(F.col(c).desc() for c in CRITERIA), F.col("msisdn").asc(), F.col("campaign").asc()]
+    placed = row_numbers(df, ["push_channel"], order, "rank_by_channel").join(broadcast_if_counted(limits), "push_channel")
+    return placed.withColumn("slot", F.ceil(F.col("rank_by_channel") / F.col("hourly")).cast("long")).drop("hourly")
+
+
+def slot_sizes(paced: DataFrame) -> DataFrame:
+    """C7. slot, push_channel, n: what is sent in an hour, channels together."""
+    return paced.groupBy("slot", "push_channel").agg(F.count("*").alias("n"))
 
 
 def missing_configuration(ranking: DataFrame, channels: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,6 +83,11 @@ def duplicate_configuration(config: DataFrame, keys: list[str]) -> DataFrame:
     return config.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def several_rows_of_system(config: DataFrame, keys: list[str], system: str, single: str) -> DataFrame:
+    """C8. Keys with several rows of a system that takes a single one, and how many."""
+    return config.filter(F.col(system) == single).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+
+
 def build_input(scores: DataFrame, config: DataFrame, ranking: DataFrame) -> DataFrame:
     """C9. Scores with configuration and ranking, keyword by system, and the criteria. config: campaign, family, system, push_channel, code. ranking: campaign, priority."""
     joined = scores.join(config, "campaign", "left").join(ranking, "campaign", "left")

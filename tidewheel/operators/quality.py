@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import rolling
-from tidewheel.functions.quantiles import exact_percentiles
+from tidewheel.functions.quantiles import exact_percentiles, fit_a_buffer
 from tidewheel.functions.relational import columns_of_type
 
 PERCENTILES = (0.25, 0.5, 0.75)
@@ -35,9 +35,13 @@ def accuracy_completeness(df: DataFrame, columns: list[str], by: list[str] = ("w
         "negative_percent": lambda c: F.avg(F.coalesce(c < 0, F.lit(False)).cast("double")) * 100,
     }
     rows = measured(df)
+    names = [f"percentile_{p}".replace("0.", "") for p in PERCENTILES]
+    if fit_a_buffer(rows, list(by), columns):
+        quartile = lambda p: lambda c: F.percentile(c, F.lit(p))
+        return long_metrics(rows, list(by), columns, metrics | {n: quartile(p) for n, p in zip(names, PERCENTILES, strict=True)})
     out = long_metrics(rows, list(by), columns, metrics)
     quartiles = exact_percentiles(long_values(rows, list(by), columns), [*by, "column"], "value", PERCENTILES)
-    named = quartiles.select(*by, "column", *(F.col("q")[k].alias(f"percentile_{p}".replace("0.", "")) for k, p in enumerate(PERCENTILES)))
+    named = quartiles.select(*by, "column", *(F.col("q")[k].alias(n) for k, n in enumerate(names)))
     return out.join(named, [*by, "column"], "left")
 
 

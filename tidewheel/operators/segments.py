@@ -426,16 +426,6 @@ def grid_search(df: DataFrame, columns: list[str], label: str, depths: list[int]
     return CrossValidator(estimator=Pipeline(stages=[*_vector(columns), forest]), estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=folds, seed=7).fit(df)
 
 
-def comparability(df: DataFrame, columns: list[str], group: str, key: str, repeats: int = 2) -> DataFrame:
-    """D35. repeat, auc of telling two groups apart on held-out ids; near 0.5 if they are alike."""
-    rows = []
-    for r in range(repeats):
-        fold = df.withColumn("_fold", hash_fold(key, 4, r))
-        model = Pipeline(stages=[*_vector(columns), GBTClassifier(labelCol=group, maxIter=5, maxDepth=3, seed=r)]).fit(fold.filter("_fold > 0"))
-        rows.append((r, float(BinaryClassificationEvaluator(labelCol=group).evaluate(model.transform(fold.filter("_fold = 0"))))))
-    return df.sparkSession.createDataFrame(rows, "repeat int, auc double")
-
-
 def cross_fold_scores(df: DataFrame, columns: list[str], label: str, key: str, k: int = 3) -> DataFrame:
     """D36. Out-of-fold scores: every row is scored by a model that did not see its id."""
     fold = df.withColumn("fold", hash_fold(key, k))

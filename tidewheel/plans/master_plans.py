@@ -11,6 +11,8 @@ from tidewheel.plans.place_plans import PACK_SQL, packed
 from tidewheel.plans.registry import query
 from tidewheel.plans.time_plans import UNIT, WEEKLY_SQL, weekly
 from tidewheel.functions.relational import hash_unit
+from tidewheel.sources import io as S
+from tidewheel.sources import ledger
 from tidewheel.sources.derived import ctes, outlets, products, profiles, revenue, usage
 
 
@@ -304,19 +306,35 @@ def c4_rank(spark, d):
     return ranked(spark, d).select("msisdn", "campaign", "push_channel", "criteria_1", "rank")
 
 
-@query(PHONE_SQL + " SELECT msisdn, campaign, 'src' AS origin, '20240115-' || msisdn || '-' || campaign AS transaction_id FROM ranked WHERE push_channel IN ('PROMO', 'SMALL')")
+@query(PHONE_SQL + " SELECT msisdn, campaign, 'src' AS origin, '20240115-' || msisdn || '-' || campaign AS transaction_id FROM ranked")
 def c5_c6_event_rows(spark, d):
     r = ranked(spark, d)
-    both = C.combine([r.filter("push_channel = 'PROMO'"), r.filter("push_channel = 'SMALL'")])
-    return C.event_rows(both, "2024-01-15", {"origin": "src"}).select("msisdn", "campaign", "origin", "transaction_id")
+    channels = C.combine([r.filter(f"push_channel = '{c}'") for c in ("PROMO", "ECONOMY", "SMALL")])
+    return C.event_rows(channels, "2024-01-15", {"origin": "src"}).select("msisdn", "campaign", "origin", "transaction_id")
 
 
-@query(PHONE_SQL + """, u AS (SELECT DISTINCT msisdn, campaign, push_channel, rank FROM ranked), p AS (SELECT *, row_number() OVER (PARTITION BY push_channel ORDER BY rank, substr(md5(msisdn || campaign), 1, 2), msisdn, campaign) AS k FROM u)
-SELECT msisdn, campaign, push_channel, CAST(ceil(k / (CASE push_channel WHEN 'PROMO' THEN 100.0 ELSE 250.0 END)) AS BIGINT) AS slot FROM p""")
-def c7_pace(spark, d):
-    r = ranked(spark, d).select("msisdn", "campaign", "push_channel", "rank").distinct()
+PACE_SQL = PHONE_SQL + """, u AS (
+  SELECT DISTINCT msisdn, campaign, push_channel, criteria_1, criteria_2, criteria_3 FROM ranked),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY push_channel ORDER BY criteria_1 DESC, criteria_2 DESC, criteria_3 DESC, msisdn, campaign) AS k FROM u),
+paced AS (
+  SELECT msisdn, campaign, push_channel, k AS rank_by_channel, CAST(ceil(k / (CASE push_channel WHEN 'PROMO' THEN 100.0 ELSE 250.0 END)) AS BIGINT) AS slot FROM p)"""
+
+
+def paced(spark, d):
+    r = S.at_rest(ranked(spark, d).select("msisdn", "campaign", "push_channel", *C.CRITERIA).distinct())
     limits = r.select("push_channel").distinct().withColumn("hourly", F.when(F.col("push_channel") == "PROMO", 100).otherwise(250))
-    return C.pace(r, limits).select("msisdn", "campaign", "push_channel", "slot")
+    return C.pace(r, limits)
+
+
+@query(PACE_SQL + " SELECT * FROM paced")
+def c7_pace(spark, d):
+    return paced(spark, d).drop(*C.CRITERIA)
+
+
+@query(PACE_SQL + " SELECT slot, push_channel, count(*) AS n FROM paced GROUP BY ALL")
+def c7_slot_sizes(spark, d):
+    return C.slot_sizes(paced(spark, d))
 
 
 @query("SELECT p_brand AS brand, CASE WHEN min(p_size) > 1 THEN 'ranking' ELSE 'channels' END AS missing_in FROM part GROUP BY 1 HAVING min(p_size) > 1 OR max(p_size) < 49")
@@ -330,6 +348,12 @@ def c8_duplicate_configuration(spark, d):
     return C.duplicate_configuration(spark.read.parquet(f"{d}/part.parquet"), ["p_brand", "p_type"])
 
 
+@query("SELECT p_brand, p_type, count(*) AS n FROM part WHERE p_size < 25 GROUP BY ALL HAVING count(*) > 1")
+def c8_several_rows_of_system(spark, d):
+    config = spark.read.parquet(f"{d}/part.parquet").withColumn("system", F.when(F.col("p_size") < 25, "cms").otherwise("other"))
+    return C.several_rows_of_system(config, ["p_brand", "p_type"], "system", "cms")
+
+
 @query(ctes("products") + """, s AS (SELECT msisdn, maker AS campaign, sum(amount) AS score FROM products GROUP BY ALL)
 SELECT msisdn, campaign, score::BIGINT AS criteria_2, CASE WHEN campaign LIKE '%1' THEN 'fam_' || campaign WHEN campaign LIKE '%2' THEN 'c|' || campaign ELSE campaign END AS keyword, CASE WHEN campaign LIKE '%3' THEN 7 ELSE 0 END AS criteria_1 FROM s""")
 def c9_build_input(spark, d):
@@ -353,3 +377,35 @@ def c10_ranking_changes(spark, d):
 def c10_melt_criteria(spark, d):
     p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
     return C.melt_criteria(p, "p_partkey", ["p_size", "p_retailprice"])
+
+
+@query("""WITH up AS (
+  SELECT p_brand AS family, CAST(p_partkey AS VARCHAR) AS campaign, p_type AS push_channel, TIMESTAMP '2024-01-01 00:00:00' AS made, 1 AS run FROM part
+  UNION ALL SELECT p_brand, CAST(p_partkey AS VARCHAR), 'SMS', TIMESTAMP '2024-02-01 00:00:00', 2 FROM part WHERE p_partkey % 3 = 0 AND p_size < 25
+  UNION ALL SELECT p_brand, CAST(p_partkey AS VARCHAR), 'MAIL', TIMESTAMP '2024-02-01 00:00:00', 2 FROM part WHERE p_partkey % 6 = 0 AND p_size < 25
+  UNION ALL SELECT p_brand, 'extra-' || min(p_partkey), 'SMS', TIMESTAMP '2024-03-01 00:00:00', 3 FROM part GROUP BY p_brand),
+runs AS (SELECT DISTINCT family, campaign, run, made FROM up)
+SELECT up.family, up.campaign, up.push_channel, CASE WHEN min(later.made) IS NULL THEN 'active' ELSE 'inactive' END AS status, up.made AS created_at, min(later.made) AS deactivated_at
+FROM up LEFT JOIN runs later ON later.family = up.family AND later.campaign = up.campaign AND later.run > up.run GROUP BY up.family, up.campaign, up.push_channel, up.made""")
+def c10_uploads_applied(spark, d):
+    """Three uploads change a table at rest, one of them twice; the table is read back with its history."""
+    path = S.scratch(spark)
+    p = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_brand").alias("family"), F.col("p_partkey").cast("string").alias("campaign"), F.col("p_type").alias("push_channel"), "p_partkey", "p_size")
+    rows = lambda df, channel: df.select("family", "campaign", channel.alias("push_channel"))
+    small = p.filter("p_partkey % 3 = 0 and p_size < 25")
+    second = rows(small, F.lit("SMS")).unionByName(rows(small.filter("p_partkey % 6 = 0"), F.lit("MAIL")))
+    extra = p.groupBy("family").agg(F.concat(F.lit("extra-"), F.min("p_partkey").cast("string")).alias("campaign")).withColumn("push_channel", F.lit("SMS"))
+    for run, up in ((1, rows(p, F.col("push_channel"))), (2, second), (2, second), (3, extra)):
+        ledger.upload(spark, path, up, ["family", "campaign"], "family", f"run-{run}", F.lit(f"2024-0{run}-01 00:00:00").cast("timestamp"))
+    return ledger.read(spark, path)
+
+
+@query("SELECT p_partkey, p_brand, CASE WHEN p_partkey % 2 = 0 AND p_size < 10 THEN CASE WHEN p_partkey % 3 <> 0 THEN p_retailprice + 1 END ELSE p_retailprice END AS p_retailprice FROM part UNION ALL SELECT -p_partkey, p_brand, p_retailprice FROM part WHERE p_size = 1")
+def s6_upsert_at_rest(spark, d):
+    path = S.scratch(spark)
+    p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", "p_brand", "p_retailprice", "p_size")
+    changed = p.filter("p_partkey % 2 = 0 and p_size < 10").withColumn("p_retailprice", F.when(F.col("p_partkey") % 3 == 0, float("nan")).otherwise(F.col("p_retailprice") + 1))
+    new = p.filter("p_size = 1").withColumn("p_partkey", -F.col("p_partkey"))
+    ledger.upsert(spark, path, p.drop("p_size"), ["p_partkey", "p_brand"], "p_brand", "first")
+    ledger.upsert(spark, path, changed.unionByName(new).drop("p_size"), ["p_partkey", "p_brand"], "p_brand", "second")
+    return ledger.read(spark, path)

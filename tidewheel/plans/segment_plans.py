@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
-import tempfile
 import uuid
 
 from pyspark.ml.functions import vector_to_array
@@ -329,29 +327,14 @@ def d34_grid_search(spark, d):
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(model.avgMetrics)], "candidate int, auc double")
 
 
-@query()
-def d35_comparability(spark, d):
-    return D.comparability(wide(spark, d), COLUMNS, "treatment", "msisdn")
-
-
 @query()
 def d36_cross_fold_uplift(spark, d):
     return D.uplift_curve(D.cross_fold_scores(wide(spark, d), COLUMNS, "outcome", "msisdn"), 10)
 
 
-def scratch(spark) -> str:
-    """A new folder that all executors share: in spark.checkpoint.dir, or, on one machine only, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
-
-
 @query(ctes("revenue") + " SELECT msisdn, trx_id, event_date FROM revenue WHERE weekstart BETWEEN DATE '1998-04-06' - 55 AND DATE '1998-04-06'")
 def s1_s3_dated_window(spark, d):
-    path = scratch(spark)
+    path = S.scratch(spark)
     r = revenue(spark, d)
     S.weekly_backfill_write(r.select("msisdn", "trx_id", "event_date", F.date_format("weekstart", "yyyy-MM-dd").alias("weekstart")), path)
     read = S.dated_window_read(spark, path, "weekstart", "2m", "%Y-%m-%d", dt.date(1998, 4, 6))
@@ -360,7 +343,7 @@ def s1_s3_dated_window(spark, d):
 
 @query(ctes("revenue") + " SELECT trx_id, amount + 1 AS amount FROM revenue")
 def s2_versions(spark, d):
-    path, r = scratch(spark), revenue(spark, d).select("trx_id", "amount")
+    path, r = S.scratch(spark), revenue(spark, d).select("trx_id", "amount")
     S.versioned_write(r, path, dt.date(2024, 1, 1))
     S.versioned_write(r.withColumn("amount", F.col("amount") + 1), path, dt.date(2024, 1, 2))
     S.versioned_write(r.withColumn("amount", F.col("amount") + 2), path, dt.date(2024, 1, 3))
@@ -374,7 +357,7 @@ def s4_latest_partition(spark, d):
 
 @query(ctes("usage") + """ SELECT DISTINCT 'usage' AS "table", event_date, true AS is_delivered FROM usage""")
 def q10_file_deliveries(spark, d):
-    path = scratch(spark)
+    path = S.scratch(spark)
     usage(spark, d).select("event_id", "event_date").hint("rebalance", "event_date").write.partitionBy("event_date").parquet(path)
     found = file_deliveries(spark, path, "usage", "event_date")
     return found.select("table", "event_date", (F.col("delivered") <= F.current_timestamp()).alias("is_delivered"))
@@ -389,7 +372,7 @@ def s6_keyed_upsert(spark, d):
 
 @query(ctes("revenue") + " SELECT msisdn, trx_id, channel FROM revenue")
 def s5_external_table(spark, d):
-    path, name = scratch(spark), f"external_{uuid.uuid4().hex}"
+    path, name = S.scratch(spark), f"external_{uuid.uuid4().hex}"
     r = revenue(spark, d).select("msisdn", "trx_id", "channel")
     r.hint("rebalance", "channel").write.partitionBy("channel").parquet(path)
     S.register_external_table(spark, name, path, r.schema, ["channel"])
@@ -398,7 +381,7 @@ def s5_external_table(spark, d):
 
 @query("SELECT DISTINCT p_brand, p_type, CAST(p_size AS VARCHAR) AS slot FROM part")
 def s7_delimited_export(spark, d):
-    path = scratch(spark)
+    path = S.scratch(spark)
     p = spark.read.parquet(f"{d}/part.parquet").select("p_brand", "p_type", F.col("p_size").cast("string").alias("slot"))
     S.delimited_export(p, path, "slot")
     return spark.read.schema("p_brand string, p_type string, slot string").option("sep", "|").option("header", True).csv(path)

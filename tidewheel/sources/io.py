@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,30 @@ from pyspark.sql import types as T
 from tidewheel.functions.relational import nan_to_null
 from tidewheel.functions.timekeys import period_days
 
+BROADCAST_ROWS = 100_000
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share: in spark.checkpoint.dir, or, on one machine only, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def at_rest(df: DataFrame) -> DataFrame:
+    """df written to a new shared folder and read again: what is random or costly in it happens once, and lost executors do no harm."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_counted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, of narrow rows, marked for broadcast if it has at most ``most`` rows; else it is left to a shuffle join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
 
 def dated_window_read(spark: SparkSession, path: str, partition_column: str, period: str, date_format: str, end: dt.date) -> DataFrame:
     """S1. Rows of the partitions from ``period`` before ``end`` to ``end``; the filter prunes partitions."""
