@@ -18,10 +18,12 @@ def measured(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.size(c) for c in arrays}) if arrays else df
 
 
-def long_metrics(df: DataFrame, by: list[str], columns: list[str], metrics: dict[str, callable]) -> DataFrame:
-    """Q1, Q5. by, column and a column per metric: one wide aggregation, one struct per column, exploded."""
-    wide = df.groupBy(*by).agg(*(m(F.col(c)).cast("double").alias(f"{c}__{n}") for c in columns for n, m in metrics.items()))
-    rows = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"{c}__{n}").alias(n) for n in metrics)) for c in columns))
+def long_metrics(df: DataFrame, by: list[str], columns: list[str], metrics: dict[str, callable], quartiles: dict[str, float] | None = None) -> DataFrame:
+    """Q1, Q5. by, column and a column per metric and percentile: one wide aggregation, one struct per column, exploded."""
+    of = quartiles or {}
+    percentiles = [F.percentile(c, list(of.values())).alias(f"{c}__q") for c in columns] if of else []
+    wide = df.groupBy(*by).agg(*(m(F.col(c)).cast("double").alias(f"{c}__{n}") for c in columns for n, m in metrics.items()), *percentiles)
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"{c}__{n}").alias(n) for n in metrics), *(F.col(f"{c}__q")[i].alias(n) for i, n in enumerate(of))) for c in columns))
     return wide.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
 
 
@@ -37,8 +39,7 @@ def accuracy_completeness(df: DataFrame, columns: list[str], by: list[str] = ("w
     rows = measured(df)
     names = [f"percentile_{p}".replace("0.", "") for p in PERCENTILES]
     if fit_a_buffer(rows, list(by), columns):
-        quartile = lambda p: lambda c: F.percentile(c, F.lit(p))
-        return long_metrics(rows, list(by), columns, metrics | {n: quartile(p) for n, p in zip(names, PERCENTILES, strict=True)})
+        return long_metrics(rows, list(by), columns, metrics, dict(zip(names, PERCENTILES, strict=True)))
     out = long_metrics(rows, list(by), columns, metrics)
     quartiles = exact_percentiles(long_values(rows, list(by), columns), [*by, "column"], "value", PERCENTILES)
     named = quartiles.select(*by, "column", *(F.col("q")[k].alias(n) for k, n in enumerate(names)))
