@@ -609,3 +609,52 @@ def test_without_places(spark):
     for (text, gone), left in zip(rows, got, strict=True):
         hidden = set(gone)
         assert left == [x for i, x in enumerate(text.split("\n")) if i not in hidden]
+
+
+# columns of the operators' own names, and rows that once did harm
+
+
+def test_names_of_the_operators_own(spark, odd):
+    """Input columns named as those made inside, and columns without an order, pass through."""
+    docs = odd.withColumns({c: F.lit(7) for c in ("__key", "__gone", "__row", "__whole", "good_id", "label_id", "features", "l1", "own", "held_out", "n_lines", "n_removed")})
+    docs = docs.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    out = line_dedup.remove_boilerplate(docs)
+    assert out.columns == [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
+    assert {(r["__key"], r["__gone"], r["__row"], r["__whole"]) for r in out.collect()} == {(7, 7, 7, 7)} and out.count() == docs.count()
+    labels = spark.createDataFrame([(4, 1, 0), (5, 1, 1), (6, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    assert quality_lm.classify(docs, labels).count() == docs.count()
+    model = toxicity.train(docs, labels)
+    assert toxicity.scored(docs.drop("m"), model).count() == docs.count()
+    kept = near_dup.deduplicated(docs)
+    assert kept.columns == docs.columns and kept.filter("doc_id = 5").isEmpty() and kept.filter("doc_id = 4").count() == 1
+
+
+def test_toxicity_takes_one_row_of_an_id(spark):
+    """A labelled id with very many rows gives the fit one row, whichever task its rows are in."""
+    rows = [(1, prose(k, 5), None, None) for k in range(400)] + [(2, "b", None, None), (2, "b", None, None)]
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    got = toxicity.training_rows(documents(spark, rows).repartition(6), labels, 10).collect()
+    assert sorted(r.label for r in got) == [0, 1]
+    least = min(toxicity.packed(np.unique(toxicity.buckets(t))) for i, t, *_ in rows if i == 1)
+    assert bytes(next(r.features for r in got if r.label == 1)) == least
+
+
+def test_parts_by_bytes():
+    import pyarrow as pa
+
+    from tidewheel.llm.common import by_bytes
+
+    batch = pa.record_batch([pa.array(["x" * 50, None, "", "y" * 5, "z" * 4, "w" * 90, "v"]), pa.array(range(7))], ["text", "k"]).slice(1)
+    for rows, size in ((2, 1_000), (10, 9), (10, 1), (1, 1)):
+        parts = list(by_bytes(batch, "text", rows, size))
+        assert [k for p in parts for k in p.column("k").to_pylist()] == list(range(1, 7))
+        assert all(p.num_rows == 1 or p.num_rows <= rows and sum(len(t or "") for t in p.column("text").to_pylist()) <= size for p in parts)
+    assert list(by_bytes(batch.slice(0, 0), "text", 2, 2)) == []
+
+
+def test_language_does_not_depend_on_the_parts(spark, monkeypatch):
+    docs = documents(spark, [(i, prose(i, 30 * (i % 5)), "ab"[i % 2], None) for i in range(40)])
+    samples = language_id.sample_text(docs.select("text", "lang"))
+    whole = sorted(map(tuple, language_id.identify(docs, samples, ["doc_id"]).collect()))
+    monkeypatch.setattr(language_id, "PART_BYTES", 100)
+    assert sorted(map(tuple, language_id.identify(docs, samples, ["doc_id"]).collect())) == whole

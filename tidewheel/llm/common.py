@@ -6,7 +6,11 @@ import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,16 +58,32 @@ BROADCAST_BYTES = 8 << 20
 def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """Mark df for broadcast if its measured size is at most ``most`` bytes; else leave it to a shuffle join.
 
-    A number counts 8 bytes, text and binary by their length. df should be cheap to read (a written table).
+    A number counts 8 bytes, text and binary by their length, lists by their numbers. df should be cheap to read (a written table).
     """
     size = F.lit(8 * len(df.columns))
     for name, kind in df.dtypes:
         if kind in ("string", "binary"):
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind in ("array<int>", "array<bigint>"):
+            size = size + 8 * F.coalesce(F.size(name), F.lit(0))
     total = df.agg(F.sum(size)).first()[0] or 0
     return F.broadcast(df) if total <= most else df
 
 
+def by_bytes(batch: pa.RecordBatch, column: str, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and about ``size`` bytes of a text column, one row at least."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        before = upto[low - 1] if low else 0
+        high = min(low + rows, max(low + 1, int(np.searchsorted(upto, before + size, "right"))))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def sent_with_tasks(module: str) -> None:
     """Send a module's functions along with the tasks that use them, so executors need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+sent_with_tasks(__name__)

@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import broadcast_if_small, sent_with_tasks, written
+from tidewheel.llm.common import broadcast_if_small, by_bytes, sent_with_tasks, written
 
 SAMPLE_CHARS, SAMPLE_DOCS, STRETCH = 40_000, 60, 1024
 #: Symbols of a language: 0 for what is no letter, then its frequent letters, buckets of its others, and foreign letters.
 SYMBOLS, BUCKETS = 56, 8
 FOREIGN = SYMBOLS - 1
+#: Bytes of text (about) that are parsed together.
+PART_BYTES = 4 << 20
 
 
 def sample_text(labelled: DataFrame, chars: int = SAMPLE_CHARS, docs: int = SAMPLE_DOCS) -> dict[str, str]:
@@ -190,8 +192,7 @@ def identify(docs: DataFrame, samples: dict[str, str], keep: list[str]) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for batch in by_bytes(whole, "text", 1000, PART_BYTES):
                 texts = [(t or "").lower() for t in batch.column("text").to_pylist()]
                 known = [bool(model) and has_letter(t) for t in texts]
                 names, score = ["und"] * len(texts), [0.0] * len(texts)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import written
+from tidewheel.llm.common import broadcast_if_small, written
 
 SITES, MARGIN, SKETCH_BITS = 5, 0.25, 10
 
@@ -49,13 +49,17 @@ def without(parts: Column, gone: Column) -> Column:
 def remove_boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """All columns of docs, text without boilerplate lines, with ``n_lines`` (not blank) and ``n_removed``; columns of these names are replaced."""
     found = boilerplate(docs, sites, margin).select("h1", "h2")
-    rows = docs.drop("n_lines", "n_removed").withColumn("__row", F.struct("doc_id", F.xxhash64("text", "source")))
+    # The input's columns stay in one struct, so no name of theirs meets one made here.
+    rows = docs.select(F.struct(*docs.columns).alias("__whole"), F.struct("doc_id", F.xxhash64("text", "source")).alias("__row"), "text")
     place = rows.select("__row", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("__row", "pos", F.trim("line").alias("line")).filter("line <> ''")
     gone = place.select("__row", "pos", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")).join(found, ["h1", "h2"], "left_semi")
-    per = gone.groupBy(F.col("__row").alias("__key")).agg(F.array_sort(F.collect_set("pos")).alias("__gone"))
-    joined = rows.join(per, F.col("__row").eqNullSafe(F.col("__key")), "left")
+    per = written(gone.groupBy(F.col("__row").alias("__key")).agg(F.array_sort(F.collect_set("pos")).alias("__gone")), "lines-gone")
+    joined = rows.join(broadcast_if_small(per), F.col("__row").eqNullSafe(F.col("__key")), "left")
     parts = F.split("text", "\n")
     left = without(parts, F.col("__gone"))
     full = F.coalesce(F.size(F.filter(parts, lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
-    out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("long")).withColumn("n_removed", F.coalesce(F.when(F.size("__gone") > 0, F.size("__gone")), F.lit(0)).cast("long"))
-    return out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))).drop("__row", "__key", "__gone")
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(full).cast("long").alias("n_lines")
+    n_removed = F.coalesce(F.when(F.size("__gone") > 0, F.size("__gone")), F.lit(0)).cast("long").alias("n_removed")
+    same = [text.alias(c) if c == "text" else F.col("__whole").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select(*same, n_lines, n_removed)

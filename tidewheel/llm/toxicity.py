@@ -53,18 +53,19 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """label and packed features of the sampled labelled documents."""
+    """label and packed features of the sampled labelled documents, one row for each id: of ids with several rows the least features."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     # At most `sample` rows of 12 bytes: a broadcast of proven size.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "label_id")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("label", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("label_id", "label", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             features = [packed(np.unique(buckets(t.as_py()))) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), pa.array(features, pa.binary())], ["label", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column("label_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array(features, pa.binary())], ["label_id", "label", "features"])
 
-    return rows.mapInArrow(pack, "label int, features binary")
+    each = rows.withColumn("label_id", F.xxhash64("label_id")).mapInArrow(pack, "label_id long, label int, features binary")
+    return each.groupBy("label_id").agg(F.max("label").alias("label"), F.min("features").alias("features")).select("label", "features")
 
 
 def fit(labels: np.ndarray, features: list[bytes]) -> tuple[np.ndarray, float]:
