@@ -264,3 +264,23 @@ def test_similar_rows_and_percentiles(spark):
     assert by_class.keys() == pct.keys()
     for i, x in pct.items():
         assert all(math.isclose(by_class[i][c], x[c]) for c in ("percentile", "p90", "p95", "p100")), (x, by_class[i])
+
+
+def test_distinct_over_window(spark):
+    """The sweep against sets of every frame: gaps, repeats, null elements and arrays, several rows a day, two columns, three frames."""
+    r = random.Random(11)
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    some = lambda: r.choice([None, [], [r.choice(["a", "b", None, "c"]) for _ in range(r.randrange(5))]])
+    rows = [(i, r.choice(["x", "y", None]), day(r.randrange(80)), some(), [r.randrange(6)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, k string, weekstart date, s array<string>, n array<int>").repartition(4)
+    counts = {"s1": ("s", 1), "s14": ("s", 14), "n14": ("n", 14), "n400": ("n", 400)}
+    out = frames.distinct_over_window(df, counts, ["k"])
+    assert out.columns == [*df.columns, *counts]
+    found = {x.i: x for x in out.collect()}
+    for i, k, at, *_ in rows:
+        for name, (c, days) in counts.items():
+            every = {e for _, k2, u, s, n in rows if k2 == k and 0 <= (at - u).days < days for e in ((s or []) if c == "s" else n)}
+            assert found[i][name] == len(every), (i, name)
+    assert frames.distinct_over_window(df.limit(0), counts, ["k"]).count() == 0
+    one = frames.distinct_over_window(df, counts, ["k"])._jdf.queryExecution().toString()
+    assert "collect_list" not in one

@@ -14,7 +14,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.frames import rolling
+from tidewheel.functions.frames import distinct_over_window, rolling
 from tidewheel.functions.timekeys import period_days
 
 Expression = Callable[[str, int], Column]
@@ -48,8 +48,17 @@ class FeatureSet:
 def period_features(df: DataFrame, features: FeatureSet | list[Feature], keep: list[str] | None = None) -> DataFrame:
     """The kept columns (default: all) and one column per feature and period, in one select."""
     of = features.features if isinstance(features, FeatureSet) else features
+    keep = keep if keep is not None else df.columns
+    # Counts of different elements are swept for all features at once, by their keys.
+    swept: dict[tuple, dict] = {}
+    for f in of:
+        if isinstance(f.expression, DistinctOver):
+            swept.setdefault(f.expression.keys, {}).update({n: (f.expression.column, period_days(p)) for n, p in zip(f.names(), f.periods, strict=True) if period_days(p) != 7})
+    for keys, counts in swept.items():
+        df = distinct_over_window(df, counts, list(keys)) if counts else df
     columns = {n: c for f in of for n, c in f.columns().items()}
-    return df.select(*(keep if keep is not None else df.columns), *(c.alias(n) for n, c in columns.items()))
+    known = {n for counts in swept.values() for n in counts}
+    return df.select(*keep, *(F.col(n) if n in known else c.alias(n) for n, c in columns.items()))
 
 
 def feature_names(features: FeatureSet) -> list[str]:
@@ -105,6 +114,17 @@ def sum_over_months(columns: str | list[str], key: str = "msisdn", order: str =
     return lambda name, days: of if days == 1 else F.sum(of).over(rolling(days, key, order))
 
 
+@dataclass(frozen=True)
+class DistinctOver:
+    """Different elements of an array column over the period; ``period_features`` sweeps them."""
+
+    column: str
+    keys: tuple[str, ...] = ("msisdn",)
+
+    def __call__(self, name: str, days: int) -> Column:
+        return F.size(F.array_distinct(F.col(self.column)))
+
+
 def diff(a: str, b: str) -> Column:
     return F.col(a) - F.col(b)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.relational import mode_with_count
-from tidewheel.functions.expr import FeatureSet, avg_over, division_of_sums, max_over, median_over, min_over, period_features, stddev_over, sum_over
+from tidewheel.functions.expr import DistinctOver, FeatureSet, avg_over, division_of_sums, max_over, median_over, min_over, period_features, stddev_over, sum_over
 from tidewheel.functions.frames import distinct_over_window, dominant_category, rolling, rolling_fixed, rows_frame, weeks_since_last_activity
 from tidewheel.functions.timekeys import period_days, sla_month
 
@@ -47,7 +47,7 @@ def voice(weekly: DataFrame) -> DataFrame:
     for name, column in (("inc_dur", "inc_call_dur"), ("out_dur", "out_call_dur"), ("night_dur", "tot_dur_12_5_am"), ("inc_count", "n_in"), ("out_count", "n_out"), ("all_count", "n_all")):
         fs.add(f"fea_voice_{name}_{{period}}", sum_over(column), *PERIODS)
     for name, column in (("in", "inc_call_nums"), ("out", "out_call_nums"), ("all", "inc_out_call_nums")):
-        fs.add(f"fea_voice_uniq_{name}_{{period}}", lambda p, days, c=column: distinct_over_window(c, days), *PERIODS)
+        fs.add(f"fea_voice_uniq_{name}_{{period}}", DistinctOver(column), *PERIODS)
     extra = {
         "fea_voice_share_inc_count_03m": rolled_share("n_in", "n_all", 91),
         "fea_voice_share_inc_dur_03m": rolled_share("inc_call_dur", "dur", 91),
@@ -72,7 +72,8 @@ def texts(weekly: DataFrame) -> DataFrame:
 def commercial_texts(weekly: DataFrame, categories: list[str], periods: tuple[str, ...] = ("1w", "1m")) -> DataFrame:
     """F4. Rolling counts and distinct senders per category as columns. weekly: A4 filled by category."""
     days = [(p, period_days(p)) for p in periods]
-    rolled = weekly.select(*KEY, "category", *(c for p, n in days for c in (F.sum("incoming_count_07d").over(rolling(n, extra=["category"])).alias(f"count_{p}"), F.size(F.array_distinct(F.flatten(F.collect_list("senders_07d").over(rolling(n, extra=["category"]))))).alias(f"senders_{p}"))))
+    swept = distinct_over_window(weekly, {f"senders_{p}": ("senders_07d", n) for p, n in days}, ["msisdn", "category"])
+    rolled = swept.select(*KEY, "category", *(F.sum("incoming_count_07d").over(rolling(n, extra=["category"])).alias(f"count_{p}") for p, n in days), *(f"senders_{p}" for p, _ in days))
     names = [f"{m}_{p}" for p in periods for m in ("count", "senders")]
     per = lambda c, n: F.max(F.when(F.col("category") == c, F.col(n))).alias(f"fea_comm_text_{c}_{n}")
     return rolled.groupBy(*KEY).agg(*(per(c, n) for c in categories for n in names))
@@ -171,11 +172,12 @@ def app_usage(weekly: DataFrame, features: list[str], periods: tuple[str, ...] =
     w = lambda p: rolling(period_days(p), extra=["feature"])
     ever = rolling(-1, extra=["feature"])
     clamp = lambda c: F.greatest(F.lit(-1), F.least(F.lit(91), F.coalesce(c, F.lit(-1))))
-    rolled = weekly.select(
+    swept = distinct_over_window(weekly, {f"apps_0{p}": ("apps", period_days(p)) for p in periods}, ["msisdn", "feature"])
+    rolled = swept.select(
         *KEY,
         "feature",
         *(F.sum("volume").over(w(p)).alias(f"volume_0{p}") for p in periods),
-        *(F.size(F.array_distinct(F.flatten(F.collect_list("apps").over(w(p))))).alias(f"apps_0{p}") for p in periods),
+        *(f"apps_0{p}" for p in periods),
         clamp(F.datediff("weekstart", F.min("first_date").over(ever))).alias("days_since_first"),
         clamp(F.datediff("weekstart", F.max("last_date").over(ever))).alias("days_since_last"),
     )
@@ -285,7 +287,8 @@ def devices(weekly: DataFrame) -> DataFrame:
     df = weekly.withColumn("maker", first)
     before = F.last("maker", ignorenulls=True).over(rows_frame(Window.unboundedPreceding, -1))
     changed = F.coalesce(F.col("maker") != before, F.lit(False)).cast("int")
-    return df.withColumn("changed", changed).select(*KEY, before.alias("fea_device_last_maker"), distinct_over_window("imeis", 91).alias("fea_device_count_03m"), F.sum("changed").over(rolling(91)).alias("fea_device_changes_03m"), F.transform("imeis", lambda i: F.substring(i, 1, 14)).alias("fea_device_imeis"))
+    df = distinct_over_window(df.withColumn("changed", changed), {"fea_device_count_03m": ("imeis", 91)})
+    return df.select(*KEY, before.alias("fea_device_last_maker"), "fea_device_count_03m", F.sum("changed").over(rolling(91)).alias("fea_device_changes_03m"), F.transform("imeis", lambda i: F.substring(i, 1, 14)).alias("fea_device_imeis"))
 
 
 def device_modes(daily: DataFrame, weeks: int = 4) -> DataFrame:
@@ -361,7 +364,7 @@ def loans(weekly: DataFrame) -> DataFrame:
     df = weekly.withColumns({"sent": names("offers"), "accepted": names("taken")})
     fs = FeatureSet()
     for n in ("sent", "accepted"):
-        fs.add(f"fea_loan_offers_{n}_{{period}}", lambda p, days, n=n: distinct_over_window(n, days), "1w", "1m", "3m")
+        fs.add(f"fea_loan_offers_{n}_{{period}}", DistinctOver(n), "1w", "1m", "3m")
     out = period_features(df, fs, KEY)
     o = weekly.select("msisdn", F.explode("offers").alias("o")).groupBy("msisdn", F.col("o.campaign").alias("campaign")).agg(F.min("o.event_date").alias("offered"))
     t = weekly.select(*KEY, F.explode("taken").alias("t")).select(*KEY, F.col("t.campaign").alias("campaign"), F.col("t.event_date").alias("at"))
@@ -374,7 +377,7 @@ def triggered_offers(weekly: DataFrame, balance: DataFrame, limit: int = 500) ->
     """F36. Distinct offers of weeks whose lowest balance is at most a limit, over three months."""
     joined = weekly.join(balance.select(*KEY, "min_balance"), KEY, "left")
     sent = F.when(F.col("min_balance") <= limit, F.transform("offers", lambda x: x["campaign"])).otherwise(F.array().cast("array<string>"))
-    return joined.withColumn("sent", sent).select(*KEY, distinct_over_window("sent", 91).alias("fea_loan_triggered_offers_03m"))
+    return distinct_over_window(joined.withColumn("sent", sent), {"fea_loan_triggered_offers_03m": ("sent", 91)}).select(*KEY, "fea_loan_triggered_offers_03m")
 
 
 def first_steps(weekly: DataFrame, recharges: DataFrame) -> DataFrame:
@@ -438,7 +441,7 @@ def internet_day_night(weekly: DataFrame) -> DataFrame:
     fs = FeatureSet()
     for c in ("volume_day", "volume_night"):
         fs.add(f"fea_int_{c}_{{period}}", sum_over(c), *PERIODS)
-    fs.add("fea_int_cities_{period}", lambda p, days: distinct_over_window("cities", days), *PERIODS)
+    fs.add("fea_int_cities_{period}", DistinctOver("cities"), *PERIODS)
     return period_features(weekly, fs, [*KEY, rolled_share("volume_night", "volume", 28).alias("fea_int_night_share_01m")])
 
 

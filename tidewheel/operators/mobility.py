@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.functions.frames import rolling
+from tidewheel.functions.frames import distinct_over_window, rolling
 from tidewheel.functions.geo import haversine_m, near_pairs, with_cells
 
 
@@ -77,8 +77,8 @@ def stay_frequency(stays: DataFrame, level: str, months: tuple[int, ...] = (1, 3
 def unique_places(stays: DataFrame, levels: list[str], months: tuple[int, ...] = (1, 3, 6)) -> DataFrame:
     """G12."""
     sets = stays.groupBy("msisdn", "month_mapped_dt").agg(*(F.collect_set(v).alias(v) for v in levels))
-    size = lambda v, m: F.size(F.array_distinct(F.flatten(F.collect_list(v).over(rolling(m, "msisdn", "month_mapped_dt"))))).alias(f"n_{v}_{m:02d}m")
-    return sets.select("msisdn", "month_mapped_dt", *(size(v, m) for v in levels for m in months))
+    counts = {f"n_{v}_{m:02d}m": (v, m) for v in levels for m in months}
+    return distinct_over_window(sets, counts, order="month_mapped_dt").select("msisdn", "month_mapped_dt", *counts)
 
 
 def home_work(home: DataFrame, work: DataFrame) -> DataFrame:

@@ -104,7 +104,7 @@ def parties(spark, d):
 
 @query(PARTIES_SQL + f" SELECT msisdn, weekstart, CAST(len(list_distinct(parties)) AS INTEGER) AS n_7, CAST(len(list_distinct(flatten(list(parties) OVER {over(21)}))) AS INTEGER) AS n_21 FROM p")
 def w9_distinct_over_window(spark, d):
-    return parties(spark, d).select("msisdn", "weekstart", W.distinct_over_window("parties", 7).alias("n_7"), W.distinct_over_window("parties", 21).alias("n_21"))
+    return W.distinct_over_window(parties(spark, d), {"n_7": ("parties", 7), "n_21": ("parties", 21)}).drop("parties")
 
 
 @query(ctes("usage") + " SELECT msisdn, strftime(event_date, '%Y-%m') AS month, count(DISTINCT party) AS unique_parties FROM usage GROUP BY ALL")
