@@ -284,3 +284,18 @@ def test_distinct_over_window(spark):
     assert frames.distinct_over_window(df.limit(0), counts, ["k"]).count() == 0
     one = frames.distinct_over_window(df, counts, ["k"])._jdf.queryExecution().toString()
     assert "collect_list" not in one
+
+
+def test_percentiles_over_window(spark):
+    """Exact percentiles of every frame against numpy: gaps, nulls, repeated weeks, null keys."""
+    r = random.Random(12)
+    rows = [(i, r.choice(["x", "y", None]), dt.date(2024, 1, 1) + dt.timedelta(7 * r.randrange(30)), r.choice([None, r.random(), float(r.randrange(4))]), r.randrange(9)) for i in range(250)]
+    df = spark.createDataFrame(rows, "i int, k string, weekstart date, a double, b int").repartition(3)
+    wanted = {"a28": ("a", 28, 0.5), "a7": ("a", 7, 0.5), "b91": ("b", 91, 0.25), "b28": ("b", 28, 0.9)}
+    out = frames.percentiles_over_window(df, wanted, ["k"])
+    assert out.columns == [*df.columns, *wanted]
+    found = {x.i: x for x in out.collect()}
+    for i, k, at, *_ in rows:
+        for name, (c, days, p) in wanted.items():
+            every = [v for _, k2, u, a, b in rows if k2 == k and 0 <= (at - u).days < days and (v := a if c == "a" else b) is not None]
+            assert (found[i][name] is None) if not every else math.isclose(found[i][name], np.quantile(every, p), abs_tol=1e-12)

@@ -14,7 +14,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.frames import distinct_over_window, rolling
+from tidewheel.functions.frames import distinct_over_window, percentiles_over_window, rolling
 from tidewheel.functions.timekeys import period_days
 
 Expression = Callable[[str, int], Column]
@@ -57,7 +57,13 @@ def period_features(df: DataFrame, features: FeatureSet | list[Feature], keep: l
     for keys, counts in swept.items():
         df = distinct_over_window(df, counts, list(keys)) if counts else df
     columns = {n: c for f in of for n, c in f.columns().items()}
-    known = {n for counts in swept.values() for n in counts}
+    ranked: dict[tuple, dict] = {}
+    for f in of:
+        if isinstance(f.expression, PercentileOver):
+            ranked.setdefault(f.expression.keys, {}).update({n: (f.expression.column, period_days(p), f.expression.p) for n, p in zip(f.names(), f.periods, strict=True) if period_days(p) != 7})
+    for keys, wanted in ranked.items():
+        df = percentiles_over_window(df, wanted, list(keys)) if wanted else df
+    known = {n for made in (*swept.values(), *ranked.values()) for n in made}
     return df.select(*keep, *(F.col(n) if n in known else c.alias(n) for n, c in columns.items()))
 
 
@@ -95,8 +101,20 @@ def first_over(column: str, key: str = "msisdn") -> Expression:
     return _over(F.first, column, key)
 
 
+@dataclass(frozen=True)
+class PercentileOver:
+    """Exact interpolated percentile of a column over the period of a weekly series; ``period_features`` makes them all at once."""
+
+    column: str
+    p: float = 0.5
+    keys: tuple[str, ...] = ("msisdn",)
+
+    def __call__(self, name: str, days: int) -> Column:
+        return F.col(self.column)
+
+
 def median_over(column: str, key: str = "msisdn") -> Expression:
-    return _over(lambda c: F.percentile_approx(c, 0.5, 10_000), column, key)
+    return PercentileOver(column, 0.5, (key,))
 
 
 def stddev_over(column: str, key: str = "msisdn") -> Expression:

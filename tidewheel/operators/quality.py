@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.frames import rolling
+from tidewheel.functions.frames import percentiles_over_window
 from tidewheel.functions.quantiles import exact_percentiles, fit_a_buffer
 from tidewheel.functions.relational import columns_of_type
 
@@ -85,11 +85,9 @@ def sampled_metrics(df: DataFrame, ids: DataFrame, columns: list[str], table: st
     return accuracy_completeness(df.join(ids.select("msisdn").distinct(), "msisdn", "left_semi"), columns).withColumns({"table": F.lit(table), "run": F.lit(run)})
 
 
-def threshold_score(metrics: DataFrame, days: int, by: list[str] = ("table", "column", "metric")) -> DataFrame:
-    """Q7. 100 where a value lies within 1.5 interquartile ranges of the quartiles of the last days, else 0."""
-    w = rolling(days, list(by), "run_date")
-    q = lambda p: F.percentile_approx("value", p, 10_000).over(w)
-    rows = metrics.withColumns({"q1": q(0.25), "q3": q(0.75)})
+def threshold_score(metrics: DataFrame, days: int, by: list[str] = ("table", "column", "metric"), step: int = 1) -> DataFrame:
+    """Q7. 100 where a value lies within 1.5 interquartile ranges of the quartiles of the last days, else 0. step: days between runs."""
+    rows = percentiles_over_window(metrics, {"q1": ("value", days, 0.25), "q3": ("value", days, 0.75)}, list(by), "run_date", step)
     iqr = F.col("q3") - F.col("q1")
     return rows.withColumn("score", F.when(F.col("value").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr), 100).otherwise(0)).drop("q1", "q3")
 

@@ -173,7 +173,7 @@ iw AS (SELECT msisdn, weekstart, sum(volume) AS volume, min(volume) AS lo, max(v
 SELECT {K}, (sum(we) OVER {over(28)})::DOUBLE / nullif(sum(volume) OVER {over(28)}, 0) AS fea_int_weekend_share_01m, """ + ", ".join(
     [f"{big(rsum(c, n))} AS fea_int_{m}_{p}" for m, c in (("volume", "volume"), ("volume_weekend", "we"), ("volume_weekday", "wd"), ("days_above_threshold", "thr")) for p, n in ALL]
     + [big(c if n == 7 else f"{f}({c}) OVER {over(n)}") + f" AS fea_int_{f}_{p}" for f, c in (("min", "lo"), ("max", "hi")) for p, n in ALL]
-    + [f"{big(f'quantile_disc(volume, 0.5) OVER {over(n)}')} AS fea_int_med_{p}, stddev(volume) OVER {over(n)} AS fea_int_std_{p}" for p, n in (("01m", 28), ("03m", 91))]) + " FROM iw")
+    + [f"quantile_cont(volume, 0.5) OVER {over(n)} AS fea_int_med_{p}, stddev(volume) OVER {over(n)} AS fea_int_std_{p}" for p, n in (("01m", 28), ("03m", 91))]) + " FROM iw")
 def f16_internet_usage(spark, d):
     return X.internet_usage(A.internet_weekly(internet(spark, d)))
 

@@ -199,13 +199,13 @@ def q6_sampled_metrics(spark, d):
 
 
 SCORE_SQL = WEEKLY_SQL + """, v AS (SELECT 'weekly' AS "table", 'amt' AS "column", 'max' AS metric, weekstart AS run_date, max(amt)::DOUBLE AS value FROM weekly GROUP BY 4 UNION ALL SELECT 'weekly', 'trx', 'mean', weekstart, round(avg(trx), 4) FROM weekly GROUP BY 4),
-q AS (SELECT *, quantile_disc(value, 0.25) OVER w AS q1, quantile_disc(value, 0.75) OVER w AS q3 FROM v WINDOW w AS (PARTITION BY "column", metric ORDER BY run_date RANGE BETWEEN INTERVAL 433 DAYS PRECEDING AND CURRENT ROW)),
+q AS (SELECT *, quantile_cont(value, 0.25) OVER w AS q1, quantile_cont(value, 0.75) OVER w AS q3 FROM v WINDOW w AS (PARTITION BY "column", metric ORDER BY run_date RANGE BETWEEN INTERVAL 433 DAYS PRECEDING AND CURRENT ROW)),
 scores AS (SELECT "table", "column", metric, run_date, value, CASE WHEN value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN 100 ELSE 0 END AS score FROM q)"""
 
 
 def scores(spark, d):
     per = weekly(spark, d).groupBy(F.col("weekstart").alias("run_date")).agg(F.max("amt").cast("double").alias("amt__max"), F.round(F.avg("trx"), 4).alias("trx__mean"))
-    return Q.threshold_score(Q.melt_metrics(per, ["run_date"]).withColumn("table", F.lit("weekly")), 434)
+    return Q.threshold_score(Q.melt_metrics(per, ["run_date"]).withColumn("table", F.lit("weekly")), 434, step=7)
 
 
 @query(SCORE_SQL + " SELECT * FROM scores")

@@ -154,7 +154,7 @@ def _expressions_sql() -> str:
         cols += [("amt + loan" if n == 7 else f"CAST(sum(amt + loan) OVER {w} AS BIGINT)") + f" AS sum_amt_{name}"]
         cols += [("amt::DOUBLE" if n == 7 else f"avg(amt) OVER {w}") + f" AS avg_amt_{name}"]
         cols += [("amt" if n == 7 else f"{f}(amt) OVER {w}") + f" AS {k}_amt_{name}" for k, f in (("min", "min"), ("max", "max"), ("first", "first_value"))]
-        cols += [("amt" if n == 7 else f"quantile_disc(amt, 0.5) OVER {w}") + f" AS median_amt_{name}"]
+        cols += [("amt" if n == 7 else f"quantile_cont(amt, 0.5) OVER {w}") + f" AS median_amt_{name}"]
         cols += [f"stddev(amt) OVER {w} AS stddev_amt_{name}", f"(sum(amt) OVER {w})::DOUBLE / {max(n // 28, 1)} AS monthly_amt_{name}", f"(sum(loan) OVER {w})::DOUBLE / nullif((sum(trx) OVER {w})::DOUBLE, 0) AS per_trx_{name}"]
     return ", ".join(cols)
 
