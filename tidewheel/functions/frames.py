@@ -72,7 +72,7 @@ def distinct_over_window(df: DataFrame, counts: dict[str, tuple[str, int]], keys
     The changes of a day are summed, and a row has the sum of all changes up to it. No list is gathered, and memory does
     not grow with the lists. Null elements count as one element; null arrays hold none.
     """
-    lists = {c: sorted({days for column, days in counts.values() if column == c}) for c, _ in counts.values()}
+    lists = list(dict.fromkeys(c for c, _ in counts.values()))
     tagged = lambda k, c: F.transform(F.array_distinct(c), lambda e: F.struct(F.lit(k).alias("tag"), e.cast("string").alias("e")))
     none = F.array().cast("array<struct<tag:int,e:string>>")
     every = F.flatten(F.array(*(F.coalesce(tagged(k, c), none) for k, c in enumerate(lists))))
@@ -80,20 +80,21 @@ def distinct_over_window(df: DataFrame, counts: dict[str, tuple[str, int]], keys
     each = df.select(*keys, _days(order).alias("_day"), every.alias("_every")).repartition(*keys).select(*keys, "_day", F.explode("_every").alias("_x")).select(*keys, "_day", "_x.tag", "_x.e")
     w = Window.partitionBy(*keys, "tag", "e").orderBy("_day")
     seen = each.withColumns({"_before": F.lag("_day").over(w), "_after": F.lead("_day").over(w)})
-    at = {name: (list(lists).index(c), days) for name, (c, days) in counts.items()}
-    change = lambda here, day, n, delta: F.when(here, F.struct(day.cast("int").alias("_day"), F.lit(n).alias("n"), F.lit(delta).alias("d")))
-    changes = []
-    for n, (tag, days) in enumerate(at.values()):
-        own, day = F.col("tag") == tag, F.col("_day")
-        changes.append(change(own & (F.col("_before").isNull() | (day - F.col("_before") >= days)), day, n, 1))
-        changes.append(change(own & (F.col("_after").isNull() | (F.col("_after") - day >= days)), day + days, n, -1))
-    moved = seen.select(*keys, F.explode(F.array_compact(F.array(*changes))).alias("_c"))
-    sums = moved.groupBy(*keys, F.col("_c._day").alias("_day")).agg(*(F.sum(F.when(F.col("_c.n") == n, F.col("_c.d")).otherwise(0)).alias(f"_n{n}") for n in range(len(at))))
+    frames = sorted({days for _, days in counts.values()})
+    at = [(lists.index(c), frames.index(days)) for c, days in counts.values()]
+    change = lambda here, day, f, delta: F.when(here, F.struct(day.cast("int").alias("_day"), F.lit(f).alias("f"), F.lit(delta).alias("d")))
+    day, changes = F.col("_day"), []
+    for f, days in enumerate(frames):
+        changes.append(change(F.col("_before").isNull() | (day - F.col("_before") >= days), day, f, 1))
+        changes.append(change(F.col("_after").isNull() | (F.col("_after") - day >= days), day + days, f, -1))
+    moved = seen.select(*keys, "tag", F.explode(F.array_compact(F.array(*changes))).alias("_c"))
+    of = lambda tag, f: F.sum(F.when((F.col("tag") == tag) & (F.col("_c.f") == f), F.col("_c.d")).otherwise(0))
+    sums = moved.groupBy(*keys, F.col("_c._day").alias("_day")).agg(*(of(tag, f).alias(f"_n{n}") for n, (tag, f) in enumerate(at)))
     rows = df.select(*keys, _days(order).alias("_day"), F.struct(*df.columns).alias("_row"))
     both = rows.unionByName(sums, allowMissingColumns=True)
     upto = Window.partitionBy(*keys).orderBy("_day").rangeBetween(Window.unboundedPreceding, 0)
     swept = both.select("_row", *(F.coalesce(F.sum(f"_n{n}").over(upto), F.lit(0)).cast("int").alias(f"_n{n}") for n in range(len(at))))
-    return swept.filter("_row is not null").select("_row.*", *(F.col(f"_n{n}").alias(name) for n, name in enumerate(at)))
+    return swept.filter("_row is not null").select("_row.*", *(F.col(f"_n{n}").alias(name) for n, name in enumerate(counts)))
 
 
 def percentiles_over_window(df: DataFrame, wanted: dict[str, tuple[str, int, float]], keys: list[str] = ("msisdn",), order: str = "weekstart", step: int = 7) -> DataFrame:

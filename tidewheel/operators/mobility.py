@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import distinct_over_window, rolling
 from tidewheel.functions.geo import haversine_m, near_pairs, with_cells
+from tidewheel.functions.nested_grid import nearest_within, sums_within
 
 
 def stay_months(stays: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,9 +54,14 @@ def join_area_tables(homes: DataFrame, areas: list[DataFrame], districts: DataFr
 
 def poi_near(homes: DataFrame, pois: DataFrame, categories: list[str], keys: list[str]) -> DataFrame:
     """G9. Per key: distance to the nearest POI within 2 km and number within 1 km, one column pair per category."""
-    near = near_pairs(homes, pois, ("lat", "lon"), ("poi_lat", "poi_lon"), 2000)
-    per = near.groupBy(*keys, "category").agg(F.min("distance").alias("min"), F.count_if(F.col("distance") <= 1000).alias("n1km"))
-    return per.groupBy(*keys).pivot("category", categories).agg(F.first("min").alias("min_distance"), F.first("n1km").alias("n_1km"))
+    place, point = ("lat", "lon"), ("poi_lat", "poi_lon")
+    named = homes.select(F.struct(*keys).alias("_place"), *place).distinct()
+    near = nearest_within(named, "_place", place, pois.filter(F.col("category").isin(categories)), point, 2000, ["category"], [])
+    counts = sums_within(named, "_place", place, pois, point, (1000, 2000), {f"n{i}": F.when(F.col("category") == c, 1) for i, c in enumerate(categories)})
+    wide = near.groupBy("_place").pivot("category", categories).agg(F.min("distance"))
+    out = counts.join(wide, "_place", "left")
+    columns = [x for i, c in enumerate(categories) for x in (F.col(c).alias(f"{c}_min_distance"), F.when(F.col(c).isNotNull(), F.col(f"n{i}_1000m")).alias(f"{c}_n_1km"))]
+    return out.select("_place.*", *columns)
 
 
 def poi_visits(stays: DataFrame, pois: DataFrame, months: tuple[int, ...] = (1, 3, 6)) -> DataFrame:

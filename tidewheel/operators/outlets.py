@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.functions.geo import near_pairs, with_cells
+from tidewheel.functions.geo import with_cells
+from tidewheel.functions.nested_grid import nearest_within, sums_within
 from tidewheel.functions.relational import mode_with_count
 
 RADII = (200, 500, 1000, 2500, 5000)
+PLACE, POINT = ("lat", "lon"), ("poi_lat", "poi_lon")
 
 
 def clean_outlets(daily: DataFrame) -> DataFrame:
@@ -44,8 +46,7 @@ def recharges_by_radius(outlets: DataFrame, cells: DataFrame, recharges: DataFra
     """O5. Recharges of the cells near an outlet, by radius."""
     per = recharges.groupBy("cell").agg(F.sum("amount").alias("amount"))
     at = cell_coordinates(cells).join(per, "cell").withColumnsRenamed({"lat": "poi_lat", "lon": "poi_lon"})
-    near = near_pairs(outlets.select("outlet_id", "lat", "lon"), at, ("lat", "lon"), ("poi_lat", "poi_lon"), max(RADII))
-    return near.groupBy("outlet_id").agg(*(F.coalesce(F.sum(F.when(F.col("distance") <= r, F.col("amount"))), F.lit(0)).alias(f"amount_{r}m") for r in RADII))
+    return sums_within(outlets, "outlet_id", PLACE, at, POINT, RADII, {"amount": F.col("amount")})
 
 
 def exclude_outlets(outlets: DataFrame, lists: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -106,32 +107,33 @@ def daily_master(tables: list[DataFrame], last: str, zero: list[str]) -> DataFra
     return grid.join(out, ["outlet_id", "event_date"], "left").fillna(0, zero)
 
 
-def near_outlets(outlets: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs within the largest radius. points: poi_lat, poi_lon and more."""
-    return near_pairs(outlets.select("outlet_id", "lat", "lon"), points, ("lat", "lon"), ("poi_lat", "poi_lon"), max(RADII))
-
-
 def population_by_radius(outlets: DataFrame, points: DataFrame) -> DataFrame:
     """O12."""
-    return near_outlets(outlets, points).groupBy("outlet_id").agg(*(F.coalesce(F.sum(F.when(F.col("distance") <= r, F.col("population"))), F.lit(0)).alias(f"population_{r}m") for r in RADII))
+    return sums_within(outlets, "outlet_id", PLACE, points, POINT, RADII, {"population": F.col("population")})
 
 
 def nearest_by_category(outlets: DataFrame, pois: DataFrame, categories: list[str]) -> DataFrame:
     """O13. One distance column per category."""
-    return near_outlets(outlets, pois).groupBy("outlet_id").pivot("category", categories).agg(F.min("distance"))
+    wanted = pois.filter(F.col("category").isin(categories))
+    near = nearest_within(outlets, "outlet_id", PLACE, wanted, POINT, max(RADII), ["category"], [])
+    some = sums_within(outlets, "outlet_id", PLACE, pois, POINT, (max(RADII),), {"any": F.lit(1)}).select("outlet_id")
+    return some.join(near.groupBy("outlet_id").pivot("category", categories).agg(F.min("distance")), "outlet_id", "left")
 
 
 def radius_counts(outlets: DataFrame, pois: DataFrame, categories: list[str], radii: tuple[int, ...] = RADII) -> DataFrame:
     """O14. Number of POIs of each category within each radius; 0 where there is none."""
-    near = near_outlets(outlets, pois)
-    return near.groupBy("outlet_id").agg(*(F.count_if((F.col("category") == c) & (F.col("distance") <= r)).alias(f"{c.lower()}_{r}m") for c in categories for r in radii))
+    sums = {c.lower(): F.when(F.col("category") == c, 1) for c in categories}
+    found = sums_within(outlets, "outlet_id", PLACE, pois, POINT, tuple(sorted({*radii, max(RADII)})), sums)
+    return found.select("outlet_id", *(f"{c.lower()}_{r}m" for c in categories for r in radii))
 
 
 def outlets_near_outlets(outlets: DataFrame) -> DataFrame:
-    """O15. Other outlets within each radius, and the nearest."""
+    """O15. Other outlets within each radius, and the nearest. One row an outlet."""
     other = outlets.select(F.col("outlet_id").alias("other_id"), F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))
-    near = near_outlets(outlets, other).filter("other_id <> outlet_id")
-    return near.groupBy("outlet_id").agg(*(F.countDistinct(F.when(F.col("distance") <= r, F.col("other_id"))).alias(f"outlets_{r}m") for r in RADII), F.min("distance").alias("nearest_m"))
+    counts = sums_within(outlets, "outlet_id", PLACE, other, POINT, RADII, {"outlets": F.lit(1)})
+    others = counts.select("outlet_id", *((F.col(f"outlets_{r}m") - 1).alias(f"outlets_{r}m") for r in RADII))
+    near = nearest_within(outlets, "outlet_id", PLACE, other, POINT, max(RADII), [], [], other="other_id")
+    return others.join(near.withColumnRenamed("distance", "nearest_m"), "outlet_id")
 
 
 def outlet_surroundings(outlets: DataFrame, pois: DataFrame, categories: list[str]) -> DataFrame:
@@ -144,8 +146,7 @@ def outlet_surroundings(outlets: DataFrame, pois: DataFrame, categories: list[st
 
 def pick_nearest(outlets: DataFrame, pois: DataFrame, attributes: list[str]) -> DataFrame:
     """O17. Attributes and distance of the nearest POI (ties to the smaller id)."""
-    best = F.min(F.struct("distance", "poi_id", *attributes)).alias("b")
-    return near_outlets(outlets, pois).groupBy("outlet_id").agg(best).select("outlet_id", "b.*")
+    return nearest_within(outlets, "outlet_id", PLACE, pois, POINT, max(RADII), [], ["poi_id", *attributes])
 
 
 def map_to_outlets(outlets: DataFrame, dealers: DataFrame, key: str) -> DataFrame:

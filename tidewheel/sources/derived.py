@@ -65,8 +65,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(df: DataFrame, key: str) -> DataFrame:
-    lat = -6 + F.pmod(F.col(key) * 37, F.lit(1000)) / 5000
-    lon = 106 + F.pmod(F.col(key) * 91, F.lit(1000)) / 5000
+    """A third of the rows within some two kilometres, the others spread over one degree."""
+    width = F.when(F.pmod(key, F.lit(3)) == 0, 50_000).otherwise(1_000)
+    lat = -6 + F.pmod(F.col(key) * 37, F.lit(1000)) / width
+    lon = 106 + F.pmod(F.col(key) * 91, F.lit(1000)) / width
     return df.withColumns({"lat": lat.cast("double"), "lon": lon.cast("double")})
 
 
@@ -105,10 +107,12 @@ SQL = {
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)""",
     "outlets": """outlets AS (
   SELECT s_suppkey AS outlet_id, s_name AS name, s_nationkey AS district, s_acctbal AS balance,
-         -6 + ((s_suppkey * 37) % 1000) / 5000.0::DOUBLE AS lat, 106 + ((s_suppkey * 91) % 1000) / 5000.0::DOUBLE AS lon FROM supplier)""",
+         -6 + ((s_suppkey * 37) % 1000) / (CASE WHEN s_suppkey % 3 = 0 THEN 50000 ELSE 1000 END)::DOUBLE AS lat,
+         106 + ((s_suppkey * 91) % 1000) / (CASE WHEN s_suppkey % 3 = 0 THEN 50000 ELSE 1000 END)::DOUBLE AS lon FROM supplier)""",
     "places": """places AS (
   SELECT p_partkey AS poi_id, p_type AS category, CAST(p_size AS BIGINT) AS weight,
-         -6 + ((p_partkey * 37) % 1000) / 5000.0::DOUBLE AS poi_lat, 106 + ((p_partkey * 91) % 1000) / 5000.0::DOUBLE AS poi_lon FROM part)""",
+         -6 + ((p_partkey * 37) % 1000) / (CASE WHEN p_partkey % 3 = 0 THEN 50000 ELSE 1000 END)::DOUBLE AS poi_lat,
+         106 + ((p_partkey * 91) % 1000) / (CASE WHEN p_partkey % 3 = 0 THEN 50000 ELSE 1000 END)::DOUBLE AS poi_lon FROM part)""",
     "profiles": """profiles AS (
   SELECT CAST(c_custkey AS VARCHAR) AS msisdn, c_mktsegment AS segment, n_name AS area, n_regionkey AS region,
          CAST(round(c_acctbal * 100) AS BIGINT) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
