@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions.relational import mode_with_count
 from tidewheel.functions.expr import DistinctOver, FeatureSet, avg_over, division_of_sums, max_over, median_over, min_over, period_features, stddev_over, sum_over
 from tidewheel.functions.frames import distinct_over_window, dominant_category, rolling, rolling_fixed, rows_frame, weeks_since_last_activity
-from tidewheel.functions.timekeys import period_days, sla_month
+from tidewheel.functions.timekeys import next_week_start, period_days, sla_month
 
 KEY = ["msisdn", "weekstart"]
 PERIODS = ("1w", "2w", "3w", "1m", "2m", "3m")
@@ -392,6 +392,34 @@ def first_steps(weekly: DataFrame, recharges: DataFrame) -> DataFrame:
     return joined.select("msisdn", "offered", F.datediff("accepted", "offered").alias("days_to_accept"), F.datediff("refilled", "offered").alias("days_to_recharge"))
 
 
+def recharge_gaps(weekly: DataFrame, recharges: DataFrame, periods: tuple[str, ...] = PERIODS) -> DataFrame:
+    """F36. By id and week: mean days, over periods, from a week's first offer to the first recharge on or after it, of weeks in
+    which no offer of theirs was accepted before that recharge. weekly: A20; recharges: msisdn, event_date.
+
+    What comes first after an offer is found in ordered passes over offers and events together, without a join by date.
+    """
+    offers = weekly.select(*KEY, F.explode("offers").alias("o")).select(*KEY, F.col("o.campaign").alias("campaign"), F.col("o.event_date").alias("at"))
+    ahead = lambda *keys: Window.partitionBy(*keys).orderBy(F.unix_date("at")).rangeBetween(0, Window.unboundedFollowing)
+    none = F.lit(None).cast("date")
+    taken = weekly.select("msisdn", F.lit(None).cast("date").alias("weekstart"), F.explode("taken").alias("t")).select("msisdn", "weekstart", F.col("t.campaign").alias("campaign"), F.col("t.event_date").alias("at"), F.col("t.event_date").alias("accepted"))
+    both = offers.withColumn("accepted", none).unionByName(taken)
+    accepted = both.withColumn("accepted", F.min("accepted").over(ahead("msisdn", "campaign"))).filter("weekstart is not null")
+    first = accepted.groupBy(*KEY).agg(F.min("at").alias("at"), F.min("accepted").alias("accepted"))
+    refills = recharges.select("msisdn", none.alias("weekstart"), F.col("event_date").alias("at"), none.alias("accepted"), F.col("event_date").alias("refilled"))
+    every = first.withColumn("refilled", none).unionByName(refills)
+    met = every.withColumn("refilled", F.min("refilled").over(ahead("msisdn"))).filter("weekstart is not null")
+    gap = F.when(F.col("accepted").isNull() | (F.col("accepted") > F.col("refilled")), F.datediff("refilled", "at"))
+    rows = weekly.select(*KEY).join(met.select(*KEY, gap.alias("gap")), KEY, "left")
+    return period_features(rows, FeatureSet().add("fea_loan_recharge_gap_{period}", avg_over("gap"), *periods), KEY)
+
+
+def repayment_means(weeks: DataFrame, repaid: DataFrame, periods: tuple[str, ...] = ("1m", "2m", "3m")) -> DataFrame:
+    """F37. By id and week: mean days to repay over periods. weeks: msisdn, weekstart; repaid: F37's repayments."""
+    per = repaid.groupBy("msisdn", next_week_start("event_date").alias("weekstart")).agg(F.sum("days_to_repay").alias("days"), F.count("days_to_repay").alias("n"))
+    rows = weeks.select(*KEY).join(per, KEY, "left")
+    return period_features(rows, FeatureSet().add("fea_loan_repay_days_{period}", division_of_sums("days", "n"), *periods), KEY)
+
+
 def repayments(taken: DataFrame, repaid: DataFrame) -> DataFrame:
     """F37. Each repayment with its loan: the first after the repayment before, else the latest on or before it.
 

@@ -68,6 +68,18 @@ def outlet_monthly(daily: DataFrame, components: list[str], created: DataFrame,
     return per.withColumn("target_lag_1m", F.first("target").over(before))
 
 
+def outlet_monthly_numbers(daily: DataFrame, numbers: list[str], target: str, lags: tuple[int, ...]) -> DataFrame:
+    """M5. Per outlet and month: sum and mean of each number over active days (target not 0), nulls as 0, and both of months before.
+
+    daily: outlet_id, event_date, the numbers and the target. A month without rows has no value to lag.
+    """
+    rows = daily.withColumn("month", F.trunc("event_date", "month")).fillna(0, numbers).filter(F.coalesce(F.col(target), F.lit(0)) != 0)
+    per = rows.groupBy("outlet_id", "month").agg(F.count("*").alias("active_days"), *(a for c in numbers for a in (F.sum(c).alias(f"{c}_sum"), F.avg(c).alias(f"{c}_mean"))))
+    months = Window.partitionBy("outlet_id").orderBy(F.months_between("month", F.lit("1970-01-01").cast("date")).cast("int"))
+    lagged = {f"{c}_{m}_lag_{k}m": F.first(f"{c}_{m}").over(months.rangeBetween(-k, -k)) for c in numbers for m in ("sum", "mean") for k in lags}
+    return per.withColumns(lagged)
+
+
 def removal_report(ids: DataFrame, steps: dict[str, DataFrame], key: str = "outlet_id") -> DataFrame:
     """M6. key, reason of the ids that each filter loses; ``steps`` are what is left after each."""
     out, before = None, ids.select(key).distinct()

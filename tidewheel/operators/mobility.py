@@ -118,6 +118,22 @@ def nearest_cluster(homes: DataFrame, found: DataFrame, metres: float = 5000) ->
     return near.groupBy("msisdn").agg(F.min("distance").alias("min_distance"), F.avg("distance").alias("avg_distance"))
 
 
+def cluster_distance_by_period(stays: DataFrame, found: DataFrame, periods: dict[str, tuple[str, str]], metres: float = 5000) -> DataFrame:
+    """G16. Per id and period: smallest and mean distance of its places of the period's months to their nearest cluster.
+
+    stays: msisdn, month, lat, lon. A place is compared once, however many ids and months have it. Places without a cluster
+    within the radius do not count.
+    """
+    at = found.filter("is_cluster = 1").select(F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon")).distinct()
+    spot = F.struct("lat", "lon")
+    spots = stays.filter("lat is not null and lon is not null").select(spot.alias("_spot"), "lat", "lon").distinct()
+    near = nearest_within(spots, "_spot", ("lat", "lon"), at, ("poi_lat", "poi_lon"), metres, [], [])
+    rows = stays.withColumn("_spot", spot).join(near, "_spot")
+    inside = {n: F.col("month").between(F.lit(a).cast("date"), F.lit(b).cast("date")) for n, (a, b) in periods.items()}
+    per = rows.groupBy("msisdn").agg(*(f(F.when(c, F.col("distance"))).alias(f"{m}_distance_{n}") for n, c in inside.items() for m, f in (("min", F.min), ("avg", F.avg))))
+    return stays.select("msisdn").distinct().join(per, "msisdn", "left")
+
+
 def case_stats(homes: DataFrame, stats: DataFrame) -> DataFrame:
     """G17. Monthly case statistics at an id's cell."""
     return homes.join(stats, ["cell", "month_mapped_dt"], "left")

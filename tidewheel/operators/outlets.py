@@ -87,6 +87,16 @@ def channel_by_cell_daily(records: DataFrame, channels: list[str], last: str) ->
     return days.join(per, ["cell", "event_date"], "left").fillna(0, channels)
 
 
+def channel_totals_by_outlet(by_cell: DataFrame, channels: list[str], cells: DataFrame, start: str) -> DataFrame:
+    """O9. outlet_id, event_date, total: all channels of all cells of an outlet, each cell from its first day with the outlet or
+    its own first day, whichever is earlier, but not before ``start``. cells: outlet_id, cell, first_date. by_cell: O9 by cell and day."""
+    own = cells.filter("cell is not null").groupBy("outlet_id", "cell").agg(F.min("first_date").alias("_first"))
+    begun = by_cell.groupBy("cell").agg(F.min("event_date").alias("_begun"))
+    spans = own.join(begun, "cell").select("outlet_id", "cell", F.greatest(F.least("_first", "_begun"), F.lit(start).cast("date")).alias("_from"))
+    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in channels[1:]), F.coalesce(F.col(channels[0]), F.lit(0)))
+    return by_cell.withColumn("_total", total).join(spans, "cell").filter("event_date >= _from").groupBy("outlet_id", "event_date").agg(F.sum("_total").alias("total"))
+
+
 def vouchers_daily(records: DataFrame) -> DataFrame:
     """O10. Per outlet and day: vouchers, distinct cells, cities and sellers, and of the union of cells and cities."""
     return records.groupBy("outlet_id", "event_date").agg(

@@ -99,6 +99,14 @@ def domain_scores(scores: DataFrame, domains: dict[str, str], dimensions: dict[s
     return named.groupBy("domain", "dimension").agg(F.avg("score").alias("score"), F.count("*").alias("n"))
 
 
+def layer_scores(scores: DataFrame, layers: dict[str, str], domains: dict[str, str], dimensions: dict[str, str]) -> DataFrame:
+    """Q8. Mean score by layer (from the table's prefix), domain and dimension, of the latest run of each table."""
+    label = lambda column, known: F.coalesce(*(F.when(F.col(column).startswith(k), v) for k, v in known.items()), F.lit("other"))
+    newest = scores.groupBy("table").agg(F.max("run_date").alias("run_date"))
+    named = scores.join(newest, ["table", "run_date"]).withColumns({"layer": label("table", layers), "domain": label("column", domains), "dimension": label("metric", dimensions)})
+    return named.groupBy("layer", "domain", "dimension").agg(F.avg("score").alias("score"), F.count("*").alias("n"))
+
+
 def availability(arrivals: DataFrame, first: str, last: str) -> DataFrame:
     """Q9. Per table: dates missing between two dates, how many, and the share that is there in percent. arrivals: table, event_date."""
     span = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))

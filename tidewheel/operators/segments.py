@@ -327,6 +327,16 @@ def outlet_sample(df: DataFrame, target: str, low: float, high: float, distances
     return kept.fillna({c: q[c] for c in distances if q[c] is not None})
 
 
+def sampled_outlets(df: DataFrame, target: str, low: float, high: float, distances: list[str], farthest: float, share: float, key: str = "outlet_id") -> DataFrame:
+    """D27. key, columns, outcome: equal rows once; ``zero``, ``bottom`` and ``top`` for targets of 0 and beyond the quantiles of all
+    rows, ``left out`` and ``sampled`` by a share of the others, chosen by hash. Missing distances are ``farthest``."""
+    rows = df.dropDuplicates().fillna(dict.fromkeys(distances, farthest))
+    first, last = percentiles_of(rows, target, (low, high))
+    t = F.col(target)
+    outcome = F.when(t == 0, "zero").when(t < first, "bottom").when(t > last, "top").when(hash_unit(key) < share, "sampled").otherwise("left out")
+    return rows.withColumn("outcome", F.when(t.isNotNull(), outcome).otherwise("zero"))
+
+
 def preprocessing(numeric: list[str], categories: list[str]) -> Pipeline:
     """D29. Imputed and robustly scaled numbers, indexed and encoded categories."""
     stages = [Imputer(inputCols=numeric, outputCols=[f"_{c}" for c in numeric]), VectorAssembler(inputCols=[f"_{c}" for c in numeric], outputCol="numbers"), RobustScaler(inputCol="numbers", outputCol="scaled")]

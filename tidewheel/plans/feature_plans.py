@@ -391,6 +391,38 @@ def f36_first_steps(spark, d):
     return X.first_steps(A.loan_tracker_weekly(s), s.filter("step = 'repaid'"))
 
 
+@query(LOAN_STEPS_SQL + """, w AS (SELECT DISTINCT msisdn, weekstart FROM s),
+o AS (SELECT msisdn, weekstart, campaign, event_date AS made FROM s WHERE step = 'offered'),
+oa AS (
+  SELECT o.msisdn, o.weekstart, o.made, min(t.event_date) AS accepted FROM o LEFT JOIN s t
+  ON t.msisdn = o.msisdn AND t.step = 'taken' AND t.campaign = o.campaign AND t.event_date >= o.made GROUP BY o.msisdn, o.weekstart, o.campaign, o.made),
+f AS (SELECT msisdn, weekstart, min(made) AS made, min(accepted) AS accepted FROM oa GROUP BY ALL),
+g AS (
+  SELECT f.msisdn, f.weekstart, f.made, f.accepted, min(t.event_date) AS refilled FROM f LEFT JOIN s t
+  ON t.msisdn = f.msisdn AND t.step = 'repaid' AND t.event_date >= f.made GROUP BY ALL),
+j AS (SELECT msisdn, weekstart, CASE WHEN accepted IS NULL OR accepted > refilled THEN refilled - made END AS gap FROM w LEFT JOIN g USING (msisdn, weekstart))
+""" + f"SELECT {K}, " + ", ".join(("gap::DOUBLE" if n == 7 else f"avg(gap) OVER {over(n)}") + f" AS fea_loan_recharge_gap_{p}" for p, n in ALL) + " FROM j")
+def f36_recharge_gaps(spark, d):
+    s = loan_steps(spark, d)
+    out = X.recharge_gaps(A.loan_tracker_weekly(s), s.filter("step = 'repaid'"))
+    return out.withColumn("fea_loan_recharge_gap_01w", F.col("fea_loan_recharge_gap_01w").cast("double"))
+
+
+@query(ctes("revenue") + """, e AS (SELECT msisdn, event_date, weekstart, trx_id, CASE WHEN status = 'O' THEN 1 ELSE 0 END AS r FROM revenue WHERE status IN ('F', 'O')),
+k AS (SELECT *, coalesce(sum(r) OVER (PARTITION BY msisdn ORDER BY event_date, r, trx_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stretch FROM e),
+f AS (
+  SELECT *, first_value(CASE WHEN r = 0 THEN event_date END IGNORE NULLS) OVER (PARTITION BY msisdn, stretch ORDER BY event_date, r, trx_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a,
+         last_value(CASE WHEN r = 0 THEN event_date END IGNORE NULLS) OVER (PARTITION BY msisdn ORDER BY event_date, r, trx_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b FROM k),
+p AS (SELECT msisdn, weekstart, sum(event_date - coalesce(a, b)) AS days, count(event_date - coalesce(a, b)) AS n FROM f WHERE r = 1 GROUP BY ALL),
+w AS (SELECT DISTINCT msisdn, weekstart FROM revenue),
+j AS (SELECT * FROM w LEFT JOIN p USING (msisdn, weekstart))
+""" + f"SELECT {K}, " + ", ".join(f"(sum(days) OVER {over(n)})::DOUBLE / nullif(sum(n) OVER {over(n)}, 0) AS fea_loan_repay_days_{p}" for p, n in ALL if n in (28, 56, 91)) + " FROM j")
+def f37_repayment_means(spark, d):
+    r = revenue(spark, d)
+    repaid = X.repayments(r.filter("status = 'F'"), r.filter("status = 'O'"))
+    return X.repayment_means(r.select("msisdn", "weekstart").distinct(), repaid)
+
+
 @query(ctes("revenue") + """, e AS (SELECT msisdn, event_date, trx_id, CASE WHEN status = 'O' THEN 1 ELSE 0 END AS r FROM revenue WHERE status IN ('F', 'O')),
 k AS (SELECT *, coalesce(sum(r) OVER (PARTITION BY msisdn ORDER BY event_date, r, trx_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stretch FROM e),
 f AS (SELECT *, first_value(CASE WHEN r = 0 THEN event_date END IGNORE NULLS) OVER (PARTITION BY msisdn, stretch ORDER BY event_date, r, trx_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a, last_value(CASE WHEN r = 0 THEN event_date END IGNORE NULLS) OVER (PARTITION BY msisdn ORDER BY event_date, r, trx_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b FROM k)

@@ -244,6 +244,24 @@ def g16_nearest_cluster(spark, d):
     return G.nearest_cluster(homes, found).select("msisdn", F.round("min_distance", 3).alias("min_distance"), F.round("avg_distance", 3).alias("avg_distance"))
 
 
+G16_PERIODS = {"early": ("1992-01-01", "1994-12-01"), "late": ("1995-01-01", "1998-12-01")}
+
+
+@query(ctes("outlets", "places", "products") + f""", st AS (
+  SELECT DISTINCT msisdn, CAST(date_trunc('month', event_date) AS DATE) AS month, lat, lon FROM products JOIN outlets USING (outlet_id)),
+n AS (
+  SELECT o.lat, o.lon, min({haversine_sql('o.lat', 'o.lon', 'p.poi_lat', 'p.poi_lon')}) AS distance
+  FROM (SELECT DISTINCT lat, lon FROM outlets) o, places p WHERE p.weight >= 45 AND {haversine_sql('o.lat', 'o.lon', 'p.poi_lat', 'p.poi_lon')} <= 5000 GROUP BY ALL)
+SELECT msisdn, """ + ", ".join(f"round({f}(distance) FILTER (month BETWEEN DATE '{a}' AND DATE '{b}'), 3) AS {f}_distance_{n}" for n, (a, b) in G16_PERIODS.items() for f in ("min", "avg")) + """
+FROM st LEFT JOIN n USING (lat, lon) GROUP BY msisdn""")
+def g16_distance_by_period(spark, d):
+    found = places(spark, d).select(F.col("poi_lat").alias("lat"), F.col("poi_lon").alias("lon"), (F.col("weight") >= 45).cast("int").alias("is_cluster"))
+    at = outlets(spark, d).select("outlet_id", "lat", "lon")
+    stays = products(spark, d).select("msisdn", "outlet_id", F.trunc("event_date", "month").alias("month")).distinct().join(at, "outlet_id").drop("outlet_id").distinct()
+    out = G.cluster_distance_by_period(stays, found, G16_PERIODS)
+    return out.select("msisdn", *(F.round(c, 3).alias(c) for c in out.columns if c != "msisdn"))
+
+
 @query(HOME_SQL + ", s AS (SELECT cell, month_mapped_dt, CAST(sum(visits) AS BIGINT) AS cases FROM v GROUP BY ALL HAVING sum(visits) > 1) SELECT msisdn, cell, month_mapped_dt, cases FROM home LEFT JOIN s USING (cell, month_mapped_dt)")
 def g17_case_stats(spark, d):
     s = month_stays(spark, d).groupBy("cell", "month_mapped_dt").agg(F.sum("visits").alias("cases")).filter("cases > 1")
@@ -332,19 +350,38 @@ def o9_channel_by_cell_daily(spark, d):
     return O.channel_by_cell_daily(u, ["view", "click"], "2024-02-05")
 
 
+@query(ctes("usage") + """, r AS (
+  SELECT kind AS channel, event_date, amount, party AS cell, event_id % 11 AS outlet_id FROM usage),
+p AS (SELECT cell, event_date, sum(amount) FILTER (channel IN ('view', 'click', 'purchase')) AS t FROM r GROUP BY ALL),
+b AS (SELECT cell, min(event_date) AS lo FROM p GROUP BY 1),
+g AS (SELECT cell, CAST(x AS DATE) AS event_date FROM b, unnest(generate_series(lo::TIMESTAMP, TIMESTAMP '2024-02-05', INTERVAL 1 DAY)) AS t(x)),
+o AS (SELECT outlet_id, cell, min(event_date) AS f FROM r GROUP BY ALL)
+SELECT outlet_id, g.event_date, CAST(sum(coalesce(t, 0)) AS BIGINT) AS total
+FROM g LEFT JOIN p USING (cell, event_date) JOIN o USING (cell) JOIN b USING (cell)
+WHERE g.event_date >= greatest(least(f, lo), DATE '2024-01-10') GROUP BY ALL""")
+def o9_totals_by_outlet(spark, d):
+    channels = ["view", "click", "purchase"]
+    u = usage(spark, d).select(F.col("kind").alias("channel"), "event_date", "amount", F.lit("s").alias("seller"), F.col("party").alias("cell"), F.pmod("event_id", F.lit(11)).alias("outlet_id"))
+    cells = u.groupBy("outlet_id", "cell").agg(F.min("event_date").alias("first_date"))
+    return O.channel_totals_by_outlet(O.channel_by_cell_daily(u.drop("outlet_id"), channels, "2024-02-05"), channels, cells, "2024-01-10")
+
+
 @query(ctes("products") + " SELECT outlet_id, event_date, CAST(sum(amount) AS BIGINT) AS amount, count(DISTINCT maker) AS cells, count(DISTINCT product) AS cities, count(DISTINCT msisdn) AS sellers, CAST(count(DISTINCT maker) + count(DISTINCT product) AS INTEGER) AS places FROM products GROUP BY ALL")
 def o10_vouchers_daily(spark, d):
     p = products(spark, d)
     return O.vouchers_daily(p.withColumns({"cell": F.col("maker"), "city": F.col("product"), "seller": F.col("msisdn")}))
 
 
-@query(ctes("products") + """, t AS (SELECT outlet_id, event_date, sum(amount) FILTER (product = 'PROMO') AS promo, sum(amount) FILTER (product = 'ECONOMY') AS economy FROM products WHERE product IN ('PROMO', 'ECONOMY') GROUP BY ALL),
+KIND_NAMES = ("economy", "large", "medium", "promo", "small", "standard")
+
+
+@query(ctes("products") + ", t AS (SELECT outlet_id, event_date, " + ", ".join(f"sum(amount) FILTER (product = '{n.upper()}') AS {n}" for n in KIND_NAMES) + """ FROM products GROUP BY ALL),
 g AS (SELECT outlet_id, CAST(x AS DATE) AS event_date FROM (SELECT outlet_id, min(event_date)::TIMESTAMP AS lo FROM t GROUP BY 1), unnest(generate_series(lo, TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS s(x))
-SELECT outlet_id, event_date, CAST(coalesce(promo, 0) AS BIGINT) AS promo, CAST(coalesce(economy, 0) AS BIGINT) AS economy FROM g LEFT JOIN t USING (outlet_id, event_date)""")
+SELECT outlet_id, event_date, """ + ", ".join(f"CAST(coalesce({n}, 0) AS BIGINT) AS {n}" for n in KIND_NAMES) + " FROM g LEFT JOIN t USING (outlet_id, event_date)")
 def o11_daily_master(spark, d):
     p = products(spark, d)
-    tables = [p.filter(F.col("product") == n.upper()).groupBy("outlet_id", "event_date").agg(F.sum("amount").alias(n)) for n in ("promo", "economy")]
-    return O.daily_master(tables, "2001-12-31", ["promo", "economy"])
+    tables = [p.filter(F.col("product") == n.upper()).groupBy("outlet_id", "event_date").agg(F.sum("amount").alias(n)) for n in KIND_NAMES]
+    return O.daily_master(tables, "2001-12-31", list(KIND_NAMES))
 
 
 @query(NEAR_SQL + " SELECT outlet_id, " + ", ".join(f"CAST(coalesce(sum(weight) FILTER (distance <= {r}), 0) AS BIGINT) AS population_{r}m" for r in O.RADII) + " FROM near GROUP BY 1")

@@ -279,6 +279,14 @@ def d27_outlet_sample(spark, d):
     return D.outlet_sample(o, "balance", 0.05, 0.95, ["distance"])
 
 
+@query(ctes("outlets") + f""", r AS (SELECT outlet_id, CASE WHEN outlet_id % 10 = 0 THEN 0 ELSE balance END AS balance, coalesce(CASE WHEN outlet_id % 3 <> 0 THEN lat END, 9.5) AS distance FROM outlets),
+q AS (SELECT quantile_cont(balance, 0.05) AS lo, quantile_cont(balance, 0.95) AS hi FROM r)
+SELECT outlet_id, balance, distance, CASE WHEN balance = 0 THEN 'zero' WHEN balance < lo THEN 'bottom' WHEN balance > hi THEN 'top' WHEN {UNIT.format(k='outlet_id', s=0)} < 0.6 THEN 'sampled' ELSE 'left out' END AS outcome FROM r, q""")
+def d27_sampled_outlets(spark, d):
+    o = outlets(spark, d).select("outlet_id", F.when(F.col("outlet_id") % 10 == 0, 0).otherwise(F.col("balance")).alias("balance"), F.when(F.col("outlet_id") % 3 != 0, F.col("lat")).alias("distance"))
+    return D.sampled_outlets(o.union(o), "balance", 0.05, 0.95, ["distance"], 9.5, 0.6)
+
+
 @query(ctes("profiles") + f" SELECT msisdn, CAST(floor({UNIT.format(k='msisdn', s=0)} * 5) AS INTEGER) AS fold FROM profiles")
 def d28_hash_fold(spark, d):
     return profiles(spark, d).select("msisdn", D.hash_fold("msisdn", 5).alias("fold"))

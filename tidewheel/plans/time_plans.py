@@ -198,11 +198,13 @@ def r2_r3_unions(spark, d):
     return R.union_by_name([s, R.union_all(c, c)], missing=True)
 
 
-@query(ctes("usage") + """ SELECT msisdn, v.n AS n_view, c.n AS n_click, p.n AS n_purchase FROM (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'view' GROUP BY 1) v
-FULL JOIN (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'click' GROUP BY 1) c USING (msisdn) FULL JOIN (SELECT msisdn, count(*) AS n FROM usage WHERE kind = 'purchase' GROUP BY 1) p USING (msisdn)""")
+_EVENTS = ("click", "error", "purchase", "signup", "view")
+
+
+@query(ctes("usage") + " SELECT msisdn, " + ", ".join(f"n_{k}" for k in _EVENTS) + " FROM " + " FULL JOIN ".join(f"(SELECT msisdn, count(*) AS n_{k} FROM usage WHERE kind = '{k}' GROUP BY 1) {k}" + (" USING (msisdn)" if i else "") for i, k in enumerate(_EVENTS)))
 def r4_full_join_all(spark, d):
     u = usage(spark, d)
-    return R.full_join_all([u.filter(F.col("kind") == k).groupBy("msisdn").agg(F.count("*").alias(f"n_{k}")) for k in ("view", "click", "purchase")], ["msisdn"])
+    return R.full_join_all([u.filter(F.col("kind") == k).groupBy("msisdn").agg(F.count("*").alias(f"n_{k}")) for k in _EVENTS], ["msisdn"])
 
 
 @query(WEEKLY_SQL + " SELECT msisdn, weekstart, amt AS fea_amount, trx AS fea_trx FROM weekly")
