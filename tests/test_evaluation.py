@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewheel.functions import quantiles, ranks
-from tidewheel.operators import campaign, evaluation
+from tidewheel.operators import campaign, evaluation, master, quality
 from tidewheel.sources import ledger
 
 
@@ -168,3 +168,36 @@ def test_failed_run_leaves_the_table(spark, tmp_path, monkeypatch):
     for _ in range(2):
         assert ledger.upsert(spark, path, second, ["k", "part"], "part", "two") == 2
     assert state() == [(1, "p", None), (2, "q", 2.0), (3, "q", 3.0)]
+
+
+def test_profiles_merge_over_days(spark):
+    """Days merged are the whole table: exact measures, and about as many different values; nothing is expanded by columns."""
+    r = random.Random(3)
+    rows = [(f"d{r.randrange(9)}", r.choice([None, r.randrange(10**6)]), r.choice(["x", "y ", " ", None])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "day string, a int, b string").repartition(4)
+    whole = {x.column: x for x in quality.table_profile(df.drop("day")).collect()}
+    days = quality.day_profiles(df, "day")
+    merged = {x.column: x for x in quality.merged_profiles(days).collect()}
+    for c in "ab":
+        assert all(getattr(merged[c], m) == getattr(whole[c], m) for m in ("n", "missing", "sum", "max", "min"))
+        assert abs(merged[c].about - whole[c].distinct) <= 0.05 * whole[c].distinct
+    assert merged["b"].about == 3 and math.isclose(merged["a"].mean, whole["a"].mean)
+    some = {x.column: x for x in quality.merged_profiles(days.filter("day in ('d1', 'd2')")).collect()}
+    assert some["a"].n == sum(d in ("d1", "d2") for d, *_ in rows)
+    by = quality.merged_profiles(days, ["day"])
+    assert {(x.day, x.n) for x in by.filter("column = 'a'").collect()} == set(Counter(d for d, *_ in rows).items())
+    assert "Expand" not in quality.table_profile(df)._jdf.queryExecution().toString()
+
+
+def test_bucketed_master_needs_no_exchange(spark):
+    base = spark.range(1000).selectExpr("id as k", "id % 7 as w")
+    features = [base.selectExpr("k", "w", f"k * {n} as fea_{n}").filter(f"k % {n + 2} = 0") for n in range(3)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = master.build_bucketed_master(base, features, ["k", "w"], 4)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, master.build_master(base, features, ["k", "w"]).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions.frames import rows_frame
 from tidewheel.functions.relational import mode_with_count
 from tidewheel.functions.timekeys import prev_week_start
+from tidewheel.sources.io import bucketed
 
 
 def hashed_id(column: str, salt: str) -> Column:
@@ -29,6 +30,11 @@ def build_master(dimension: DataFrame, features: list[DataFrame], keys: list[str
     return out
 
 
+def build_bucketed_master(dimension: DataFrame, features: list[DataFrame], keys: list[str], buckets: int) -> DataFrame:
+    """M2. The same from tables stored in buckets of the keys: many masters over many tables, and no table is shuffled again."""
+    return build_master(bucketed(dimension, keys, buckets), [bucketed(f, keys, buckets) for f in features], keys)
+
+
 def feature_metadata(tables: dict[str, DataFrame]) -> DataFrame:
     """M3. feature, table, has_data: one row for each feature column of each table."""
     out = None

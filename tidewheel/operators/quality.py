@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,16 +130,49 @@ def file_deliveries(spark, path: str, name: str, partition: str = "event_date")
     return t.groupBy("event_date").agg(F.max("delivered").alias("delivered")).withColumn("table", F.lit(name))
 
 
+def _blank(df: DataFrame, c: str) -> Column:
+    return F.col(c).isNull() | (F.trim(c) == "") if c in columns_of_type(df, "string") else F.col(c).isNull()
+
+
+def _number(df: DataFrame, c: str) -> Column:
+    return F.col(c).cast("double") if c in columns_of_type(df, "numeric") else F.lit(None).cast("double")
+
+
 def table_profile(df: DataFrame) -> DataFrame:
-    """Q11. Per column: rows, distinct values, sum, mean, max, min (numeric columns), missing (null or blank) and its percent."""
-    numeric, text = set(columns_of_type(df, "numeric")), set(columns_of_type(df, "string"))
-    as_number = lambda c: F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
-    blank = lambda c: F.col(c).isNull() | (F.trim(c) == "") if c in text else F.col(c).isNull()
+    """Q11. Per column: rows, distinct values, sum, mean, max, min (numeric columns), missing (null or blank) and its percent.
+
+    Distinct values are counted column by column: each count reads its column only, keeps different values before the
+    shuffle, and never sees the rows once for every column. All else is one aggregation.
+    """
     cols = df.columns
-    wide = df.agg(F.count("*").alias("n"), *(a for c in cols for a in (F.countDistinct(c).alias(f"{c}__distinct"), F.sum(as_number(c)).alias(f"{c}__sum"), F.avg(as_number(c)).alias(f"{c}__mean"), F.max(as_number(c)).alias(f"{c}__max"), F.min(as_number(c)).alias(f"{c}__min"), F.count_if(blank(c)).alias(f"{c}__missing"))))
-    names = ("distinct", "sum", "mean", "max", "min", "missing")
+    wide = df.agg(F.count("*").alias("n"), *(a for c in cols for a in (F.sum(_number(df, c)).alias(f"{c}__sum"), F.avg(_number(df, c)).alias(f"{c}__mean"), F.max(_number(df, c)).alias(f"{c}__max"), F.min(_number(df, c)).alias(f"{c}__min"), F.count_if(_blank(df, c)).alias(f"{c}__missing"))))
+    names = ("sum", "mean", "max", "min", "missing")
     rows = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"{c}__{n}").alias(n) for n in names)) for c in cols))
-    return wide.select("n", F.explode(rows).alias("r")).select("n", "r.*").withColumn("missing_percent", F.try_divide(F.col("missing") * 100.0, F.col("n")))
+    distinct = reduce(DataFrame.union, (df.agg(F.countDistinct(c).alias("distinct")).select(F.lit(c).alias("column"), "distinct") for c in cols))
+    out = wide.select("n", F.explode(rows).alias("r")).select("n", "r.*").join(distinct, "column")  # a row for each column
+    return out.select("n", "column", "distinct", *names, F.try_divide(F.col("missing") * 100.0, F.col("n")).alias("missing_percent"))
+
+
+SKETCH_BITS = 12
+
+
+def day_profiles(df: DataFrame, day: str) -> DataFrame:
+    """Q11, Q4. day, column, n, missing, sum, max, min and a sketch of the different values: a row for each day and column.
+
+    One aggregation for all columns. Rows of this table are kept and merged over any days, so no day is read twice.
+    """
+    cols = [c for c in df.columns if c != day]
+    measures = {"missing": lambda c: F.count_if(_blank(df, c)), "sum": lambda c: F.sum(_number(df, c)), "max": lambda c: F.max(_number(df, c)), "min": lambda c: F.min(_number(df, c)), "sketch": lambda c: F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS)}
+    wide = df.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("n"), *(m(c).alias(f"{c}__{k}") for c in cols for k, m in measures.items()))
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"{c}__{k}").alias(k) for k in measures)) for c in cols))
+    return wide.select("day", "n", F.explode(rows).alias("r")).select("day", "n", "r.*")
+
+
+def merged_profiles(days: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Q11, Q4. by, column, n, missing, sum, mean, max, min and about how many different values: exact but for the last, which
+    is within some two percent, and exact for few values."""
+    out = days.groupBy(*by, "column").agg(F.sum("n").alias("n"), F.sum("missing").alias("missing"), F.sum("sum").alias("sum"), F.max("max").alias("max"), F.min("min").alias("min"), F.hll_union_agg("sketch").alias("_s"), F.sum(F.when(F.col("sum").isNotNull(), F.col("n") - F.col("missing"))).alias("_numbers"))
+    return out.select(*by, "column", "n", "missing", "sum", F.try_divide("sum", F.col("_numbers").cast("double")).alias("mean"), "max", "min", F.hll_sketch_estimate("_s").alias("about"))
 
 
 def special_shares(df: DataFrame, columns: list[str], by: str = "weekstart") -> DataFrame:

@@ -36,6 +36,14 @@ def m2_build_master(spark, d):
     return master(spark, d)
 
 
+@query(MASTER_SQL + " SELECT msisdn, weekstart, fea_trx, fea_loan FROM weekly LEFT JOIN trx USING (msisdn, weekstart) LEFT JOIN loan USING (msisdn, weekstart)")
+def m2_bucketed_master(spark, d):
+    w = weekly(spark, d)
+    trx = w.filter("trx > 1").select("msisdn", "weekstart", F.col("trx").alias("fea_trx"))
+    loan = w.filter("loan > 0").select("msisdn", "weekstart", F.col("loan").alias("fea_loan"))
+    return M.build_bucketed_master(w.select("msisdn", "weekstart"), [trx, loan], ["msisdn", "weekstart"], 8)
+
+
 @query("SELECT * FROM (VALUES ('fea_trx', 'a', true), ('fea_loan', 'a', true), ('fea_x', 'b', (SELECT count(*) FROM orders WHERE o_totalprice < 0) > 0)) t(feature, \"table\", has_data)")
 def m3_feature_metadata(spark, d):
     empty = revenue(spark, d).filter("amount < 0").withColumn("fea_x", F.lit(1))
@@ -259,6 +267,20 @@ def q11_table_profile(spark, d):
     return Q.table_profile(spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_mktsegment"))
 
 
+@query(ctes("revenue") + "".join(f""", p{i} AS (
+  SELECT '{c}' AS "column", count(*) AS n, count(*) FILTER ({c} IS NULL) AS missing, {f"sum({c})::DOUBLE" if c == "amount" else "NULL::DOUBLE"} AS sum, {f"avg({c})" if c == "amount" else "NULL::DOUBLE"} AS mean,
+         {f"max({c})::DOUBLE" if c == "amount" else "NULL::DOUBLE"} AS max, {f"min({c})::DOUBLE" if c == "amount" else "NULL::DOUBLE"} AS min, CASE WHEN count(DISTINCT {c}) <= 50 THEN count(DISTINCT {c}) END AS few FROM revenue)"""
+    for i, c in enumerate(("amount", "channel", "status"))) + " SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2")
+def q11_merged_profile(spark, d):
+    """Profiles of days, stored in two runs and merged over all days."""
+    path = S.scratch(spark)
+    r = revenue(spark, d).select(F.date_format("event_date", "yyyy-MM").alias("day"), "amount", "channel", "status")
+    for run, days in (("first", "day < '1995-01'"), ("second", "day >= '1995-01'")):
+        ledger.upsert(spark, path, Q.day_profiles(r.filter(days), "day"), ["day", "column"], "day", run)
+    out = Q.merged_profiles(ledger.read(spark, path))
+    return out.withColumn("few", F.when(F.col("about") <= 50, F.col("about"))).drop("about")
+
+
 SHARES_SQL = GAPS_SQL + ", shares AS (" + " UNION ALL ".join(f"SELECT weekstart, '{c}' AS \"column\", avg(({c} IS NULL)::INTEGER) AS null_share, avg(coalesce({c} = 0, false)::INTEGER) AS zero_share, avg(coalesce({c} = -1, false)::INTEGER) AS minus_one_share FROM g GROUP BY 1" for c in ("loan", "trx")) + ")"
 
 

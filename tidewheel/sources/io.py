@@ -39,6 +39,15 @@ def broadcast_if_counted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """df as a table at rest in buckets of its keys, sorted by them: joins with tables of the same keys and buckets read it as it
+    lies, without an exchange. Each bucket is one file."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", scratch(spark))
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
 def dated_window_read(spark: SparkSession, path: str, partition_column: str, period: str, date_format: str, end: dt.date) -> DataFrame:
     """S1. Rows of the partitions from ``period`` before ``end`` to ``end``; the filter prunes partitions."""
     if not period or not date_format:
