@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel.operators import segments as D
+from tidewheel.operators import similar
 from tidewheel.operators.quality import file_deliveries
 from tidewheel.plans.registry import query
 from tidewheel.plans.time_plans import UNIT, WEEKLY_SQL, weekly
@@ -325,8 +326,20 @@ def d30_evaluate(spark, d):
 @query()
 def d31_d33_similar_performance(spark, d):
     rows = leaves(spark, d)
-    counts = D.below_top(D.similar_counts(rows, rows, "msisdn", "amount"), "amount")
-    return D.dashboard_points(D.performance_of_classes(counts, rows, "msisdn", "amount"), "msisdn")
+    return D.dashboard_points(similar.performance(rows, rows, "msisdn", "amount"), "msisdn")
+
+
+@query(ctes("profiles") + """, r AS (SELECT msisdn, balance AS v, balance % 7 AS a, balance % 11 AS b FROM profiles),
+p AS (SELECT x.msisdn, x.v AS own, y.v FROM r x JOIN r y ON x.a = y.a OR x.b = y.b),
+q AS (SELECT msisdn, quantile_cont(v, 0.95) AS edge FROM p GROUP BY 1),
+k AS (SELECT msisdn, any_value(own) AS own, list_sort(list(v)) AS l FROM p JOIN q USING (msisdn) WHERE v <= edge GROUP BY msisdn),
+s AS (SELECT *, len(l) AS n FROM k)
+SELECT msisdn, 100.0 * len(list_filter(l, lambda x: x < own)) / (n + 1)::DOUBLE AS percentile, """ + ", ".join(
+    f"CASE WHEN l[greatest(1, CAST(ceil((n + 1) * {s}) AS BIGINT))] <= own THEN l[greatest(1, CAST(ceil((n + 1) * {s}) AS BIGINT))] ELSE greatest(own, l[greatest(1, CAST(ceil((n + 1) * {s}) AS BIGINT)) - 1]) END AS {p}" for p, s in (("p90", "0.9::DOUBLE"), ("p95", "0.95::DOUBLE"), ("p100", "1.0::DOUBLE"))) + " FROM s")
+def d32_performance_of_fixed_leaves(spark, d):
+    b = F.col("balance")
+    rows = profiles(spark, d).select("msisdn", F.array((b % 7).cast("int"), (b % 11).cast("int")).alias("leaves"), b.alias("v"))
+    return similar.performance(rows, rows, "msisdn", "v")
 
 
 @query()
