@@ -136,6 +136,22 @@ def dominant_category(df: DataFrame, category: str, value: str, count: str, days
     return summed.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select(key, "weekstart", F.col(category).alias("dominant"))
 
 
+def dominant_categories(df: DataFrame, category: str, value: str, count: str, wanted: dict[str, tuple[int, bool]], key: str = "msisdn") -> DataFrame:
+    """key, weekstart and, for each name -> (days, by count), the category with most value (or count) over the rolling days; ties
+    by the other one, then by name; null where the frame holds nothing.
+
+    All frames are sums of one pass over the grid of weeks and categories, and each best one is a minimum, not a ranking.
+    """
+    weeks, categories = df.select(key, "weekstart").distinct(), df.select(key, category).distinct()
+    totals = df.groupBy(key, "weekstart", category).agg(F.sum(value).alias("_v"), F.sum(count).alias("_n"))
+    grid = weeks.join(categories, key).join(totals, [key, "weekstart", category], "left")
+    frames = sorted({days for days, _ in wanted.values()})
+    summed = grid.select(key, "weekstart", category, *(F.sum(c).over(rolling(d, key, extra=[category])).alias(f"{c}{d}") for d in frames for c in ("_v", "_n")))
+    first = lambda d, by_count: (f"_n{d}", f"_v{d}") if by_count else (f"_v{d}", f"_n{d}")
+    best = lambda d, by_count: F.min(F.when(F.col(f"_n{d}").isNotNull(), F.struct(*((-F.col(c)).alias(c) for c in first(d, by_count)), F.col(category).alias("c"))))["c"]
+    return summed.groupBy(key, "weekstart").agg(*(best(*w).alias(name) for name, w in wanted.items()))
+
+
 def zero_runs(df: DataFrame, key: str, order: str, target: str) -> DataFrame:
     """df with ``run``: the length so far of the run of zero (or null) targets that a row is in; 0 elsewhere."""
     zero = F.coalesce(F.col(target), F.lit(0)) == 0

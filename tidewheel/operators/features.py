@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.relational import mode_with_count
 from tidewheel.functions.expr import DistinctOver, FeatureSet, avg_over, division_of_sums, max_over, median_over, min_over, period_features, stddev_over, sum_over
-from tidewheel.functions.frames import distinct_over_window, dominant_category, rolling, rolling_fixed, rows_frame, weeks_since_last_activity
+from tidewheel.functions.frames import distinct_over_window, dominant_categories, rolling, rolling_fixed, rows_frame, weeks_since_last_activity
 from tidewheel.functions.timekeys import next_week_start, period_days, sla_month
 
 KEY = ["msisdn", "weekstart"]
@@ -96,10 +96,8 @@ def recharge_by_channel(records: DataFrame, channels: list[str], periods: tuple[
     one = records.withColumn("one", F.lit(1).cast("long"))
     per = one.groupBy(*KEY).agg(*(c for i, k in enumerate(channels) for c in (F.coalesce(F.sum(F.when(F.col("channel") == k, F.col("amount"))), F.lit(0)).alias(f"amt_{i}"), F.count_if(F.col("channel") == k).alias(f"trx_{i}"))))
     out = per.select(*KEY, *(F.sum(f"{m}_{i}").over(rolling(period_days(p))).alias(f"fea_rech_{m}_{i}_0{p}") for p in periods for i in range(len(channels)) for m in ("amt", "trx")))
-    for p in periods:
-        for name, (a, b) in (("value", ("amount", "one")), ("count", ("one", "amount"))):
-            out = out.join(dominant_category(one, "channel", a, b, period_days(p)).withColumnRenamed("dominant", f"fea_rech_dominant_by_{name}_0{p}"), KEY, "left")
-    return out
+    wanted = {f"fea_rech_dominant_by_{name}_0{p}": (period_days(p), name == "count") for p in periods for name in ("value", "count")}
+    return out.join(dominant_categories(one, "channel", "amount", "one", wanted), KEY, "left")
 
 
 def app_revenue(records: DataFrame, periods: tuple[str, ...] = PERIODS) -> DataFrame:
@@ -107,10 +105,8 @@ def app_revenue(records: DataFrame, periods: tuple[str, ...] = PERIODS) -> DataF
     one = records.withColumn("one", F.lit(1).cast("long"))
     fs = FeatureSet().add("fea_app_rev_sum_{period}", sum_over("revenue"), *periods).add("fea_app_rev_trx_{period}", sum_over("trx"), *periods)
     out = period_features(records.groupBy(*KEY).agg(F.sum("amount").alias("revenue"), F.count("*").alias("trx")), fs, KEY)
-    for p in periods:
-        best = dominant_category(one, "method", "amount", "one", period_days(p))
-        out = out.join(best.withColumnRenamed("dominant", f"fea_app_rev_dominant_method_0{p}"), KEY, "left")
-    return out
+    wanted = {f"fea_app_rev_dominant_method_0{p}": (period_days(p), False) for p in periods}
+    return out.join(dominant_categories(one, "method", "amount", "one", wanted), KEY, "left")
 
 
 def revenue(weekly: DataFrame, services: list[str]) -> DataFrame:
