@@ -86,6 +86,53 @@ def test_toxicity_weights_follow_the_ratios():
     assert not weight[np.setdiff1d(toxicity.buckets("xonlyoncex"), toxicity.buckets("vilescum friendly " + " ".join(WORDS)))].any()
 
 
+def brute_grams(text):
+    """The buckets of a text's n-grams, character by character in whole numbers."""
+    plain, mix, out = f" {' '.join(text.lower().split())} ", 0x9E3779B97F4A7C15, set()
+    for n in (3, 4, 5, 6):
+        for k in range(len(plain) - n + 1):
+            h = 0
+            for c in plain[k : k + n]:
+                h = (h * mix + ord(c)) % (1 << 64)
+            out.add(((h ^ (h >> 29)) * (mix + 2 * n) % (1 << 64)) >> 44)
+    return out
+
+
+def test_toxicity_fit_against_brute_force():
+    """Document frequencies, log-count ratios, which n-grams count, and the logistic steps, over dense arrays of doubles."""
+    r = random.Random(9)
+    texts = [" ".join(r.choice(WORDS) for _ in range(r.randrange(3, 25))) + (" vilescum" if k % 3 == 0 and k % 4 else "") + (" Rotten é" if k % 9 == 0 else "") + (" kindly" if k % 3 == 1 else "") for k in range(150)]
+    toxic = np.array([float(k % 3 == 0) for k in range(150)])
+    sets = [brute_grams(t) for t in texts]
+    assert all(s == set(toxicity.buckets(t).tolist()) for s, t in zip(sets, texts))
+    weight, bias = toxicity.fit(toxic, [toxicity.packed(np.array(sorted(s))) for s in sets])
+
+    n, n1 = len(texts), toxic.sum()
+    grams = sorted(set().union(*sets))
+    has = np.array([[g in s for g in grams] for s in sets], float)
+    pos, neg = has[toxic > 0].sum(0), has[toxic == 0].sum(0)
+    ratio = np.log((pos + 1) / (n1 + 2)) - np.log((neg + 1) / (n - n1 + 2))
+    df, share = pos + neg, n1 / n
+    z = (pos - df * share) / np.sqrt(np.maximum(df * share * (1 - share) * (1 - df / n), 1e-3))
+    used = (df >= 3) & (np.abs(z) >= 4.0)
+    assert used.any() and set(np.flatnonzero(weight)) <= {g for g, u in zip(grams, used) if u}
+    x = has[:, used] * ratio[used]
+    scale = np.mean(np.sqrt(np.maximum(1.0, (x**2).sum(1))))
+    x, w, square, b, b_square = x / scale, np.zeros(used.sum()), np.full(used.sum(), 1e-6), math.log(4.0 * n1 / (n - n1)), 1e-6
+    draw = np.random.default_rng(1)
+    for _ in range(max(15, 600 // (n // 64))):
+        for part in np.array_split(draw.permutation(n), n // 64):
+            err = (1 / (1 + np.exp(-(x[part] @ w + b))) - toxic[part]) * np.where(toxic[part] > 0, 4.0, 1.0)
+            met = has[part][:, used].any(0)
+            grad = np.where(met, x[part].T @ err / len(part) + 1e-4 * w, 0)
+            square += grad**2
+            w -= 0.1 * grad / np.sqrt(square)
+            b_square += err.mean() ** 2
+            b -= 0.1 * err.mean() / np.sqrt(b_square)
+    got = weight[np.array(grams)[used]]
+    assert np.allclose(got, w * ratio[used] / scale, rtol=5e-3, atol=2e-3) and abs(bias - b) < 5e-3
+
+
 def test_op1_query(spark):
     out = queries.op1_toxicity(spark, SF)
     rows = out.collect()
