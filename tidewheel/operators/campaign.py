@@ -56,12 +56,12 @@ def event_rows(df: DataFrame, push_date: str, constants: dict[str, str]) -> Data
 
 
 def pace(df: DataFrame, limits: DataFrame) -> DataFrame:
-    """C7. rank_by_channel: place in the channel by the five criteria, the greatest first, ties to the smaller id, then campaign;
+    """C7. rank_by_channel: place in the channel by the five criteria (those that df has), the greatest first, ties to the smaller id, then campaign;
     slot = ceil(place / the channel's limit per hour). limits: push_channel, hourly.
 
     Channels are numbered by ranges of the order, so a large channel is many tasks.
     """
-    order = [*(F.col(c).desc() for c in CRITERIA), F.col("msisdn").asc(), F.col("campaign").asc()]
+    order = [*(F.col(c).desc() for c in CRITERIA if c in df.columns), F.col("msisdn").asc(), F.col("campaign").asc()]
     placed = row_numbers(df, ["push_channel"], order, "rank_by_channel").join(broadcast_if_counted(limits), "push_channel")
     return placed.withColumn("slot", F.ceil(F.col("rank_by_channel") / F.col("hourly")).cast("long")).drop("hourly")
 
