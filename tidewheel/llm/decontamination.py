@@ -98,10 +98,13 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = WORDS, num: int = NUM, den
     sketches = written(sketch(items, n, num, den), "item-sketches")
     lengths = [r.length for r in sketches.select("length").distinct().orderBy("length").collect()] or [n]  # n of them at most
     pairs = written(candidates(docs, sketches, lengths), "item-candidates")
-    found = broadcast_if_small(pairs.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "item_id"))
+    found = pairs.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "item_id")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
     hashed = docs.filter("text is not null").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    texts = hashed.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-    doc_sets = texts.withColumn("words", words_of()).select("doc_id", "text_hash", "item_id", shingles("words", lengths).alias("doc_set"))
+    # A document is shingled once, then meets its items.
+    texts = hashed.join(broadcast_if_small(found.select("d", "h").distinct()), same, "left_semi")
+    shingled = texts.withColumn("words", words_of()).select("doc_id", "text_hash", shingles("words", lengths).alias("doc_set"))
+    doc_sets = shingled.join(broadcast_if_small(found), same).select("doc_id", "text_hash", "item_id", "doc_set")
     worded = items.withColumn("words", words_of()).filter(F.size("words") > 0)
     item_sets = worded.select(F.col("item_id").alias("i"), by_length(worded, n, lambda k: shingles("words", k)).alias("item_set"))
     both = doc_sets.join(item_sets, F.col("item_id") == F.col("i")).withColumn("n_shared", F.size(F.array_intersect("item_set", "doc_set")).cast("long")).withColumn("n_item", F.size("item_set").cast("long"))
