@@ -1,4 +1,4 @@
-"""Training-data operators: ten operators on documents, conversations and embeddings.
+"""Training-data operators: thirteen operators on documents, conversations and embeddings.
 
 Nothing outside this subpackage imports it. Queries and their SQL are in ``queries``.
 """

@@ -8,7 +8,7 @@ is gone are dealt to the others.
 The map has as many rows as there are slots, whatever the data, so editing it on the driver is bounded.
 
 The slot comes from a hash of doc_id and text, so rows with a null or repeated doc_id still spread. Rows equal in both
-share a slot. Nulls: a null text has 0 bytes. An empty table gives no rows and an even map.
+share a slot. A doc_id is a whole number, or text of one. Nulls: a null text has 0 bytes. An empty table gives no rows and an even map.
 """
 
 from __future__ import annotations

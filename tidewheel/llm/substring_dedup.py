@@ -18,7 +18,7 @@ with a smaller doc_id. Windows are judged on the input.
 Steps 1 and 2 know words and runs by 64-bit hashes; step 3 compares the words. Words are separated by blanks and the
 control characters 9 to 13; kept words are joined by one space. A null text stays null and has no words. A null doc_id
 is smaller or larger than nothing: its row stays whole. Rows that repeat a doc_id are one document as to order, and
-each its own text. Fewer words than a window stay. An empty table gives no rows.
+each its own text. A doc_id is a whole number, or text of one. Fewer words than a window stay. An empty table gives no rows.
 """
 
 from __future__ import annotations
