@@ -204,6 +204,5 @@ def daily_modes(records: DataFrame, columns: list[str], parts: list[str], amount
 def outlets_by_kind(outlets: DataFrame, kinds: list[str], radii: tuple[int, ...] = RADII) -> DataFrame:
     """O16. outlets: also kind and amount. Outlets of each kind within each radius and the sum of their amounts; an outlet counts itself."""
     other = outlets.select("kind", "amount", F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))
-    inside = lambda k, r: (F.col("kind") == k) & (F.col("distance") <= r)
-    cols = (c for k in kinds for r in radii for c in (F.count_if(inside(k, r)).alias(f"{k}_{r}m"), F.coalesce(F.sum(F.when(inside(k, r), F.col("amount"))), F.lit(0)).alias(f"{k}_amount_{r}m")))
-    return near_outlets(outlets, other).groupBy("outlet_id").agg(*cols)
+    own = {k: F.when(F.col("kind") == k, 1) for k in kinds} | {f"{k}_amount": F.when(F.col("kind") == k, F.col("amount")) for k in kinds}
+    return sums_within(outlets, "outlet_id", PLACE, other, POINT, radii, own)
