@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import distinct_over_window, rolling
-from tidewheel.functions.geo import haversine_m, near_pairs, with_cells
+from tidewheel.functions.geo import haversine_m, near_spots, valid_point, with_cells
 from tidewheel.functions.nested_grid import nearest_within, sums_within
 
 
@@ -112,10 +112,16 @@ def cells_by_calendar_month(stays: DataFrame) -> DataFrame:
 
 
 def nearest_cluster(homes: DataFrame, found: DataFrame, metres: float = 5000) -> DataFrame:
-    """G16. Smallest and mean distance of a place to the clusters near it."""
-    at = found.filter("is_cluster = 1").select(F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))
-    near = near_pairs(homes, at, ("lat", "lon"), ("poi_lat", "poi_lon"), metres)
-    return near.groupBy("msisdn").agg(F.min("distance").alias("min_distance"), F.avg("distance").alias("avg_distance"))
+    """G16. Smallest and mean distance of an id's places to the clusters near them.
+
+    Spots are compared, not rows: a spot's clusters count by their number, and a spot's ids share its result.
+    """
+    point = ("poi_lat", "poi_lon")
+    at = found.filter("is_cluster = 1").groupBy(F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon")).agg(F.count("*").alias("_n"))
+    valid = homes.filter(valid_point("lat", "lon"))
+    near = near_spots(valid.select("lat", "lon").distinct(), at, ("lat", "lon"), point, metres)
+    per = near.groupBy("lat", "lon").agg(F.min("distance").alias("_least"), F.sum(F.col("distance") * F.col("_n")).alias("_sum"), F.sum("_n").alias("_of"))
+    return valid.join(per, ["lat", "lon"]).groupBy("msisdn").agg(F.min("_least").alias("min_distance"), (F.sum("_sum") / F.sum("_of")).alias("avg_distance"))
 
 
 def cluster_distance_by_period(stays: DataFrame, found: DataFrame, periods: dict[str, tuple[str, str]], metres: float = 5000) -> DataFrame:
