@@ -69,8 +69,9 @@ def distinct_over_window(df: DataFrame, counts: dict[str, tuple[str, int]], keys
 
     A sweep over occurrences: an element counts from its occurrence until it has been away for the frame's days, so an
     occurrence adds one if the element's last one is too long ago, and takes one away when it runs out before the next.
-    The changes of a day are summed, and a row has the sum of all changes up to it. No list is gathered, and memory does
-    not grow with the lists. Null elements count as one element; null arrays hold none.
+    A day's changes are counted by the day of their occurrence, then moved as sums, and a row has the sum of all changes up
+    to it. No list is gathered, and memory does not grow with the lists. Null elements count as one element; null arrays
+    hold none.
     """
     lists = list(dict.fromkeys(c for c, _ in counts.values()))
     tagged = lambda k, c: F.transform(F.array_distinct(c), lambda e: F.struct(F.lit(k).alias("tag"), e.cast("string").alias("e")))
@@ -81,15 +82,15 @@ def distinct_over_window(df: DataFrame, counts: dict[str, tuple[str, int]], keys
     w = Window.partitionBy(*keys, "tag", "e").orderBy("_day")
     seen = each.withColumns({"_before": F.lag("_day").over(w), "_after": F.lead("_day").over(w)})
     frames = sorted({days for _, days in counts.values()})
-    at = [(lists.index(c), frames.index(days)) for c, days in counts.values()]
-    change = lambda here, day, f, delta: F.when(here, F.struct(day.cast("int").alias("_day"), F.lit(f).alias("f"), F.lit(delta).alias("d")))
-    day, changes = F.col("_day"), []
-    for f, days in enumerate(frames):
-        changes.append(change(F.col("_before").isNull() | (day - F.col("_before") >= days), day, f, 1))
-        changes.append(change(F.col("_after").isNull() | (F.col("_after") - day >= days), day + days, f, -1))
-    moved = seen.select(*keys, "tag", F.explode(F.array_compact(F.array(*changes))).alias("_c"))
-    of = lambda tag, f: F.sum(F.when((F.col("tag") == tag) & (F.col("_c.f") == f), F.col("_c.d")).otherwise(0))
-    sums = moved.groupBy(*keys, F.col("_c._day").alias("_day")).agg(*(of(tag, f).alias(f"_n{n}") for n, (tag, f) in enumerate(at)))
+    at = [(lists.index(c), days) for c, days in counts.values()]
+    # An occurrence stays one row here: elements outnumber the days by far.
+    comes = lambda tag, days: F.count_if((F.col("tag") == tag) & (F.col("_before").isNull() | (F.col("_day") - F.col("_before") >= days)))
+    goes = lambda tag, days: F.count_if((F.col("tag") == tag) & (F.col("_after").isNull() | (F.col("_after") - F.col("_day") >= days)))
+    per = seen.groupBy(*keys, "_day").agg(*(of(tag, days).alias(f"_{k}{n}") for n, (tag, days) in enumerate(at) for k, of in (("c", comes), ("g", goes))))
+    zero = F.lit(0).cast("long")
+    come = F.struct(F.col("_day").cast("int").alias("_day"), *(F.col(f"_c{n}").alias(f"_n{n}") for n in range(len(at))))
+    gone = [F.struct((F.col("_day") + f).cast("int").alias("_day"), *((-F.col(f"_g{n}") if days == f else zero).alias(f"_n{n}") for n, (_, days) in enumerate(at))) for f in frames]
+    sums = per.select(*keys, F.explode(F.array(come, *gone)).alias("_m")).select(*keys, "_m.*")
     rows = df.select(*keys, _days(order).alias("_day"), F.struct(*df.columns).alias("_row"))
     both = rows.unionByName(sums, allowMissingColumns=True)
     upto = Window.partitionBy(*keys).orderBy("_day").rangeBetween(Window.unboundedPreceding, 0)
