@@ -18,7 +18,7 @@ K = "msisdn, weekstart"
 
 
 def scaffolded(spark, d, df):
-    return P.fill_time_series(P.weekly_scaffold()(df), df, ["msisdn", "weekstart"])
+    return P.dense_weekly(df)
 
 
 def scaffold_sql(table: str) -> str:
