@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import distinct_over_window
-from tidewheel.operators import features, mobility, scaffold
+from tidewheel.operators import features, mobility, periods, scaffold
 
 
 def plan(df):
@@ -47,3 +47,15 @@ def test_stay_frequency(spark):
     out = mobility.stay_frequency(df, "cell", (1, 3))
     got = {(r.msisdn, str(r.month_mapped_dt)): (r.top_cell_01m, r.top_cell_03m, r.top_visits_01m, r.top_visits_03m) for r in out.collect()}
     assert got == {("a", "2000-01-01"): ("x", "x", 2, 2), ("a", "2000-01-02"): ("z", "z", 3, 3), ("b", "2000-01-01"): ("p", "p", None, None)}
+
+
+def test_closing_measures_sort_once(spark):
+    """All periods are frames over one sort of the series; a measure sees its period's rows only."""
+    days = [("a", "2024-01-01", 1), ("a", "2024-01-08", None), ("a", "2024-01-15", 4), ("a", "2024-01-29", 6), ("b", "2024-01-22", 5), (None, "2024-01-08", 2)]
+    df = spark.createDataFrame(days, "msisdn string, w string, v long").select("msisdn", F.to_date("w").alias("weekstart"), "v")
+    spans = {"p": ("2024-01-08", "2024-01-15"), "q": ("2024-01-15", "2024-01-22")}
+    out = periods.closing_measures(df, {"sum": periods.over(F.sum, "v", 28), "idle": periods.idle("v")}, spans)
+    got = {(r.msisdn, str(r.weekstart)): (r.sum_p, r.idle_p, r.sum_q, r.idle_q) for r in out.collect()}
+    assert got == {("a", "2024-01-01"): (None, None, None, None), ("a", "2024-01-08"): (None, 1, None, None), ("a", "2024-01-15"): (4, 1, 4, 0), ("a", "2024-01-29"): (4, 1, 4, 0), ("b", "2024-01-22"): (None, None, 5, 0), (None, "2024-01-08"): (2, 0, None, None)}
+    physical = out._jdf.queryExecution().executedPlan().toString()
+    assert physical.split("== Initial Plan ==")[-1].count("Sort [") == 1

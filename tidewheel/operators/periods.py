@@ -2,7 +2,8 @@
 
 A measure of a period sees the period's rows only. Inside the period a row has the measure so far; the period closes with
 the value of the key's last row in it, and all later rows carry that value. Before the period there is none. All of it is
-one partitioning of the series by key: a window inside each period, then one as-of pass for all measures.
+one partitioning and one sort of the series by key: a measure sees a column as null outside its period, so the frames of all
+periods are over the same rows; then one as-of pass for all measures.
 """
 
 from __future__ import annotations
@@ -15,7 +16,16 @@ from pyspark.sql import functions as F
 from tidewheel.functions.expr import ratio
 
 Periods = dict[str, tuple[str, str]]
-Measure = Callable[[WindowSpec], Column]
+#: Of the key's rows in order, and of how a column looks within the period (null outside it), the measure.
+Measure = Callable[[WindowSpec, Callable[[str | Column], Column]], Column]
+
+
+#: A row's day as a number. As a column of its own it lets all windows use one sort.
+DAY = "_day"
+
+
+def dated(df: DataFrame, order: str = "weekstart") -> DataFrame:
+    return df if DAY in df.columns else df.withColumn(DAY, F.unix_date(order))
 
 
 def inside(period: tuple[str, str], order: str = "weekstart") -> Column:
@@ -24,24 +34,24 @@ def inside(period: tuple[str, str], order: str = "weekstart") -> Column:
 
 
 def frame(days: int, key: str = "msisdn", order: str = "weekstart") -> Callable[[WindowSpec], WindowSpec]:
-    """Of a period's rows, those of the last ``days`` days; -1: all so far."""
+    """Of a key's rows, those of the last ``days`` days; -1: all so far."""
     low = Window.unboundedPreceding if days == -1 else -(days - 1)
     return lambda rows: rows.rangeBetween(low, 0)
 
 
 def over(aggregate: Callable[[Column], Column], column: str, days: int) -> Measure:
-    """A rolling aggregate inside the period."""
-    return lambda rows: aggregate(F.col(column)).over(frame(days)(rows))
+    """A rolling aggregate inside the period; one that leaves nulls out."""
+    return lambda rows, of: aggregate(of(column)).over(frame(days)(rows))
 
 
 def share_over(part: str, whole: str, days: int) -> Measure:
-    return lambda rows: F.try_divide(F.sum(part).over(frame(days)(rows)).cast("double"), F.sum(whole).over(frame(days)(rows)).cast("double"))
+    return lambda rows, of: F.try_divide(F.sum(of(part)).over(frame(days)(rows)).cast("double"), F.sum(of(whole)).over(frame(days)(rows)).cast("double"))
 
 
 def change_over(column: str, days: int, longer: int) -> Measure:
     """Mean of the last days against the mean of a longer stretch, as a share of both."""
-    mean = lambda rows, n: F.avg(column).over(frame(n)(rows))
-    return lambda rows: F.try_divide(mean(rows, days), mean(rows, days) + mean(rows, longer))
+    mean = lambda rows, of, n: F.avg(of(column)).over(frame(n)(rows))
+    return lambda rows, of: F.try_divide(mean(rows, of, days), mean(rows, of, days) + mean(rows, of, longer))
 
 
 def closing_measures(weekly: DataFrame, measures: dict[str, Measure], periods: Periods, key: str = "msisdn", order: str = "weekstart", running: bool = True) -> DataFrame:
@@ -50,16 +60,16 @@ def closing_measures(weekly: DataFrame, measures: dict[str, Measure], periods: P
     running: rows inside a period have the measure so far; else they have none until the period is over, whether or not
     the key has a row in its last week. A closing value that is null stays null afterwards.
     """
-    known = {}
+    known, rows = {}, Window.partitionBy(key).orderBy(DAY)
     for name, period in periods.items():
         within = inside(period, order)
-        rows = Window.partitionBy(key, within).orderBy(F.unix_date(order))
-        for m, of in measures.items():
-            known[f"{m}_{name}"] = F.when(within, F.struct(of(rows).alias("v")))
+        of = lambda c, within=within: F.when(within, F.col(c) if isinstance(c, str) else c)
+        for m, measure in measures.items():
+            known[f"{m}_{name}"] = F.when(within, F.struct(measure(rows, of).alias("v")))
     # A struct, so that a null value is told from a row outside the period.
-    marked = weekly.withColumns({f"_{n}": c for n, c in known.items()})
-    asof = Window.partitionBy(key).orderBy(F.unix_date(order)).rowsBetween(Window.unboundedPreceding, 0)
-    out = marked.withColumns({n: F.last(f"_{n}", ignorenulls=True).over(asof)["v"] for n in known}).drop(*(f"_{n}" for n in known))
+    marked = dated(weekly, order).withColumns({f"_{n}": c for n, c in known.items()})
+    asof = rows.rowsBetween(Window.unboundedPreceding, 0)
+    out = marked.withColumns({n: F.last(f"_{n}", ignorenulls=True).over(asof)["v"] for n in known}).drop(*(f"_{n}" for n in known), *({DAY} - set(weekly.columns)))
     if not running:
         over_ = {name: F.col(order) > F.lit(last).cast("date") for name, (_, last) in periods.items()}
         out = out.withColumns({f"{m}_{name}": F.when(c, F.col(f"{m}_{name}")) for name, c in over_.items() for m in measures})
@@ -75,8 +85,8 @@ def period_ratios(closed: DataFrame, measures: list[str], periods: Periods, key:
     ratios = {f"{m}_{n}_with_{first}": ratio(f"{m}_{n}", f"{m}_{first}") for m in measures for n in later}
     out = closed.withColumns(ratios)
     if carry:
-        asof = Window.partitionBy(key).orderBy(F.unix_date(order)).rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumns({r: F.last(r, ignorenulls=True).over(asof) for r in ratios})
+        asof = Window.partitionBy(key).orderBy(DAY).rowsBetween(Window.unboundedPreceding, 0)
+        out = dated(out, order).withColumns({r: F.last(r, ignorenulls=True).over(asof) for r in ratios}).drop(*({DAY} - set(closed.columns)))
     return out
 
 
@@ -104,7 +114,7 @@ def deal_after(weeks: DataFrame, values: DataFrame, columns: dict[str, str], key
 
 def idle(column: str) -> Measure:
     """Weeks so far of the period without activity."""
-    return lambda rows: F.sum((F.coalesce(F.col(column), F.lit(0)) == 0).cast("long")).over(frame(-1)(rows))
+    return lambda rows, of: F.sum(of(F.coalesce(F.col(column), F.lit(0)) == 0).cast("long")).over(frame(-1)(rows))
 
 
 def voice_weeks(weekly: DataFrame, periods: Periods) -> DataFrame:
@@ -134,7 +144,7 @@ def internet_weeks(weekly: DataFrame, periods: Periods) -> DataFrame:
     month, quarter = 28, 91
     measures = {"avg": over(F.avg, "volume", month), "tot": over(F.sum, "volume", month), "std": over(F.stddev, "volume", quarter), "weekend": share_over("volume_weekend", "volume", month), "change": change_over("volume", month, quarter)}
     named = {f"fea_int_{m}": of for m, of in measures.items()}
-    std = Window.partitionBy("msisdn").orderBy(F.unix_date("weekstart")).rangeBetween(-(quarter - 1), 0)
-    closed = closing_measures(weekly.withColumn("_std", F.stddev("volume").over(std)), named, periods)
+    std = Window.partitionBy("msisdn").orderBy(DAY).rangeBetween(-(quarter - 1), 0)
+    closed = closing_measures(dated(weekly).withColumn("_std", F.stddev("volume").over(std)), named, periods)
     out = period_trends(period_ratios(closed, list(named), periods), {"fea_int_tot": "volume", "fea_int_std": "_std"}, periods)
     return out.select("msisdn", "weekstart", *(c for c in out.columns if c.startswith("fea_int_")))
