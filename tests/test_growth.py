@@ -1,11 +1,15 @@
 """Work that grows with the rows: no scaffold is joined, no element is copied for each frame, no window ranks modes."""
 
+import os
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from tidewheel.functions.frames import distinct_over_window
-from tidewheel.operators import features, mobility, periods, scaffold
+from tidewheel.operators import features, mobility, periods, scaffold, segments
+from tidewheel.plans import segment_plans
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def plan(df):
@@ -59,3 +63,13 @@ def test_closing_measures_sort_once(spark):
     assert got == {("a", "2024-01-01"): (None, None, None, None), ("a", "2024-01-08"): (None, 1, None, None), ("a", "2024-01-15"): (4, 1, 4, 0), ("a", "2024-01-29"): (4, 1, 4, 0), ("b", "2024-01-22"): (None, None, 5, 0), (None, "2024-01-08"): (2, 0, None, None)}
     physical = out._jdf.queryExecution().executedPlan().toString()
     assert physical.split("== Initial Plan ==")[-1].count("Sort [") == 1
+
+
+def test_model_rows_are_at_rest(spark):
+    """Fits and profiles read their rows many times, so neither the rows nor the clusters are made again for each."""
+    w = segment_plans.wide(spark, SF)
+    assert not any(x in plan(w) for x in ("Aggregate", "Join"))
+    names = [r.segment for r in w.select("segment").distinct().collect()]
+    clustered = segments.kmeans_by_segment(w, segment_plans.COLUMNS, names, 2)
+    assert not any(x in plan(clustered) for x in ("Union", "UDF"))
+    assert Counter(r.msisdn for r in clustered.collect()) == Counter(r.msisdn for r in w.collect())

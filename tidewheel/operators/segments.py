@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.quantiles import exact_percentiles, percent_rank, percentiles_of
 from tidewheel.functions.relational import hash_unit
+from tidewheel.sources.io import at_rest
 
 
 def long_values(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -156,13 +157,14 @@ def fit_kmeans(df: DataFrame, columns: list[str], k: int, seed: int = 7) -> Pipe
 
 
 def kmeans_by_segment(df: DataFrame, columns: list[str], segments: list[str], k: int) -> DataFrame:
-    """D11. One model per segment, results united."""
+    """D11. One model per segment, results united and at rest, since profiles read them many times. So do the fits: df should be
+    cheap to read (a written table)."""
     out = None
     for s in segments:
         rows = df.filter(F.col("segment") == s)
         part = fit_kmeans(rows, columns, k).transform(rows).select(*df.columns, "cluster")
         out = part if out is None else out.unionByName(part)
-    return out
+    return at_rest(out)
 
 
 def cluster_profile(df: DataFrame, columns: list[str], by: str = "cluster") -> DataFrame:

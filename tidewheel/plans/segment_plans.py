@@ -124,10 +124,10 @@ def d9_transforms(spark, d):
 
 
 def wide(spark, d):
-    """One row per id for the models."""
+    """One row per id for the models, at rest: a fit reads its rows many times."""
     r = revenue(spark, d)
     per = r.groupBy("msisdn").agg(F.sum("amount").cast("double").alias("amount"), F.count("*").cast("double").alias("trx"), F.max("amount").cast("double").alias("top"), F.count_if(F.col("status") == "F").cast("double").alias("loans"))
-    return per.join(profiles(spark, d), "msisdn").withColumns({"treatment": (F.col("msisdn").cast("long") % 2).cast("int"), "outcome": (F.col("loans") > 3).cast("int"), "region": F.col("region").cast("string")})
+    return S.at_rest(per.join(profiles(spark, d), "msisdn").withColumns({"treatment": (F.col("msisdn").cast("long") % 2).cast("int"), "outcome": (F.col("loans") > 3).cast("int"), "region": F.col("region").cast("string")}))
 
 
 COLUMNS = ["amount", "trx", "top", "balance"]
