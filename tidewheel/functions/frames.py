@@ -137,20 +137,33 @@ def dominant_category(df: DataFrame, category: str, value: str, count: str, days
     return summed.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select(key, "weekstart", F.col(category).alias("dominant"))
 
 
-def dominant_categories(df: DataFrame, category: str, value: str, count: str, wanted: dict[str, tuple[int, bool]], key: str = "msisdn") -> DataFrame:
-    """key, weekstart and, for each name -> (days, by count), the category with most value (or count) over the rolling days; ties
-    by the other one, then by name; null where the frame holds nothing.
+def weeks_of_categories(df: DataFrame, category: str, value: str, count: str, key: str = "msisdn", **sums: Column) -> DataFrame:
+    """key, weekstart and aggregates of the week's rows; with what dominant_categories needs, the week's value and count by category.
+    Totals are dealt once, by key, and all that follows by key or week needs no other exchange."""
+    made = {f"_s{i}": c for i, c in enumerate(sums.values())}
+    per = df.groupBy(key, "weekstart", category).agg(F.sum(value).alias("_v"), F.sum(count).alias("_n"), *(c.alias(n) for n, c in made.items())).repartition(key)
+    own = F.when(F.col(category).isNotNull() & F.col("weekstart").isNotNull(), F.struct(F.col(category).alias("c"), F.struct("_v", "_n").alias("x")))
+    return per.groupBy(key, "weekstart").agg(F.map_from_entries(F.collect_list(own)).alias("_own"), *(F.sum(n).alias(name) for n, name in zip(made, sums, strict=True)))
 
-    All frames are sums of one pass over the grid of weeks and categories, and each best one is a minimum, not a ranking.
+
+def dominant_categories(weeks: DataFrame, wanted: dict[str, tuple[int, bool]], keep: list[str], key: str = "msisdn") -> DataFrame:
+    """key, weekstart, the kept columns and, for each name -> (days, by count), the category with most value (or count) over the
+    rolling days; ties by the other one, then by name; null where the frame holds nothing. weeks: of weeks_of_categories.
+
+    All frames are sums of one pass over the grid of weeks and categories, made within the task that has the key, and each best
+    one is a minimum, not a ranking.
     """
-    weeks, categories = df.select(key, "weekstart").distinct(), df.select(key, category).distinct()
-    totals = df.groupBy(key, "weekstart", category).agg(F.sum(value).alias("_v"), F.sum(count).alias("_n"))
-    grid = weeks.join(categories, key).join(totals, [key, "weekstart", category], "left")
+    # Before the explosion, in the sort of the key's weeks.
+    every = F.array_distinct(F.flatten(F.collect_set(F.map_keys("_own")).over(Window.partitionBy(key).orderBy(_days("weekstart")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    every = F.when(F.col(key).isNotNull(), every)
+    grid = weeks.withColumn("_all", every).select(key, "weekstart", F.struct(*keep).alias("_keep"), "_own", F.explode_outer("_all").alias("_c"))
+    own = F.try_element_at("_own", F.col("_c"))
+    grid = grid.select(key, "weekstart", "_keep", "_c", own["_v"].alias("_v"), own["_n"].alias("_n"))
     frames = sorted({days for days, _ in wanted.values()})
-    summed = grid.select(key, "weekstart", category, *(F.sum(c).over(rolling(d, key, extra=[category])).alias(f"{c}{d}") for d in frames for c in ("_v", "_n")))
+    summed = grid.select(key, "weekstart", "_keep", "_c", *(F.sum(c).over(rolling(d, key, extra=["_c"])).alias(f"{c}{d}") for d in frames for c in ("_v", "_n")))
     first = lambda d, by_count: (f"_n{d}", f"_v{d}") if by_count else (f"_v{d}", f"_n{d}")
-    best = lambda d, by_count: F.min(F.when(F.col(f"_n{d}").isNotNull(), F.struct(*((-F.col(c)).alias(c) for c in first(d, by_count)), F.col(category).alias("c"))))["c"]
-    return summed.groupBy(key, "weekstart").agg(*(best(*w).alias(name) for name, w in wanted.items()))
+    best = lambda d, by_count: F.min(F.when(F.col(f"_n{d}").isNotNull(), F.struct(*((-F.col(c)).alias(c) for c in first(d, by_count)), F.col("_c").alias("c"))))["c"]
+    return summed.groupBy(key, "weekstart").agg(F.first("_keep").alias("_keep"), *(best(*w).alias(name) for name, w in wanted.items())).select(key, "weekstart", "_keep.*", *wanted)
 
 
 def zero_runs(df: DataFrame, key: str, order: str, target: str) -> DataFrame:
