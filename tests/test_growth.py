@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tidewheel.functions.frames import distinct_over_window
+from tidewheel.functions.frames import distinct_over_window, percentiles_over_window
 from tidewheel.operators import features, mobility, periods, scaffold, segments
 from tidewheel.plans import segment_plans
 
@@ -83,3 +83,11 @@ def test_dominant_categories_deal_rows_once(spark):
     assert "Join" not in plan(out)
     got = {(r.msisdn, str(r.weekstart)): (r.fea_app_rev_sum_01w, r.fea_app_rev_sum_01m, r.fea_app_rev_trx_01m, r.fea_app_rev_dominant_method_01w, r.fea_app_rev_dominant_method_01m) for r in out.collect()}
     assert got == {("a", "2024-01-01"): (8, 8, 2, "x", "x"), ("a", "2024-01-08"): (2, 10, 3, "y", "y"), ("a", "2024-02-12"): (9, 9, 1, None, None), ("b", "2024-01-01"): (None, None, 1, "z", "z"), (None, "2024-01-01"): (1, 1, 1, None, None), ("a", "None"): (50, 50, 1, None, None)}
+
+
+def test_percentiles_skip_empty_steps(spark):
+    """Values are handed to the steps that have rows, not to all steps of the frame."""
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 84, 3.0), ("a", 91, None), ("b", 7, 2.0)], "msisdn string, d int, v double").withColumn("weekstart", F.date_from_unix_date("d"))
+    out = percentiles_over_window(df, {"m": ("v", 91, 0.5)})
+    assert {(r.msisdn, r.d): r.m for r in out.collect()} == {("a", 0): 1.0, ("a", 84): 2.0, ("a", 91): 3.0, ("b", 7): 2.0}
+    assert "sequence" not in plan(out) and "explode([0" not in plan(out)

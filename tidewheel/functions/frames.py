@@ -101,14 +101,16 @@ def distinct_over_window(df: DataFrame, counts: dict[str, tuple[str, int]], keys
 def percentiles_over_window(df: DataFrame, wanted: dict[str, tuple[str, int, float]], keys: list[str] = ("msisdn",), order: str = "weekstart", step: int = 7) -> DataFrame:
     """df with, for each name -> (column, days, p), the exact interpolated percentile over the rolling frame; nulls left out.
 
-    Rows lie whole steps of ``step`` days apart. A row's values are handed ahead to every step whose frame holds them,
-    within the task that has the key, and each step is one small group there: nothing is rebuilt from row to row.
+    Rows lie whole steps of ``step`` days apart. A row's values are handed ahead to every step of the key's rows whose frame holds
+    them, within the task that has the key, and each step is one small group there: nothing is rebuilt from row to row. Steps
+    without rows get nothing: a sparse series is handed on as few times as its frames hold rows.
     """
     columns = sorted({c for c, *_ in wanted.values()})
     longest = max(days for _, days, _ in wanted.values())
     values = df.select(*keys, _days(order).alias("_day"), *(F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns))).repartition(*keys)
-    ahead = F.explode(F.sequence(F.lit(0), F.lit((longest - 1) // step * step), F.lit(step)))
-    handed = values.withColumn("_age", ahead).withColumn("_at", F.col("_day") + F.col("_age"))
+    # Of the steps ahead, at most longest / step, those that have rows; rows of one step see the same.
+    ahead = F.collect_set("_day").over(Window.partitionBy(*keys).orderBy("_day").rangeBetween(0, (longest - 1) // step * step))
+    handed = values.withColumn("_ahead", ahead).withColumn("_at", F.explode("_ahead")).withColumn("_age", F.col("_at") - F.col("_day"))
     value = lambda c, days: F.when(F.col("_age") < days, F.col(f"_v{columns.index(c)}"))
     per = handed.groupBy(*(F.col(k).alias(f"_{k}_of") for k in keys), "_at").agg(F.min("_age").alias("_least"), *(F.percentile(value(c, days), p).alias(n) for n, (c, days, p) in wanted.items()))
     same = _days(order) == F.col("_at")
