@@ -90,4 +90,4 @@ def test_percentiles_skip_empty_steps(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 84, 3.0), ("a", 91, None), ("b", 7, 2.0)], "msisdn string, d int, v double").withColumn("weekstart", F.date_from_unix_date("d"))
     out = percentiles_over_window(df, {"m": ("v", 91, 0.5)})
     assert {(r.msisdn, r.d): r.m for r in out.collect()} == {("a", 0): 1.0, ("a", 84): 2.0, ("a", 91): 3.0, ("b", 7): 2.0}
-    assert "sequence" not in plan(out) and "explode([0" not in plan(out)
+    assert "explode(_ahead" in plan(out)  # not a fixed list of steps
