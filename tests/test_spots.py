@@ -67,3 +67,28 @@ def test_other_on_one_spot(spark, compared):
     want = {i: min((distance(p, q), k) for k, *q in rows if k != i) for i, *p in rows if i != 5}
     assert got.keys() == want.keys() and all(abs(got[i][0] - want[i][0]) < 1e-6 and got[i][1] == want[i][1] for i in want)
     assert compared and all(left == 4 for left, _ in compared)
+
+
+@pytest.fixture
+def short_lists(spark, monkeypatch):
+    """Lists of few rows, and as many tasks as there are partitions."""
+    monkeypatch.setattr(geo, "RIGHT_ROWS", 64, raising=False)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_pairs_of_one_spot_are_dealt_to_all_tasks(spark, short_lists):
+    """Rows of one spot and its neighbour, nulls, doubled rows and a row off the map: the pairs are whole and no task makes most of them."""
+    left = spark.range(600).selectExpr("if(id % 10 = 0, null, id) i", "1.0 lat", "10.0 lon").union(spark.createDataFrame([(7, 1.0, 10.0), (8, None, 10.0), (9, 5.0, 10.0)], "i long, lat double, lon double"))
+    right = spark.range(3000).selectExpr("id k", "cast(id as string) name", "1.0 y", "10.0 + id % 2 * 0.001 x").union(spark.createDataFrame([(4, "4", 1.0, 10.0), (5, None, float("nan"), 10.0)], "k long, name string, y double, x double"))
+    got = geo.near_pairs(left, right, ("lat", "lon"), ("y", "x"), 1000, digits=3)
+    assert got.columns == ["i", "lat", "lon", "k", "name", "y", "x", "distance"]
+    by = got.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum(F.coalesce("i", F.lit(0)) * 7 + F.col("k")).alias("s"), F.sum(F.col("distance") * 1000).cast("long").alias("d")).collect()
+    ids, keys = [i if i % 10 else 0 for i in range(600)] + [7], [*range(3000), 4]
+    assert sum(r.n for r in by) == 601 * 3001
+    assert sum(r.s for r in by) == sum(ids) * 7 * 3001 + sum(keys) * 601
+    assert sum(r.d for r in by) == round(1000 * round(distance((1.0, 10.0), (1.0, 10.001)), 3)) * 601 * 1500
+    assert got.filter("i is null").count() == 60 * 3001 and got.filter("cast(k as string) <> name").isEmpty()
+    assert len(by) == 4 and max(r.n for r in by) < 0.45 * 601 * 3001
